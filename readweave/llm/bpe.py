@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Memo, slices
+from .common import Memo, Pool, Words, slices
 
 #: A single space between two characters that are not white space always starts a new piece.
 CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -51,14 +51,14 @@ class Codec:
                     values.append(rank)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = np.array(keys, "i8")[order], np.array(values, "i8")[order]
-        self.chunks, self.pieces = Memo(), Memo()
+        self.parts, self.pieces = Memo(), Memo()
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE)
 
-    def merge_rows(self, pieces: list[bytes], size: int) -> list[np.ndarray]:
+    def merge_rows(self, pieces: list[bytes], size: int) -> list[bytes]:
         """Pieces of 2 to ``size`` bytes (a power of two), all at once."""
         n = len(pieces)
         length = np.fromiter(map(len, pieces), "i8", n)
@@ -68,35 +68,43 @@ class Codec:
         ids = np.concatenate([ids, np.full((n, 1), -1)], 1)
         after = np.where(at + 1 < length[:, None], at + 1, size)
         before = np.broadcast_to(at - 1, (n, size)).copy()
+        bits = size.bit_length() - 1
         tree = np.full((n, 2 * size), NONE)
         first = self.pair_rank(ids[:, : size - 1], ids[:, 1:size])
         first[ids[:, 1:size] < 0] = NONE
-        tree[:, size : 2 * size - 1] = np.where(first < NONE, first * size + at[:-1], NONE)
-        for level in range(size.bit_length() - 2, -1, -1):
+        tree[:, size : 2 * size - 1] = np.where(first < NONE, first << bits | at[:-1], NONE)
+        for level in range(bits - 1, -1, -1):
             lo, hi = 1 << level, 2 << level
             tree[:, lo:hi] = np.minimum(tree[:, 2 * lo : 2 * hi : 2], tree[:, 2 * lo + 1 : 2 * hi : 2])
-        rows = np.flatnonzero(tree[:, 1] < NONE)
+        ids, after, before, tree = ids.ravel(), after.ravel(), before.ravel(), tree.ravel()
+        rows = np.flatnonzero(tree[1 :: 2 * size] < NONE)
         while len(rows):
-            rank, i = np.divmod(tree[rows, 1], size)
-            j = after[rows, i]
-            k, h = after[rows, j], before[rows, i]
-            ids[rows, i], ids[rows, j] = rank, -1
-            after[rows, i] = k
-            inner = k < size
-            before[rows[inner], k[inner]] = i[inner]
-            right = np.where(inner, self.pair_rank(rank, ids[rows, k]), NONE)
-            left = np.where(h >= 0, self.pair_rank(ids[rows, np.maximum(h, 0)], rank), NONE)
-            tree[rows, size + j] = NONE
-            tree[rows, size + i] = np.where(right < NONE, right * size + i, NONE)
-            has = h >= 0
-            tree[rows[has], size + h[has]] = np.where(left < NONE, left * size + h, NONE)[has]
-            which = np.concatenate([rows, rows, rows[has]])
-            node = (np.concatenate([i, j, h[has]]) + size) >> 1
-            while node[0]:
-                tree[which, node] = np.minimum(tree[which, 2 * node], tree[which, 2 * node + 1])
+            base, cell, wide = rows * size, rows * (size + 1), rows * (2 * size)
+            top = tree[wide + 1]
+            rank, i = top >> bits, top & (size - 1)
+            j = after[base + i]
+            k, h = after[base + j], before[base + i]
+            ids[cell + i], ids[cell + j] = rank, -1
+            after[base + i] = k
+            inner, has = k < size, h >= 0
+            before[(base + k)[inner]] = i[inner]
+            right = self.pair_rank(rank, ids[cell + k])
+            left = self.pair_rank(ids[cell + h], rank)
+            tree[wide + size + j] = NONE
+            tree[wide + size + i] = np.where(inner & (right < NONE), right << bits | i, NONE)
+            spot, left, h = (wide + size + h)[has], left[has], h[has]
+            tree[spot] = np.where(left < NONE, left << bits | h, NONE)
+            start = np.concatenate([wide, wide, wide[has]])
+            node = (np.concatenate([i, j, h]) + size) >> 1
+            for _ in range(bits):
+                child = start + 2 * node
+                tree[start + node] = np.minimum(tree[child], tree[child + 1])
                 node >>= 1
-            rows = rows[tree[rows, 1] < NONE]
-        return [row[row >= 0].astype("<u4") for row in ids[:, :size]]
+            rows = rows[tree[wide + 1] < NONE]
+        kept = ids.reshape(n, size + 1)
+        live = kept >= 0
+        raw, ends = kept[live].astype("<u4").tobytes(), 4 * np.cumsum(live.sum(1))
+        return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
     def merge_one(self, piece: bytes) -> np.ndarray:
         """One piece of any length on plain lists."""
@@ -143,36 +151,25 @@ class Codec:
             raw = p.encode()
             whole = self.ranks.get(raw)
             if whole is not None:
-                out[p] = np.array([whole], "<u4").tobytes()
+                out[p] = whole.to_bytes(4, "little")
             elif len(raw) <= LONGEST_ROW:
                 rows.setdefault(1 << (len(raw) - 1).bit_length(), []).append((p, raw))
             else:
                 out[p] = self.merge_one(raw).tobytes()
         for size, held in rows.items():
-            for k in range(0, len(held), 8192):
-                some = held[k : k + 8192]
-                out.update((p, ids.tobytes()) for (p, _), ids in zip(some, self.merge_rows([r for _, r in some], size), strict=True))
+            for k in range(0, len(held), 4096):
+                some = held[k : k + 4096]
+                out.update(zip((p for p, _ in some), self.merge_rows([r for _, r in some], size), strict=True))
         return out
 
-    def learn(self, parts: list[list[str]]) -> None:
-        """Put the ids of all parts into the cache.
-
-        A part stands for itself after a space; at the start of a text its key has a space put
-        before it, which no other part can hold. A part that is empty or has white space at an end
-        gets 0: the cut beside it was not clean.
-        """
-        found = {}
-        missing = self.chunks.missing({" " + p[0] for p in parts}.union(*[p[1:] for p in parts]))
-        chunk = self.chunks.new
-        for c in missing:
-            own = c[1:] if c[:1] == " " else c
-            if not own or own[0].isspace() or own[-1].isspace():
-                chunk[c] = 0
-            else:
-                found[c] = self.pattern.findall(own if c[:1] == " " else " " + c)
-        piece = self.merged({p for v in found.values() for p in v})
-        for c, v in found.items():
-            chunk[c] = b"".join([piece[p] for p in v])
+    def split(self, part: str) -> list[str]:
+        """What the pattern gives for a part; for letters, with or without one mark behind, it is plain."""
+        own = part[1:] if part[0] == " " else part
+        if own.isalpha():
+            return [part]
+        if own[:-1].isalpha() and own[-1] in ".,":
+            return [part[:-1], own[-1]]
+        return self.pattern.findall(part)
 
     def merged(self, pieces: set[str]) -> dict[str, bytes]:
         """The cache, with all these pieces in it."""
@@ -180,25 +177,48 @@ class Codec:
         self.pieces.new.update(self.encode_pieces(missing))
         return self.pieces.new
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as encode_ordinary of the tiktoken library gives them."""
-        parts = [t.split(" ") for t in texts]
-        self.learn(parts)
-        get, out = self.chunks.new.__getitem__, []
-        for t, p in zip(texts, parts, strict=True):
-            try:
-                raw = b"".join([get(" " + p[0]), *map(get, p[1:])])
-            except TypeError:
-                raw = self.encode_unclean(t)
-            out.append(np.frombuffer(raw, "<u4"))
-        return out
+    def entries(self, parts: list[str]) -> list[bytes | int]:
+        """The ids of parts, which may begin with one space; 0 for a part that else begins or ends in white space, or is empty."""
+        split, missing = {}, self.parts.missing(set(parts))
+        known = self.parts.new
+        for c in missing:
+            if c[-1:].isspace() or c[c[:1] == " " :][:1].isspace() or not c:
+                known[c] = 0
+            else:
+                split[c] = self.split(c)
+        piece = self.merged({p for v in split.values() for p in v})
+        for c, v in split.items():
+            known[c] = piece[v[0]] if len(v) == 1 else b"".join([piece[p] for p in v])
+        return list(map(known.__getitem__, parts))
 
-    def encode_unclean(self, text: str) -> bytes:
-        """A text with spaces beside other white space: cut at the clean ones alone."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, as encode_ordinary of the tiktoken library gives them, and where each text's ids end (first 0).
+
+        Words are cut at single spaces. Where such a cut has other white space beside it, the text
+        is cut anew at its clean spaces alone.
+        """
+        w = Words(texts)
+        first = w.ends[:-1]
+        heads = [w.distinct[i] for i in w.at[first]]
+        at = w.at.copy()
+        at[first] = len(w.distinct) + np.arange(len(heads))
+        entries = self.entries([" " + c for c in w.distinct]) + self.entries(heads)
+        unclean = np.array([e == 0 for e in entries])
+        flat, ends = Pool([e or b"" for e in entries]).lay(at, w.ends)
+        if not unclean.any() or not len(at):
+            return flat, ends
+        again = np.flatnonzero(np.add.reduceat(unclean[at], first) > 0)
+        out = np.split(flat, ends[1:-1])
+        for i in again:
+            out[i] = self.encode_unclean(texts[int(i)].as_py())
+        return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
+
+    def encode_unclean(self, text: str) -> np.ndarray:
+        """A text with spaces beside other white space."""
         first, *rest = CLEAN_SPACE.split(text)
         pieces = [p for part in (first, *(" " + r for r in rest)) for p in self.pattern.findall(part)]
         known = self.merged(set(pieces))
-        return b"".join([known[p] for p in pieces])
+        return np.frombuffer(b"".join([known[p] for p in pieces]), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -228,9 +248,8 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids
         c = codec(path, pattern)
         for b in batches:
             for start, end, texts in slices(b, text):
-                found = c.encode(texts)
-                ends = np.cumsum([0, *map(len, found)]).astype("i4")
-                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype("i4")))
+                found, ends = c.encode(texts)
+                column = pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(found.astype("i4")))
                 part = b.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids])
 
@@ -260,13 +279,15 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
+        digits = [b"%d" % i for i in range(c.size)].__getitem__
         for b in batches:
             n, ids_sha, text_sha = [], [], []
             for _, _, texts in slices(b):
-                for ids in c.encode(texts):
-                    n.append(len(ids))
-                    ids_sha.append(hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest())
-                    text_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
+                ids, ends = c.encode(texts)
+                for own in np.split(ids, ends[1:-1]):
+                    n.append(len(own))
+                    ids_sha.append(hashlib.sha256(b" ".join(map(digits, own.tolist()))).hexdigest())
+                    text_sha.append(hashlib.sha256(c.decode(own)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,29 +41,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", chars: int = 1_000_000) -> Iterator[tuple[int, int, list[str]]]:
-    """Runs of rows of a batch with about ``chars`` characters each: first row, end row, texts.
+def slices(batch: pa.RecordBatch, text: str = "text", size: int = 8_000_000) -> Iterator[tuple[int, int, pa.Array]]:
+    """Runs of rows of a batch with about ``size`` bytes of text each: first row, end row, texts.
 
-    Null texts come out empty. A text longer than ``chars`` makes a run of its own.
+    Null texts come out empty. A text longer than ``size`` makes a run of its own.
     """
     column = batch.column(text)
-    start, held, size = 0, [], 0
-    for i in range(batch.num_rows):
-        t = column[i].as_py() or ""
-        held.append(t)
-        size += len(t)
-        if size >= chars:
-            yield start, i + 1, held
-            start, held, size = i + 1, [], 0
-    if held:
-        yield start, batch.num_rows, held
+    column = pc.fill_null(column.cast(pa.string()), "")
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype("i8")) if batch.num_rows else np.zeros(0, "i8")
+    start, done = 0, 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield start, end, column.slice(start, end - start)
+        start, done = end, int(ends[end - 1])
 
 
-class Memo:
-    """A bounded cache of two generations: what is used stays, what is not goes.
+class Words:
+    """The words of many texts, each distinct word once: texts are cut at every single space."""
 
-    ``get`` counts entries of the old generation as present and moves them forward.
-    """
+    def __init__(self, texts: pa.Array) -> None:
+        lists = pc.split_pattern(texts, " ")
+        self.ends = lists.offsets.to_numpy().astype("i8") - lists.offsets[0].as_py()
+        found = lists.flatten().dictionary_encode()
+        self.at = found.indices.to_numpy()
+        self.distinct: list[str] = found.dictionary.to_pylist()
+
+
+class Pool:
+    """Entries of whole numbers, to be laid out word by word."""
+
+    def __init__(self, entries: list[bytes], kind: str = "<u4") -> None:
+        self.flat = np.frombuffer(b"".join(entries), kind)
+        self.size = np.fromiter(map(len, entries), "i8", len(entries)) // self.flat.itemsize
+        self.start = np.cumsum(self.size) - self.size
+
+    def lay(self, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All entries in the order of ``at``; where each text's numbers end (first 0)."""
+        size = self.size[at]
+        total = np.concatenate([[0], np.cumsum(size)])
+        where = np.repeat(self.start[at] - total[:-1], size)
+        where += np.arange(total[-1])
+        return self.flat[where], total[ends]
+
+
+class Memo:
+    """A bounded cache of two generations: what is used stays, what is not goes."""
 
     def __init__(self, most: int = 300_000) -> None:
         self.most, self.new, self.old = most, {}, {}
@@ -71,11 +95,10 @@ class Memo:
         if len(self.new) > self.most:
             self.new, self.old = {}, self.new
         out, new, old = [], self.new, self.old
-        for k in keys:
-            if k not in new:
-                v = old.get(k)
-                if v is None:
-                    out.append(k)
-                else:
-                    new[k] = v
+        for k in keys - new.keys():
+            v = old.get(k)
+            if v is None:
+                out.append(k)
+            else:
+                new[k] = v
         return out

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from readweave.registry import Registry
 
 from .bpe import bpe_round_trip
-from .common import table
+from .common import shared_dir, table
+from .sstable import shard_digests, write_token_shards
+from .tokens import count_tokens
 
 REGISTRY = Registry()
 
@@ -18,4 +20,17 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text as the library for word_bpe_49k counts them."""
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all ids in sorted-string-table shards and read them back."""
+    shards = write_token_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, shared_dir(spark))
+    return shard_digests(shards)
+
+
 REGISTRY.add("op1_byte_bpe", op1_byte_bpe)
+REGISTRY.add("op5_token_counts", op5_token_counts)
+REGISTRY.add("op6_token_shards", op6_token_shards)

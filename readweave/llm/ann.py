@@ -109,7 +109,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
     held = index.withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     stored = held.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
     asked = held.where(F.col("vec_id") % every == 0).withColumn("_q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(batches)))
-    asked = asked.drop("_b").withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+    asked = asked.drop("_b").withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def search(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if stored.empty or asked.empty:

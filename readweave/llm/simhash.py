@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-PARTS = 3
+PARTS = 2
 BLOCK = 1024
 U = np.uint64
 

@@ -46,6 +46,23 @@ def digest_state(spark: SparkSession, path: str, schema: T.StructType, at: str,
     return found.select(F.col(f"key.`{key}`").alias("digest"), F.col(f"value.`{value[0]}`").alias("keep_id"), F.col(f"value.`{value[1]}`").alias("n"))
 
 
+#: Bits of the filter that spares single texts the way to the comparison: 2048 rows of 4 KB at most.
+FILTER_BITS = 1 << 26
+
+
+def only_present(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """Rows whose digest may be among those of ``several``: a bitmap of hashed digests, of bounded size, is broadcast.
+
+    It lets some others through, which the join that follows drops, and none of ``several`` out.
+    """
+    at = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS)) + 1
+    bucket, bit = F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
+    bits = several.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    byte = F.conv(F.hex(F.substr("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    found = rows.withColumn("_bucket", bucket).join(F.broadcast(bits), "_bucket")
+    return found.where(F.floor(byte / F.pow(F.lit(2), bit % 8)).cast("long") % 2 == 1).drop("_bucket", "_bits")
+
+
 def exact_dedup(spark: SparkSession, path: str, digest=sha256) -> DataFrame:
     """One row per row of the table at ``path`` (Parquet; doc_id long, text string).
 
@@ -61,7 +78,7 @@ def exact_dedup(spark: SparkSession, path: str, digest=sha256) -> DataFrame:
     # Hits: the rows of groups of two or more, with their texts; singles need no look at bytes.
     marked = rows.select("doc_id", digest(F.col("text")).alias("digest"), sha.alias("text_sha256"), F.octet_length("text").alias("size")).join(state, "digest")
     several = state.where("n > 1")
-    hits = rows.withColumn("digest", digest(F.col("text"))).join(several, "digest")
+    hits = only_present(rows.withColumn("digest", digest(F.col("text"))), several).join(several, "digest")
     holders = hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.max("text").alias("held"))
     # Each hit is compared with the bytes at its locator. Hot groups are split by adaptive skew joins.
     other = checkpointed(hits.join(holders, "digest").where(F.col("text") != F.col("held")).select("doc_id", "digest", "text", sha.alias("text_sha256")))

@@ -23,16 +23,18 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def digest_state(spark: SparkSession, path: str, schema: T.StructType, at: str, digest=sha256, files_per_batch: int = 4096) -> DataFrame:
+def digest_state(spark: SparkSession, path: str, schema: T.StructType, at: str, digest=sha256, files_per_batch: int = 4096, partitions: int = 48) -> DataFrame:
     """Run the stream over the table at ``path`` until all its rows are in; returns the final state.
 
     ``at``: the stream's own folder (offsets, commits, state) in the shared folder. Started again with the
-    same folder it goes on where it stopped, with rows that have come since.
+    same folder it goes on where it stopped, with rows that have come since. ``partitions`` of the state are fixed at its first
+    start: about as many as the cluster has cores, as each keeps a store of its own with a few MB of files however little it holds.
     Rows: digest, keep_id (largest doc_id), n (rows).
     """
-    kept = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(kept, None)
-    spark.conf.set(kept, ROCKS)
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.internal.stateStore.partitions": str(partitions)}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         # As a pattern, a table of one file is as good as a folder.
         rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
@@ -40,7 +42,8 @@ def digest_state(spark: SparkSession, path: str, schema: T.StructType, at: str,
         query = state.writeStream.outputMode("update").format("noop").option("checkpointLocation", at).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.unset(kept) if before is None else spark.conf.set(kept, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     found = spark.read.format("statestore").load(at)
     (key,), value = found.schema["key"].dataType.fieldNames(), found.schema["value"].dataType.fieldNames()
     return found.select(F.col(f"key.`{key}`").alias("digest"), F.col(f"value.`{value[0]}`").alias("keep_id"), F.col(f"value.`{value[1]}`").alias("n"))
@@ -63,7 +66,7 @@ def only_present(rows: DataFrame, several: DataFrame) -> DataFrame:
     return found.where(F.floor(byte / F.pow(F.lit(2), bit % 8)).cast("long") % 2 == 1).drop("_bucket", "_bits")
 
 
-def exact_dedup(spark: SparkSession, path: str, digest=sha256) -> DataFrame:
+def exact_dedup(spark: SparkSession, path: str, digest=sha256, partitions: int = 48) -> DataFrame:
     """One row per row of the table at ``path`` (Parquet; doc_id long, text string).
 
     doc_id, keep_id (largest doc_id of the equal texts), group_size (rows with that text), kept
@@ -72,7 +75,7 @@ def exact_dedup(spark: SparkSession, path: str, digest=sha256) -> DataFrame:
     over others. An empty table gives an empty table; further columns are not carried.
     """
     schema = spark.read.parquet(path).select("doc_id", "text").schema
-    state = digest_state(spark, path, schema, shared_dir(spark), digest)
+    state = digest_state(spark, path, schema, shared_dir(spark), digest, partitions=partitions)
     rows = spark.read.schema(schema).parquet(path).withColumn("text", F.coalesce("text", F.lit("")))
     sha = F.sha2("text", 256)
     # Hits: the rows of groups of two or more, with their texts; singles need no look at bytes.

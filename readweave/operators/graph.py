@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .overlaps import with_ends
@@ -72,13 +74,15 @@ def rescue_dead_ends(o: DataFrame, edges: DataFrame, trim: DataFrame, n: int = 1
     return open_.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).select(F.col("aread").alias("src"), F.col("bread").alias("dst"), "side", "span")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """rid and the least rid of its component; labels spread along edges and jump, lineage is cut each round."""
-    spark = edges.sparkSession
+def set_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go to the folder that the cluster names; only where it names none, as in tests, to a new one."""
     if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """rid and the least rid of its component; labels spread along edges and jump, lineage is cut each round."""
+    set_checkpoints(edges.sparkSession)
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct().checkpoint()
     label = both.select(F.col("src").alias("rid")).distinct().withColumn("component", F.col("rid")).checkpoint()
     while True:

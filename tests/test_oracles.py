@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from readweave.plans.catalog import REGISTRY
+from readweave.plans import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 

@@ -101,10 +101,16 @@ def base_counts(reads: DataFrame) -> DataFrame:
     return reads.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("seq")).alias("bases"), *map(count, "acgt"))
 
 
-def kmers(reads: DataFrame, k: int) -> DataFrame:
-    """rid, pos (from 1), kmer."""
-    d = reads.where(F.length("seq") >= k).select("rid", "seq", F.explode(F.sequence(F.lit(1), F.length("seq") - k + 1)).alias("pos"))
-    return d.select("rid", "pos", F.substr("seq", F.col("pos"), F.lit(k)).alias("kmer"))
+def kmers(reads: DataFrame, k: int, chunk: int = 256) -> DataFrame:
+    """rid, pos (from 1), kmer.
+
+    Reads are cut into chunks of ``chunk`` starts first, so that no k-mer row carries or scans its whole read; chunks are spread by hash,
+    which moves a small part of what the k-mers weigh and evens out long reads.
+    """
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.length("seq") - k) / chunk).cast("int")), lambda c: F.substr("seq", c * chunk + 1, F.lit(chunk + k - 1)))
+    d = reads.where(F.length("seq") >= k).select("rid", F.posexplode(cut).alias("_c", "_s")).repartition("rid", "_c")
+    d = d.select("rid", "_c", "_s", F.explode(F.sequence(F.lit(1), F.length("_s") - k + 1)).alias("_p"))
+    return d.select("rid", (F.col("_c") * chunk + F.col("_p")).alias("pos"), F.substr("_s", F.col("_p"), F.lit(k)).alias("kmer"))
 
 
 def kmer_counts(reads: DataFrame, k: int) -> DataFrame:

@@ -77,6 +77,13 @@ def test_chain_breaks_at_strand_and_wide_gap(spark):
     assert got == {1: (0, 0), 2: (0, 1), 3: (1, 0), 4: (2, 0)}
 
 
+def test_weak_tiles_outside_breaks(spark):
+    pile = spark.createDataFrame([(1, t, 5, 0, 10 * t, 10 * t + 100, k) for t in range(4) for k in (1, 2)], "aread long, tile long, bread long, comp int, sb long, eb long, k int")
+    tile_q = spark.createDataFrame([(1, 0, 0), (1, 1, 10), (1, 2, 30), (1, 3, 0)], "rid long, tile long, q long")
+    breaks = spark.createDataFrame([(1, 300, 400)], "aread long, beg long, end_ long")
+    assert sorted((r.tile, r.sb) for r in patches.weak_tiles(pile, tile_q, breaks).collect()) == [(0, 0), (2, 20)]
+
+
 def test_names(spark):
     contigs = spark.createDataFrame([(7, "c1")], "cid long, name string")
     names = spark.createDataFrame([("c1",), ("c1_subseq_5:90",), ("none",)], "name string")

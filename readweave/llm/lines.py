@@ -2,10 +2,11 @@
 
 A gram is the shortest run of lines from a line on that holds ``gram_words`` words; a window is the
 shortest run that holds ``min_words``. Of the grams inside a window the one with the least hash is
-kept as a fingerprint, the later one on a tie. A run of ``min_words`` words or more that stands in two places holds a whole
-window, so both places keep the same fingerprint: none is missed.
+chosen, the later one on a tie. A fingerprint is the hash of a window together with that gram: of the shortest window from each line on, and
+of the shortest one back from each line. Every line of a run of ``min_words`` words or more lies in such a window inside the run.
 
-Fingerprints meet by hash, and each occurrence is paired with the earliest one alone, never with all. A pair is
+Fingerprints meet by hash, and each occurrence is paired with the earliest one alone, never with all: as the whole window is equal
+there, a repeat is found whatever surrounds the earliest place of its grams. A pair is
 extended line by line both ways; if the run has ``min_words`` words, its lines are deleted in the
 later place. The earliest place of every line always stays.
 """
@@ -29,14 +30,15 @@ def line_hashes(text: str) -> np.ndarray:
 
 
 def winnow(hashes: np.ndarray, words: list[int], min_words: int, gram_words: int) -> list[tuple[int, int]]:
-    """Fingerprints of a text: (gram hash, first line), in the order of lines."""
+    """Fingerprints of a text: (hash of a window and its gram, first line of the window)."""
     n, total = len(words), np.concatenate([[0], np.cumsum(words)])
     if total[-1] < min_words:
         return []
     raw = hashes.tobytes()
     gram_end = np.searchsorted(total, total[:-1] + gram_words)  # line after the gram
     window_end = np.searchsorted(total, total[:-1] + min_words)
-    picked, held, j = {}, deque(), 0
+    window_start = np.searchsorted(total, total[1:] - min_words, "right") - 1  # of the window that ends with the line
+    chosen, held, j = [], deque(), 0
     for i in range(n):
         if window_end[i] > n:
             break
@@ -48,9 +50,10 @@ def winnow(hashes: np.ndarray, words: list[int], min_words: int, gram_words: int
             j += 1
         while held[0][1] < i:
             held.popleft()
-        h, at = held[0]
-        picked[at] = h
-    return [(h - (1 << 64) if h >= 1 << 63 else h, at) for at, h in sorted(picked.items())]
+        chosen.append(held[0][0])
+    spans = {(i, int(window_end[i])) for i in range(len(chosen))} | {(int(i), end + 1) for end, i in enumerate(window_start) if i >= 0}
+    found = ((xxhash.xxh64_intdigest(raw[8 * i : 8 * end], chosen[i]), i) for i, end in sorted(spans))
+    return [(h - (1 << 64) if h >= 1 << 63 else h, at) for h, at in found]
 
 
 def line_table(docs: DataFrame, min_words: int, gram_words: int) -> DataFrame:

@@ -121,9 +121,12 @@ def kmer_histogram(reads: DataFrame, k: int) -> DataFrame:
     return kmer_counts(reads, k).groupBy("n").agg(F.count(F.lit(1)).alias("kmers"))
 
 
-def cap_kmers(km: DataFrame, t: int) -> DataFrame:
-    """k-mers that occur fewer than ``t`` times, by a join with their counts, so that no frequent one gathers in a window."""
-    few = km.groupBy("kmer").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < t).drop("_n")
+def cap_kmers(km: DataFrame, t: int | DataFrame) -> DataFrame:
+    """k-mers that occur fewer than ``t`` times (a number, or one row with ``cap``), by a join with their counts, so that no frequent one gathers in a window."""
+    few = km.groupBy("kmer").agg(F.count(F.lit(1)).alias("_n"))
+    if isinstance(t, DataFrame):
+        few, t = few.crossJoin(F.broadcast(t.select("cap"))), F.col("cap")
+    few = few.where(F.col("_n") < t).select("kmer")
     return km.join(few, "kmer", "left_semi")
 
 
@@ -134,6 +137,14 @@ def choose_cap(reads: DataFrame, k: int, budget: int) -> DataFrame:
     return h.withColumn("_run", F.sum("pairs").over(w)).where(F.col("_run") <= budget).agg((F.max("c") + 1).alias("cap"))
 
 
+def scaled_cap(reads: DataFrame, k: int, pairs: int) -> DataFrame:
+    """The largest cap whose pairs stay within ``pairs`` for each k-mer place of the table, whatever its size: one row."""
+    h = kmers(reads, k).groupBy("kmer").agg(F.count(F.lit(1)).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("c")  # one row for each count
+    h = h.withColumn("_run", F.sum(F.col("_n") * F.col("c") * F.col("c")).over(w)).withColumn("_all", F.sum(F.col("_n") * F.col("c")).over(Window.partitionBy()))
+    return h.where(F.col("_run") <= pairs * F.col("_all")).agg((F.max("c") + 1).alias("cap"))
+
+
 def mask_kmers(km: DataFrame, iv: DataFrame, k: int) -> DataFrame:
     """k-mers that touch no interval of their read."""
     from .intervals import interval_join
@@ -143,13 +154,14 @@ def mask_kmers(km: DataFrame, iv: DataFrame, k: int) -> DataFrame:
     return km.join(hit, ["rid", "pos"], "left_anti")
 
 
-def seed_pairs(reads: DataFrame, k: int, cap: int, both_strands: bool = False) -> DataFrame:
-    """Pairs of reads a < b that share a k-mer below the cap: aread, bread, comp, apos, bpos."""
+def seed_pairs(reads: DataFrame, k: int, cap: int | DataFrame, both_strands: bool = False) -> DataFrame:
+    """Pairs of reads a < b that share a k-mer below the cap: aread, bread, comp, apos, bpos; where comp is 1, bpos counts on the turned read."""
     km = cap_kmers(kmers(reads, k), cap)
     a = km.select(F.col("rid").alias("aread"), F.col("pos").alias("apos"), "kmer")
     b = km.select(F.col("rid").alias("bread"), F.col("pos").alias("bpos"), "kmer", F.lit(0).alias("comp"))
     if both_strands:
-        b = b.unionByName(km.select(F.col("rid").alias("bread"), F.col("pos").alias("bpos"), reverse_complement(F.col("kmer")).alias("kmer"), F.lit(1).alias("comp")))
+        turned = cap_kmers(kmers(reads.withColumn("seq", reverse_complement(F.col("seq"))), k), cap)
+        b = b.unionByName(turned.select(F.col("rid").alias("bread"), F.col("pos").alias("bpos"), "kmer", F.lit(1).alias("comp")))
     return a.join(b, "kmer").where("aread < bread").select("aread", "bread", "comp", "apos", "bpos")
 
 

@@ -173,6 +173,15 @@ add("seed_pairs", lambda v: R.seed_pairs(v.reads, 14, 5).groupBy("aread", "bread
 add("band_scores", lambda v: R.band_scores(R.seed_pairs(v.reads, 14, 5), 14), "aread bread comp band score total amin amax", "", SEEDS + """, bd AS (SELECT *, 0 AS comp, CAST(floor((apos - bpos) / 64) AS BIGINT) AS band FROM sd),
 sc AS (SELECT aread, bread, comp, band, sum(c) AS score, min(apos) AS amin, max(apos) AS amax FROM (SELECT *, least(14, coalesce(apos - lag(apos) OVER (PARTITION BY aread, bread, band ORDER BY apos, bpos), 14)) AS c FROM bd) GROUP BY ALL);;
 SELECT * FROM (SELECT a.*, a.score + coalesce(b.score, 0) AS total FROM sc a LEFT JOIN sc b ON b.aread = a.aread AND b.bread = a.bread AND b.band = a.band + 1) WHERE total >= 35""", "reads")
+SEEDS2 = KM + """, tk AS (SELECT rid, pos, substr(seq, pos, 14) AS kmer FROM (SELECT rid, seq, unnest(range(1, length(seq) - 12)) AS pos FROM (SELECT rid, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS seq FROM reads WHERE length(seq) >= 14))),
+hc AS (SELECT c, count(*) AS n FROM (SELECT count(*) AS c FROM km GROUP BY kmer) GROUP BY c), cp AS (SELECT max(c) + 1 AS cap FROM (SELECT c, sum(n * c * c) OVER (ORDER BY c) AS r, sum(n * c) OVER () AS t FROM hc) WHERE r <= 8 * t),
+fk AS (SELECT * FROM km WHERE kmer IN (SELECT kmer FROM km GROUP BY kmer HAVING count(*) < (SELECT cap FROM cp))), ft AS (SELECT * FROM tk WHERE kmer IN (SELECT kmer FROM tk GROUP BY kmer HAVING count(*) < (SELECT cap FROM cp))),
+sd AS (SELECT a.rid AS aread, b.rid AS bread, b.comp, a.pos AS apos, b.pos AS bpos FROM fk a JOIN (SELECT *, 0 AS comp FROM fk UNION ALL SELECT *, 1 FROM ft) b ON a.kmer = b.kmer AND a.rid < b.rid)"""
+stranded = lambda v: R.seed_pairs(v.reads, 14, R.scaled_cap(v.reads, 14, 8), both_strands=True)
+add("seed_pairs_stranded", lambda v: stranded(v).groupBy("aread", "bread", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("apos") - F.col("bpos")).alias("s")), "aread bread comp n s", "", SEEDS2 + ";; SELECT aread, bread, comp, count(*) AS n, sum(apos - bpos) AS s FROM sd GROUP BY ALL", "reads")
+add("band_scores_stranded", lambda v: R.band_scores(stranded(v), 14), "aread bread comp band score total amin amax", "", SEEDS2 + """, bd AS (SELECT *, CAST(floor((apos - bpos) / 64) AS BIGINT) AS band FROM sd),
+sc AS (SELECT aread, bread, comp, band, sum(c) AS score, min(apos) AS amin, max(apos) AS amax FROM (SELECT *, least(14, coalesce(apos - lag(apos) OVER (PARTITION BY aread, bread, comp, band ORDER BY apos, bpos), 14)) AS c FROM bd) GROUP BY ALL);;
+SELECT * FROM (SELECT a.*, a.score + coalesce(b.score, 0) AS total FROM sc a LEFT JOIN sc b ON b.aread = a.aread AND b.bread = a.bread AND b.comp = a.comp AND b.band = a.band + 1) WHERE total >= 35""", "reads")
 add("low_complexity", lambda v: R.low_complexity(v.reads, t=0.6), "rid beg end_", "track", f""" k3 AS (SELECT rid, pos, substr(seq, pos, 3) AS kmer FROM (SELECT rid, seq, unnest(range(1, length(seq) - 1)) AS pos FROM reads WHERE length(seq) >= 3)),
 lw AS (SELECT rid, (pos - 1) // 64 AS win, kmer, count(*) AS c FROM k3 WHERE (pos - 1) % 64 <= 61 GROUP BY ALL), lh AS (SELECT 'dust' AS track, w.rid, win * 64 AS beg, least((win + 1) * 64, length(seq)) AS end_ FROM (SELECT rid, win, sum(c * (c - 1) / 2) AS s FROM lw GROUP BY ALL) w JOIN reads r ON r.rid = w.rid WHERE s > 0.6 * 61);;{union("lh")}""", "reads")
 add("n50", lambda v: R.n50(v.contigs), "pct n_len n_count", "", " r AS (SELECT len, sum(len) OVER (ORDER BY len DESC, cid ROWS UNBOUNDED PRECEDING) AS cum, row_number() OVER (ORDER BY len DESC, cid) AS k, sum(len) OVER () AS total FROM contigs);; SELECT pct, arg_min(len, k) AS n_len, min(k) AS n_count FROM r, (VALUES (10), (50), (90)) AS p(pct) WHERE cum * 100 >= total * pct GROUP BY pct", "contigs")

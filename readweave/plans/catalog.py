@@ -111,6 +111,7 @@ add("filter_segment_error", lambda v: O.filter_segment_error(v.ovl, v.trace, 60)
 add("downsample", lambda v: O.downsample(v.ovl, v.lens, 40), "ovl_id aread bread", "", " m AS (SELECT count(*) * 40 // 100 AS m FROM lens);; SELECT ovl_id, aread, bread FROM ovl, m WHERE aread <= m AND bread <= m", "ovl")
 add("remove_overlaps", lambda v: O.remove_overlaps(O.flagged(v.ovl), ["identity"]), "ovl_id flags", "", ";; SELECT ovl_id, CASE WHEN aread = bread THEN 2 ELSE 0 END AS flags FROM ovl", "ovl")
 add("show_overlaps", lambda v: O.show_overlaps(v.ovl, 2500, 800, 95, [(1, 50), (90, 120)]), "ovl_id identity", "", ";; SELECT * FROM (SELECT *, 100 - 100 * diffs // (aepos - abpos) AS identity FROM ovl) WHERE alen >= 2500 AND blen >= 2500 AND aepos - abpos >= 800 AND identity >= 95 AND (aread BETWEEN 1 AND 50 OR aread BETWEEN 90 AND 120)", "ovl")
+add("show_all_overlaps", lambda v: O.show_overlaps(v.ovl, 2500, 800, 95), "ovl_id identity", "", ";; SELECT * FROM (SELECT *, 100 - 100 * diffs // (aepos - abpos) AS identity FROM ovl) WHERE alen >= 2500 AND blen >= 2500 AND aepos - abpos >= 800 AND identity >= 95", "ovl")
 add("flag_labels", lambda v: O.filter_overlaps(v.ovl, v.trim).select("ovl_id", flag_labels(F.col("flags")).alias("labels")), "ovl_id", "labels", OVL_ENDS + f", f AS ({RULES});; SELECT ovl_id, concat_ws(',', CASE WHEN flags & 2 > 0 THEN 'DISCARD' END, CASE WHEN flags & 16 > 0 THEN 'LOCAL' END, CASE WHEN flags & 32 > 0 THEN 'DIFF' END, CASE WHEN flags & 512 > 0 THEN 'OLEN' END, CASE WHEN flags & 1024 > 0 THEN 'RLEN' END) AS labels FROM f", "ovl trim")
 BROKEN = "SELECT * EXCLUDE (aepos), CASE WHEN ovl_id % 97 = 0 THEN alen + 5 ELSE aepos END AS aepos FROM ovl"
 add("check_overlaps", lambda v: O.check_overlaps(v.ovl.withColumn("aepos", F.expr("case when ovl_id % 97 = 0 then alen + 5 else aepos end"))), "ovl_id", "rule", f" b AS ({BROKEN}), d AS (SELECT *, coalesce(lag((comp, abpos, aepos, bbpos, bepos)) OVER (PARTITION BY aread, bread ORDER BY comp, abpos, aepos, bbpos, bepos, ovl_id) = (comp, abpos, aepos, bbpos, bepos), false) AS dup FROM b);; SELECT ovl_id, 'a_bounds' AS rule FROM d WHERE abpos < 0 OR aepos > alen UNION ALL SELECT ovl_id, 'b_bounds' FROM d WHERE bbpos < 0 OR bepos > blen UNION ALL SELECT ovl_id, 'empty' FROM d WHERE abpos >= aepos OR bbpos >= bepos UNION ALL SELECT ovl_id, 'duplicate' FROM d WHERE dup", "ovl")

@@ -174,22 +174,23 @@ class Codec:
     def merged(self, pieces: set[str]) -> dict[str, bytes]:
         """The cache, with all these pieces in it."""
         missing = self.pieces.missing(pieces)
-        self.pieces.new.update(self.encode_pieces(missing))
+        self.pieces.add(self.encode_pieces(missing))
         return self.pieces.new
 
     def entries(self, parts: list[str]) -> list[bytes | int]:
         """The ids of parts, which may begin with one space; 0 for a part that else begins or ends in white space, or is empty."""
         split, missing = {}, self.parts.missing(set(parts))
-        known = self.parts.new
+        made = {}
         for c in missing:
             if c[-1:].isspace() or c[c[:1] == " " :][:1].isspace() or not c:
-                known[c] = 0
+                made[c] = 0
             else:
                 split[c] = self.split(c)
         piece = self.merged({p for v in split.values() for p in v})
         for c, v in split.items():
-            known[c] = piece[v[0]] if len(v) == 1 else b"".join([piece[p] for p in v])
-        return list(map(known.__getitem__, parts))
+            made[c] = piece[v[0]] if len(v) == 1 else b"".join([piece[p] for p in v])
+        self.parts.add(made)
+        return list(map(self.parts.new.__getitem__, parts))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, as encode_ordinary of the tiktoken library gives them, and where each text's ids end (first 0).
@@ -198,11 +199,11 @@ class Codec:
         is cut anew at its clean spaces alone.
         """
         w = Words(texts)
-        first = w.ends[:-1]
-        heads = [w.distinct[i] for i in w.at[first]]
+        first, distinct = w.ends[:-1], w.distinct.to_pylist()
+        heads = [distinct[i] for i in w.at[first]]
         at = w.at.copy()
-        at[first] = len(w.distinct) + np.arange(len(heads))
-        entries = self.entries([" " + c for c in w.distinct]) + self.entries(heads)
+        at[first] = len(distinct) + np.arange(len(heads))
+        entries = self.entries([" " + c for c in distinct]) + self.entries(heads)
         unclean = np.array([e == 0 for e in entries])
         flat, ends = Pool([e or b"" for e in entries]).lay(at, w.ends)
         if not unclean.any() or not len(at):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +64,15 @@ class Words:
         self.ends = lists.offsets.to_numpy().astype("i8") - lists.offsets[0].as_py()
         found = lists.flatten().dictionary_encode()
         self.at = found.indices.to_numpy()
-        self.distinct: list[str] = found.dictionary.to_pylist()
+        self.distinct: pa.Array = found.dictionary
+
+
+def lay(flat: np.ndarray, start: np.ndarray, size: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of ``flat`` one after another; where the entries end that stand before each of ``ends`` (first 0)."""
+    total = np.concatenate([[0], np.cumsum(size)])
+    where = np.repeat(start - total[:-1], size)
+    where += np.arange(total[-1])
+    return flat[where], total[ends]
 
 
 class Pool:
@@ -77,28 +85,78 @@ class Pool:
 
     def lay(self, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All entries in the order of ``at``; where each text's numbers end (first 0)."""
-        size = self.size[at]
-        total = np.concatenate([[0], np.cumsum(size)])
-        where = np.repeat(self.start[at] - total[:-1], size)
-        where += np.arange(total[-1])
-        return self.flat[where], total[ends]
+        return lay(self.flat, self.start[at], self.size[at], ends)
+
+
+class Lexicon:
+    """Words and the numbers that ``compute`` gives for them, kept in two flat arrays.
+
+    Kept are at most ``most`` bytes, and no word of more than ``longest`` bytes: in scripts without spaces a word may be a whole
+    text. ``compute`` takes an array of words and returns their numbers one after another, and how many each has.
+    """
+
+    def __init__(self, compute: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int = 48 << 20, longest: int = 64) -> None:
+        self.compute, self.most, self.longest = compute, most, longest
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.flat, self.size = pa.array([], pa.string()), np.zeros(0, "u4"), np.zeros(0, "i8")
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The numbers, and for each of ``words`` (all different) where its own start and how many they are."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype("i8")
+        flat, size = self.flat, self.size
+        fresh = np.flatnonzero(at < 0)
+        if len(fresh):
+            missing = words.take(pa.array(fresh))
+            own, own_size = self.compute(missing)
+            at[fresh] = len(size) + np.arange(len(fresh))
+            flat, size = np.concatenate([flat, own]), np.concatenate([size, own_size])
+            self.keep(missing, own, own_size)
+        start = np.cumsum(size) - size
+        return flat, start[at], size[at]
+
+    def keep(self, words: pa.Array, flat: np.ndarray, size: np.ndarray) -> None:
+        short = pc.less_equal(pc.binary_length(words), self.longest).to_numpy(zero_copy_only=False)
+        words, flat, size = words.filter(pa.array(short)), flat[np.repeat(short, size)], size[short]
+        if self.words.nbytes + words.nbytes + 4 * (len(self.flat) + len(flat)) > self.most:
+            self.forget()
+        if words.nbytes + flat.nbytes <= self.most:
+            self.words = pa.concat_arrays([self.words, words])
+            self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
 
 
 class Memo:
-    """A bounded cache of two generations: what is used stays, what is not goes."""
+    """A cache of two generations, each of at most ``most`` bytes: what is used stays, what is not goes.
+
+    Keys of more than ``longest`` characters are held for the one call that asks for them.
+    """
 
-    def __init__(self, most: int = 300_000) -> None:
-        self.most, self.new, self.old = most, {}, {}
+    def __init__(self, most: int = 48 << 20, longest: int = 64) -> None:
+        self.most, self.longest, self.held, self.new, self.old, self.passing = most, longest, 0, {}, {}, []
 
     def missing(self, keys: set) -> list:
         """Keys that must be computed; the rest is made present in ``new``."""
-        if len(self.new) > self.most:
-            self.new, self.old = {}, self.new
-        out, new, old = [], self.new, self.old
-        for k in keys - new.keys():
-            v = old.get(k)
+        for k in self.passing:
+            self.new.pop(k, None)
+        self.passing = []
+        if self.held > self.most:
+            self.new, self.old, self.held = {}, self.new, 0
+        out, found = [], {}
+        for k in keys - self.new.keys():
+            v = self.old.get(k)
             if v is None:
                 out.append(k)
             else:
-                new[k] = v
+                found[k] = v
+        self.add(found)
         return out
+
+    def add(self, found: dict) -> None:
+        self.new.update(found)
+        self.passing += [k for k in found if len(k) > self.longest]
+        self.held += sum(ENTRY_BYTES + len(k) + (len(v) if isinstance(v, bytes) else 0) for k, v in found.items())
+
+
+#: What a dictionary entry takes besides its content, about.
+ENTRY_BYTES = 150

@@ -2,7 +2,7 @@
 
 The tokenizers library encodes. A tokenizer that drops white space never joins two sides of a
 space, so an ordinary text is the sum of its words, and each worker asks the library for a word
-only once while it stays in a bounded cache.
+only once while it stays in a store of bounded size.
 
 Huge texts are encoded in overlapping chunks with offsets. A chunk may begin or end inside a
 word, so its edges are wrong; two neighbours are spliced at a place in their overlap where both
@@ -12,6 +12,7 @@ place. Where an overlap has no such place it is widened, if need be up to the wh
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import Memo, Pool, Words, slices
+from .common import Lexicon, Words, lay, slices
+
+
+#: Marks that may end a word; like letters they are a class of their own in the pattern below.
+MARKS = '.,!?;:%$&*()"'
+#: Letters whose small form is the same for a library that first composes (NFC) and then lowers, and a word of them.
+SIMPLE = "^(?P<core>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<mark>[" + MARKS + "]*)$"
 
 
 class Encoder:
@@ -30,36 +37,47 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunk, self.overlap, self.words, self.cores = chunk, overlap, Memo(400_000), Memo(400_000)
-        one, two = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("ab\n cd ", "ab"))
-        if one[: len(two)] != two or one[len(two) :] != self.tokenizer.encode("cd", add_special_tokens=False).ids:
-            raise ValueError(f"{path}: white space makes tokens; texts can't be cut at it")
+        self.chunk, self.overlap = chunk, overlap
+        self.words, self.parts = Lexicon(self.word_ids), Lexicon(self.library_ids)
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        self.folds = all(ids(w.upper() + m) == ids(w) + ids(m) for w in ("abc", "the", "zq", "endoftext") for m in ("", ".", ","))
-
-    def entries(self, words: list[str]) -> list[bytes]:
-        missing = self.words.missing(set(words))
-        known, cores = self.words.new, {}
-        for w in missing:
-            cores[w] = self.core(w)
-        todo = self.cores.missing({c for c, _ in cores.values()} | {".", ","})
-        found = self.cores.new
-        for k in range(0, len(todo), 4096):
-            some = todo[k : k + 4096]
-            for c, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                found[c] = np.array(e.ids, "<u4").tobytes()
-        for w, (c, mark) in cores.items():
-            known[w] = found[c] + found[mark] if mark else found[c]
-        return list(map(known.__getitem__, words))
-
-    def core(self, word: str) -> tuple[str, str]:
-        """What the library is asked for, and a mark that follows: small letters with or without a full stop or comma, where that is sure to give the same."""
-        if self.folds and word.isascii():
-            if word.isalpha():
-                return word.lower(), ""
-            if word[-1:] in (".", ",") and word[:-1].isalpha():
-                return word[:-1].lower(), word[-1]
-        return word, ""
+        if ids("ab\n cd ") != ids("ab") + ids("cd"):
+            raise ValueError(f"{path}: white space makes tokens; texts can't be cut at it")
+        rules = json.loads(self.tokenizer.to_str())
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in rules["added_tokens"]):
+            raise ValueError(f"{path}: added tokens reach into white space; texts can't be cut at it")
+        self.folds = folds(rules)
+        self.mark = next(((c, ids(c)[0]) for c in "日人中大国" if len(ids(c)) == 1), None)
+
+    def word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words of simple letters are asked for in small letters, apart from the marks that end them."""
+        core, tail = words, pa.array([""] * len(words), pa.string())
+        if self.folds:
+            found = pc.extract_regex(words, SIMPLE)
+            core = pc.if_else(pc.is_null(found), words, pc.utf8_lower(pc.struct_field(found, "core")))
+            tail = pc.fill_null(pc.struct_field(found, "mark"), "")
+        both = pa.concat_arrays([core, tail]).dictionary_encode()
+        flat, start, size = self.parts.find(both.dictionary)
+        at = both.indices.to_numpy().reshape(2, -1).T.ravel()
+        out, ends = lay(flat, start[at], size[at], 2 * np.arange(len(words) + 1))
+        return out, np.diff(ends)
+
+    def library_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Many words in one call: a mark of one token stands after each, and tells where its tokens end."""
+        held, flat, size = words.to_pylist(), [np.zeros(0, "u4")], [np.zeros(0, "i8")]
+        for k in range(0, len(held), 1000):
+            some, cut = held[k : k + 1000], np.zeros(0, "i8")
+            if self.mark:
+                sign, its_id = self.mark
+                ids = np.array(self.tokenizer.encode_batch_fast([f" {sign} ".join([*some, ""])], add_special_tokens=False)[0].ids, "u4")
+                cut = np.flatnonzero(ids == its_id)
+            if len(cut) == len(some):
+                flat.append(np.delete(ids, cut))
+                size.append(np.diff(cut, prepend=-1) - 1)
+            else:  # no mark, or a word that holds it
+                each = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                flat += [np.array(i, "u4") for i in each]
+                size.append(np.array(list(map(len, each)), "i8"))
+        return np.concatenate(flat), np.concatenate(size)
 
     def tokens(self, text: str, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of one chunk and where in the text each token starts."""
@@ -106,8 +124,9 @@ class Encoder:
             mask = np.zeros(len(texts), bool)
             mask[huge] = True
             texts = pc.if_else(pa.array(mask), "", texts)
-        w = Words(texts)
-        flat, ends = Pool(self.entries(w.distinct)).lay(w.at, w.ends)
+        w = Words(pc.replace_substring(texts, "\n", " "))
+        flat, start, size = self.words.find(w.distinct)
+        flat, ends = lay(flat, start[w.at], size[w.at], w.ends)
         if not len(huge):
             return flat, ends
         size = np.diff(ends)
@@ -118,6 +137,14 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum(size)])
 
 
+def folds(rules: dict) -> bool:
+    """Whether a tokenizers file lowers all letters and cuts between letters and other marks, read from its own rules."""
+    kinds = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+    first = ((rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    choices = first.get("pattern", {}).get("Regex", "").split("|") if first.get("type") == "Split" else []
+    return "Lowercase" in kinds and set(kinds) <= {"NFC", "Replace", "Lowercase"} and {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set(choices)
+
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from readweave.llm.common import shared_dir
+from readweave.llm.common import Memo, shared_dir
 from readweave.llm.sstable import Reader, read_token_shards, shard_digests, write_token_shards
 from readweave.llm.tokens import Encoder, count_tokens
 
@@ -64,3 +64,34 @@ def test_shards(spark):
 def test_no_shards(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert shard_digests(write_token_shards(df, PATH, 2, shared_dir(spark))).count() == 0
+
+
+def test_texts_without_spaces_stay_out_of_the_store():
+    """Scripts without spaces make words of whole texts; the store keeps none of them and stays bounded by bytes."""
+    e = Encoder(PATH)
+    e.words.most = e.parts.most = 20_000
+    for n in range(12):
+        texts = [f"日本語{n}{k}の文章" * 30 for k in range(40)] + [f"w{n}x{k}. " * 3 for k in range(400)] + ["Éa, ÀB!! ÿ& 日 ss.日"]
+        ids, ends = e.encode(pa.array(texts))
+        for t, a, b in zip(texts[::57], ends[:-1][::57], ends[1:][::57], strict=True):
+            assert ids[a:b].tolist() == want(t)
+        for held in (e.words, e.parts):
+            assert held.words.nbytes + held.flat.nbytes <= 20_000
+            assert max(map(len, held.words.to_pylist()), default=0) <= 64
+
+
+def test_memo_is_bounded_by_bytes():
+    m = Memo(most=50_000)
+    for n in range(40):
+        todo = m.missing({f"k{n}_{k}" for k in range(50)} | {"long" * 500 + str(n)})
+        m.add({k: b"x" * 8 for k in todo})
+        assert len(m.new) + len(m.old) < 900 and sum(len(k) > 64 for k in [*m.new, *m.old]) <= 1
+
+
+@pytest.mark.parametrize("size", [3_000_000])
+def test_very_long_texts(size):
+    one_word, many = "ab" * 40_000, ("thtion, ERE.\n" * (size // 13))
+    ids, ends = Encoder(PATH).encode(pa.array([one_word, many]))
+    assert ids[: ends[1]].tolist() == want(one_word)
+    unit = want("thtion, ERE.\n")
+    assert ids[ends[1] :].tolist() == unit * (size // 13)

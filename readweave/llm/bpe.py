@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import Memo, Pool, Words, slices
+from .common import Memo, Pool, Words, map_packed, packed, slices
 
 #: A single space between two characters that are not white space always starts a new piece.
 CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -242,8 +243,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids
     replaced; all others, rows that repeat included, come through as they are. An empty table
     gives an empty table.
     """
-    docs = docs.drop(ids)
-    schema = f"{docs.select('*').schema.simpleString()[7:-1]},{ids}:array<int>"
+    rows = packed(docs.drop(ids), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -251,24 +251,25 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids
             for start, end, texts in slices(b, text):
                 found, ends = c.encode(texts)
                 column = pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(found.astype("i4")))
-                part = b.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids])
+                yield pa.RecordBatch.from_arrays([b.column("row").slice(start, end - start), column], ["row", "out"])
 
-    return docs.mapInArrow(run, schema)
+    return map_packed(rows, run, "array<int>").select("row.*", F.col("out").alias(ids))
 
 
 def bpe_decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add ``out`` (binary), the bytes that ``ids`` stand for; null ids give null."""
-    df = df.drop(out)
-    schema = f"{df.schema.simpleString()[7:-1]},{out}:binary"
+    """Add ``out`` (binary), the bytes that ``ids`` stand for; null ids give null, no ids no bytes.
+
+    A column that is already named ``out`` is replaced; all others, rows that repeat included, come through; an empty table gives an empty table.
+    """
+    rows = packed(df.drop(out), ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
             column = [None if v is None else c.decode(np.array(v, "u4")) for v in b.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(column, pa.binary())], [*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(column, pa.binary())], ["row", "out"])
 
-    return df.mapInArrow(run, schema)
+    return map_packed(rows, run, "binary").select("row.*", F.col("out").alias(out))
 
 
 def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

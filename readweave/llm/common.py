@@ -9,38 +9,88 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the cluster names it in ``spark.checkpoint.dir``.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; only where it is unset (tests
-    on one machine) a temporary folder is set in its place.
+    Where it is unset, a temporary folder takes its place, on one machine only (tests): on a cluster, executors could not read it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        kept = spark.sparkContext.getCheckpointDir()
-        if kept is None:
-            kept = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-            spark.sparkContext.setCheckpointDir(kept)
-        base = kept
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_base(spark)}/{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder, so that lost executors lose nothing."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(base or f"file://{tempfile.mkdtemp(prefix='spark-')}")
+    """Cut the lineage in the shared folder, so that lost executors lose nothing.
+
+    Spark deletes the files with the frame where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    shared_base(df.sparkSession)
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """``row`` (all columns of ``df`` as one, so that no name of theirs clashes with another) beside some of them."""
+    return df.select(F.struct("*").alias("row"), *columns)
+
+
+def map_packed(rows: DataFrame, run: Callable, kind: str) -> DataFrame:
+    """Run ``run`` over Arrow batches of ``rows``; it yields batches of ``row`` and ``out`` (of type ``kind``)."""
+    out = T.StructType([rows.schema["row"], T.StructField("out", T.StructType.fromDDL(f"out {kind}")[0].dataType)])
+    return rows.mapInArrow(run, out)
+
+
+def mark_of(df: DataFrame) -> Column:
+    """64 bits that hang on all columns of a row that can be hashed (all but maps)."""
+    return F.xxhash64(*(F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Keys with more than one row in ``HOT`` are joined apart: there are fewer of them than ``HOT``.
+HOT = 256
+
+
+def hot_join(many: DataFrame, one: DataFrame, key: str, total: int | None = None) -> DataFrame:
+    """``many`` joined with ``one``, which has each key once, with ``n``, its rows in ``many`` (``total`` in all; None: their sum).
+
+    Rows of ``one`` are of a bounded size. Those of the common keys, fewer than HOT, are broadcast, so that no key's rows meet in one task.
+    """
+    if total is None:
+        total = one.agg(F.sum("n")).first()[0] or 0
+    common = F.broadcast(one.where(F.col("n") * HOT > total))
+    rest = many.join(common.select(key), key, "left_anti").join(one.where(F.col("n") * HOT <= total), key)
+    return many.join(common, key).unionByName(rest)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", size: int = 8_000_000) -> Iterator[tuple[int, int, pa.Array]]:
     """Runs of rows of a batch with about ``size`` bytes of text each: first row, end row, texts.
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import HOT, checkpointed, hot_join, map_packed, packed
 
 
 def line_hashes(text: str) -> np.ndarray:
@@ -57,79 +57,99 @@ def winnow(hashes: np.ndarray, words: list[int], min_words: int, gram_words: int
 
 
 def line_table(docs: DataFrame, min_words: int, gram_words: int) -> DataFrame:
-    """did, uid (which row), lines (hashes), marks (array of hash and line)."""
+    """did, uid (which row), lines (hashes), words (of each line), marks (array of hash and line)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lines, marks = [], []
+            lines, words, marks = [], [], []
             for t in b.column("text"):
                 t = t.as_py()
-                h = line_hashes(t)
-                lines.append(h)
-                marks.append([{"h": m, "pos": at} for m, at in winnow(h, [len(x.split()) for x in t.split("\n")], min_words, gram_words)])
+                lines.append(line_hashes(t))
+                words.append([len(x.split()) for x in t.split("\n")])
+                marks.append([{"h": m, "pos": at} for m, at in winnow(lines[-1], words[-1], min_words, gram_words)])
             yield pa.RecordBatch.from_arrays(
-                [b.column("did"), b.column("uid"), pa.array(lines, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())])))],
-                ["did", "uid", "lines", "marks"],
+                [b.column("did"), b.column("uid"), pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())])))],
+                ["did", "uid", "lines", "words", "marks"],
             )
 
-    return docs.mapInArrow(run, "did long, uid long, lines array<long>, marks array<struct<h:long,pos:int>>")
+    return docs.mapInArrow(run, "did long, uid long, lines array<long>, words array<int>, marks array<struct<h:long,pos:int>>")
 
 
-def removed_lines(text: str, matches: list[dict], min_words: int) -> np.ndarray:
-    """Which lines of a text go: runs around the marks that equal the earlier text and have words enough."""
-    own, words = line_hashes(text), np.array([len(x.split()) for x in text.split("\n")])
+def repeated(own: np.ndarray, words: np.ndarray, theirs: np.ndarray, off: int, at: list[int], min_words: int) -> np.ndarray:
+    """Lines of a text that repeat another one: line i stands against line i + ``off``, and runs are extended both ways from each of ``at``."""
+    start = max(0, -off)
+    n = min(len(own) - start, len(theirs) - start - off)
+    stops = np.flatnonzero(own[start : start + n] != theirs[start + off : start + off + n])
     out = np.zeros(len(own), bool)
-    for m in matches:
-        start, other = m["start"], np.array(m["other"], "i8")
-        same = own[start : start + len(other)] == other
-        stops = np.flatnonzero(~same)
-        for p in m["at"]:
-            k = np.searchsorted(stops, p - start)
-            lo = stops[k - 1] + 1 if k else 0
-            hi = stops[k] if k < len(stops) else len(same)
-            if words[start + lo : start + hi].sum() >= min_words:
-                out[start + lo : start + hi] = True
-    return out
-
-
-def dedup_lines(docs: DataFrame, min_words: int = 50, gram_words: int = 25) -> DataFrame:
+    for p in at:
+        k = np.searchsorted(stops, p - start)
+        lo = start + (stops[k - 1] + 1 if k else 0)
+        hi = start + (stops[k] if k < len(stops) else n)
+        if words[lo:hi].sum() >= min_words:
+            out[lo:hi] = True
+    return np.flatnonzero(out)
+
+
+def repeated_lines(pairs: DataFrame, min_words: int) -> DataFrame:
+    """did, uid, gone (lines that go), a row for each pair of texts and shift between their lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = zip(*(b.column(c) for c in ("lines", "words", "theirs", "off", "at")), strict=True)
+            gone = [repeated(own.values.to_numpy(), words.values.to_numpy(), theirs.values.to_numpy(), off.as_py(), at.as_py(), min_words) for own, words, theirs, off, at in held]
+            yield pa.RecordBatch.from_arrays([b.column("did"), b.column("uid"), pa.array(gone, pa.list_(pa.int32()))], ["did", "uid", "gone"])
+
+    return pairs.mapInArrow(run, "did long, uid long, gone array<int>")
+
+
+#: A text that more than one of HOT pairs compares with is dealt into so many parts.
+SALTS = 64
+
+
+def dedup_lines(docs: DataFrame, min_words: int = 50, gram_words: int = 25, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     """The rows of ``docs`` with later repeated runs of lines taken out of ``text``; n_lines and n_removed are added.
 
     Lines end at line feeds and must be equal byte for byte; words stand between white space. Earlier means a smaller
     doc_id (nulls first), then a smaller hash of the text, then an earlier line, so that runs that repeat inside a text
     go too. Rows that repeat doc_id and text are one document. A null text counts as empty and comes out
-    empty; it has one line. Texts below ``min_words`` words are left alone. Columns named n_lines or n_removed are
-    replaced, all others kept; an empty table gives an empty table.
+    empty; it has one line. Texts below ``min_words`` words are left alone. Columns named as ``n_lines`` or ``n_removed`` say are
+    replaced, all others kept, whatever their names; an empty table gives an empty table.
     """
-    docs = docs.drop("n_lines", "n_removed").withColumn("text", F.coalesce("text", F.lit("")))
-    keyed = docs.withColumn("did", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("uid", F.xxhash64("doc_id", "text"))
-    lines = checkpointed(line_table(keyed.select("did", "uid", "text"), min_words, gram_words))
-    lines_of = lines.select("did", "uid", "lines")
-    marks = lines.select("did", "uid", F.size("lines").alias("n"), F.inline("marks"))
+    docs = docs.drop(n_lines, n_removed).withColumn("text", F.coalesce("text", F.lit("")))
+    keyed = packed(docs, F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), F.xxhash64("doc_id", "text").alias("uid"))
+    lines = checkpointed(line_table(keyed.select("did", "uid", F.col("row.text").alias("text")), min_words, gram_words))
+    marks = lines.select("did", "uid", F.inline("marks"))
     here = F.struct("did", "uid", "pos")
-    first = marks.groupBy("h").agg(F.min(here).alias("o"), F.max(here).alias("last")).where("o != last").drop("last")
-    hits = marks.join(first, "h").where(here != F.col("o"))
+    first = marks.groupBy("h").agg(F.min(here).alias("o"), F.max(here).alias("last"), F.count(F.lit(1)).alias("n")).where("o != last").drop("last")
+    first, total = checkpointed(first), marks.count()
+    hits = hot_join(marks, first, "h", total).where(here != F.col("o"))
     # One row for each pair of texts and shift between their lines.
-    shift = hits.groupBy("did", "uid", "n", F.col("o.did").alias("odid"), F.col("o.uid").alias("ouid"), (F.col("o.pos") - F.col("pos")).alias("off")).agg(F.collect_set("pos").alias("at"))
-    theirs = lines_of.select(F.col("did").alias("odid"), F.col("uid").alias("ouid"), F.col("lines").alias("theirs")).dropDuplicates(["odid", "ouid"])
-    start = F.greatest(F.lit(0), -F.col("off"))
-    length = F.greatest(F.lit(0), F.least(F.col("n") - start, F.size("theirs") - start - F.col("off")))
-    pairs = shift.join(theirs, ["odid", "ouid"]).select("did", "uid", F.struct(start.alias("start"), F.slice("theirs", start + F.col("off") + 1, length).alias("other"), "at").alias("match"))
-    found = pairs.groupBy("did", "uid").agg(F.collect_list("match").alias("_matches"))
-    joined = keyed.join(found, ["did", "uid"], "left").drop("did", "uid")
-    kept = [f for f in joined.schema.fields if f.name != "_matches"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", n_lines long, n_removed long"
+    shift = hits.groupBy("did", "uid", F.col("o.did").alias("odid"), F.col("o.uid").alias("ouid"), (F.col("o.pos") - F.col("pos")).alias("off")).agg(F.collect_set("pos").alias("at"))
+    shift = checkpointed(shift)
+    # A text that many others repeat: fewer than HOT of them, two numbers each, are broadcast, and their rows salted.
+    hot = shift.groupBy("odid", "ouid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * HOT > shift.count())
+    hot = F.broadcast(hot.select("odid", "ouid", F.lit(SALTS).alias("salts")))
+    asked = shift.join(hot, ["odid", "ouid"], "left").withColumn("salt", F.pmod(F.xxhash64("did", "uid"), F.coalesce("salts", F.lit(1)))).drop("salts")
+    texts = lines.select("did", "uid", "lines", "words")
+    theirs = lines.select(F.col("did").alias("odid"), F.col("uid").alias("ouid"), F.col("lines").alias("theirs")).join(shift.select("odid", "ouid").distinct(), ["odid", "ouid"], "left_semi")
+    theirs = theirs.dropDuplicates(["odid", "ouid"]).join(hot, ["odid", "ouid"], "left")
+    theirs = theirs.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)).cast("long") - 1))).drop("salts")
+    pairs = asked.join(theirs, ["odid", "ouid", "salt"]).join(texts.dropDuplicates(["did", "uid"]), ["did", "uid"])
+    found = repeated_lines(pairs, min_words).select("did", "uid", F.explode("gone").alias("line")).groupBy("did", "uid").agg(F.collect_set("line").alias("gone"))
+    joined = keyed.join(found, ["did", "uid"], "left").select("row", "gone")
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n_lines, n_removed, texts = [], [], []
-            for t, matches in zip(b.column("text").to_pylist(), b.column("_matches").to_pylist(), strict=True):
-                parts = t.count("\n") + 1
-                gone = removed_lines(t, matches, min_words) if matches else None
-                n_lines.append(parts)
-                n_removed.append(0 if gone is None else int(gone.sum()))
-                texts.append(t if gone is None else "\n".join(x for x, g in zip(t.split("\n"), gone, strict=True) if not g))
-            columns = {f.name: b.column(f.name) for f in kept} | {"text": pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
-            yield pa.RecordBatch.from_pydict(columns)
-
-    return joined.mapInArrow(run, schema)
+            row, found, removed, texts = b.column("row").flatten(), [], [], []
+            for t, gone in zip(row[at].to_pylist(), b.column("gone").to_pylist(), strict=True):
+                found.append(t.count("\n") + 1)
+                removed.append(len(gone or ()))
+                gone = set(gone or ())
+                texts.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone) if gone else t)
+            row[at] = pa.array(texts, pa.string())
+            row = pa.StructArray.from_arrays(row, fields=list(b.column("row").type))
+            counts = pa.StructArray.from_arrays([pa.array(found, pa.int64()), pa.array(removed, pa.int64())], ["lines", "removed"])
+            yield pa.RecordBatch.from_arrays([row, counts], ["row", "out"])
+
+    return map_packed(joined, run, "struct<lines:long,removed:long>").select("row.*", F.col("out.lines").alias(n_lines), F.col("out.removed").alias(n_removed))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_packed, packed
+
 FEATURES = 4096
 _PAIR = ((np.arange(1 << 16, dtype="u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)).astype("u2")
 
@@ -118,9 +120,8 @@ def score_quality(docs: DataFrame, space: Space | None, k: int = 15, score: str
     all labelled rows; without any labels every score is 0.5. A column of the same name is replaced, all others and
     repeated rows come through.
     """
-    docs = docs.drop(score)
+    rows = packed(docs.drop(score), "text")
     sent = docs.sparkSession.sparkContext.broadcast(space)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", {score} double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = sent.value
@@ -129,13 +130,17 @@ def score_quality(docs: DataFrame, space: Space | None, k: int = 15, score: str
             for start in range(0, b.num_rows, 512):
                 x = np.stack([byte_pairs((t.as_py() or "").encode()) for t in text.slice(start, 512)])
                 scores.append(np.full(len(x), 0.5) if space is None else np.where(x.any(1), space.score(x, k), space.prior))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())], [*b.schema.names, score])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["row", "out"])
 
-    return docs.mapInArrow(run, schema)
+    return map_packed(rows, run, "double").select("row.*", F.col("out").alias(score))
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1500, rank: int = 64, k: int = 15) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out (crc32(doc_id) mod 3 is 1; null: false), score, predicted."""
+    """One row per row of ``docs``: doc_id, held_out (crc32(doc_id) mod 3 is 1; null: false), score, predicted.
+
+    Null and empty texts get the share of label 1; rows that repeat all come out; further columns are not carried; an empty
+    table gives an empty table.
+    """
     scored = score_quality(docs.select("doc_id", "text"), learn_quality(docs, labels, per_class, rank), k)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

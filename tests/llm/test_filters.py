@@ -114,6 +114,24 @@ def test_lines_match_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_overlapping_passages_match_brute_force(spark, seed):
+    """Passages that overlap, nest and are shared in part: every document is what comparing all places gives."""
+    rng = np.random.default_rng(seed)
+    stock = [f"l{k} " + "w " * int(rng.integers(0, 30)) for k in range(14)]
+    texts = {}
+    for d in range(150):
+        parts = []
+        for _ in range(int(rng.integers(1, 5))):
+            a = int(rng.integers(0, 14))
+            parts += stock[a : a + int(rng.integers(1, 8))]
+            if rng.random() < 0.5:
+                parts.append(f"own {rng.integers(1e9)} z")
+        texts[d] = "\n".join(parts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == brute_lines(texts, 50)
+
+
 def test_quality(spark):
     rng = np.random.default_rng(8)
     good = [" ".join(rng.choice(["the", "and", "river", "stone", "of", "over"], 80)) for _ in range(200)]

@@ -1,25 +1,33 @@
-"""Approximate nearest neighbours with a permutation index (operator 9).
-
-Pivots come from a bounded sample. Every vector is represented by the order of its ``length`` nearest pivots and
-posted under each of them with its place. A query goes through the posting lists of its own pivots,
-which gives the footrule distance between the orders; the nearest share of a block by that distance is ranked anew by
-the exact inner product.
-
-Vectors lie in blocks of a bounded size and queries in batches; a task holds one block, its inverted file and one
-batch. Equal vectors have equal distances and are told apart by identifier, so a group of copies of any size
-is spread over all blocks and cut by nothing but the top-k itself.
+"""Approximate nearest neighbours by inner product with a permutation index (operator 9).
+
+Pivots come from a bounded sample. Every vector is represented by the order of its ``length`` nearest pivots and posted once, in
+the list of its nearest centre (a centre is one of the first pivots) and its band of norms. A query visits the lists that are
+expected to hold its neighbours: how likely a vector of a list passes a score follows from the angles between query, centre
+and list, the list's largest norm, and how many vectors it holds. In a list the inverted file over pivots gives the footrule distance
+between the orders. As the measure is an inner product, a long vector may be farther by angle: each is ranked by how far its
+footrule nearness passes what a vector of its norm would need for the score. What falls too short is left out, and the
+rest is ranked anew by the exact inner product.
+
+The score that a neighbour needs is read off a bounded sample for each query, as are the expected footrule of an angle and its spread.
+All these are statements on averages; recall against brute force is measured in the tests. Equal vectors are one vector with their
+smallest identifiers, so copies crowd out nothing. Lists of more than BLOCK vectors are dealt into several tasks.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, BATCH = 16384, 4096
+from .common import checkpointed
+
+LIST, BLOCK, CENTRES = 2048, 8192, 256
+#: Bands of norms are powers of two; beyond so many from length 1 all share the last band.
+BANDS = 31
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -30,100 +38,201 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & ~bad & some).select("vec_id", v.alias("embedding"))
 
 
-def choose_pivots(rows: DataFrame, pivots: int, sample: int) -> np.ndarray:
-    """Different vectors of a bounded sample, those with the least hash of their identifier; scaled to length 1."""
-    got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    if not got:
-        return np.zeros((0, 0))
-    dim = len(got[0].embedding)
-    x = np.array([r.embedding for r in got if len(r.embedding) == dim])
-    _, first = np.unique(x, axis=0, return_index=True)
-    x = x[np.sort(first)][: max(1, min(pivots, len(first) // 2))]
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-
-def orders(x: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
+def orders(unit: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
     """The nearest pivots of each vector, nearest first."""
-    near = -(x @ pivots.T)
+    near = -(unit @ pivots.T)
     at = np.argpartition(near, length - 1, axis=1)[:, :length]
     return np.take_along_axis(at, np.argsort(np.take_along_axis(near, at, 1), axis=1, kind="stable"), 1).astype("i4")
 
 
 class Block:
-    """The inverted file over one block: for each pivot the vectors that list it, and at which place."""
+    """The inverted file over one list: for each pivot a row with the place at which each vector names it, or ``length``."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, order: np.ndarray, pivots: int) -> None:
-        self.ids, self.x, self.length = ids, x, order.shape[1]
-        flat = order.ravel()
-        by = np.argsort(flat, kind="stable")
-        self.rows, self.places = by // self.length, by % self.length
-        self.ends = np.searchsorted(flat[by], np.arange(pivots + 1))
+    def __init__(self, x: np.ndarray, order: np.ndarray, pivots: int) -> None:
+        self.x, self.length, self.norm = x, order.shape[1], np.linalg.norm(x, axis=1)
+        kind = "i1" if self.length < 128 else "i4"
+        self.places = np.full((pivots, len(x)), self.length, kind)
+        self.places[order.T, np.arange(len(x))] = np.arange(self.length, dtype=kind)[:, None]
+        self.own = np.arange(self.length, dtype=kind)[:, None]
 
     def nearness(self, order: np.ndarray) -> np.ndarray:
         """How far below its largest value the footrule distance to each vector lies (halved; larger is nearer)."""
-        gain = np.zeros(len(self.ids), "i8")
-        for place, p in enumerate(order):
-            a, b = self.ends[p], self.ends[p + 1]
-            gain[self.rows[a:b]] += self.length - np.maximum(self.places[a:b], place)
-        return gain
-
-    def search(self, query_id: int, q: np.ndarray, order: np.ndarray, k: int, share: float, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best of the block by inner product among the nearest share; ids ascend in the block, so ties go to the smaller."""
-        n = len(self.ids)
-        keep = min(n, max(least, math.ceil(share * n)))
-        key = self.nearness(order) * n + np.arange(n - 1, -1, -1)
-        at = np.sort(np.argpartition(-key, keep - 1)[:keep]) if keep < n else np.arange(n)
-        at = at[self.ids[at] != query_id]
-        score = (self.x[at] * q).sum(1)
-        best = np.lexsort((self.ids[at], -score))[:k]
-        return self.ids[at[best]], score[best]
-
-
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512, length: int = 64, sample: int = 4096, share: float = 0.15, least: int = 256) -> DataFrame:
+        return self.length**2 - np.maximum(self.places[order], self.own).sum(0, dtype="i4")
+
+    def candidates(self, order: np.ndarray, needed: np.ndarray, least: int) -> np.ndarray:
+        """Rows whose footrule nearness reaches ``needed``, or comes nearest to it if those are fewer than ``least``."""
+        margin = self.nearness(order) - needed
+        at = np.flatnonzero(margin >= 0)
+        if len(at) < least:
+            at = np.argpartition(-margin, least - 1)[:least] if least < len(margin) else np.arange(len(margin))
+        return at
+
+
+def tail(z: np.ndarray) -> np.ndarray:
+    """Chance that a normal variable passes z (logistic approximation)."""
+    return 1 / (1 + np.exp(np.clip(1.5976 * z + 0.07056 * z**3, -700, 700)))
+
+
+@dataclass
+class Guide:
+    """What a bounded sample tells, and the table of lists."""
+
+    pivots: np.ndarray
+    sample: np.ndarray
+    length: int
+    centres: int
+    slope: float = 0.0
+    base: float = 0.0
+    spread: float = 0.0
+    turn: float = 1.0
+    lists: pd.DataFrame | None = None
+
+    @classmethod
+    def fit(cls, sample: np.ndarray, n: int, pivots: int, length: int) -> Guide:
+        """``sample``: different vectors in random order; ``n``: how many vectors there are."""
+        unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+        p = unit[: max(1, min(pivots, len(unit) // 2))]
+        out = cls(p, sample, min(length, len(p)), max(1, min(CENTRES, len(p), math.ceil(n / LIST))))
+        rest = unit[len(p) :]
+        if len(rest) < 64:
+            return out
+        asked, order, place = rest[:256], orders(rest, p, out.length), np.full((len(rest), len(p)), out.length)
+        np.put_along_axis(place, order, np.arange(out.length)[None], 1)
+        gain = np.stack([(out.length - np.maximum(place[:, o], np.arange(out.length))).sum(1) for o in order[: len(asked)]])
+        cosine = asked @ rest.T
+        off = ~np.eye(*cosine.shape, dtype=bool)
+        # Near pairs alone: the twentieth of each row with the largest cosines.
+        near = off & (cosine >= np.quantile(cosine, 0.95, axis=1, keepdims=True))
+        c, g = cosine[near], gain[near]
+        out.slope = max(0.0, float(np.cov(c, g)[0, 1] / max(c.var(), 1e-12)))
+        out.base = float(g.mean() - out.slope * c.mean())
+        out.spread = float((g - out.base - out.slope * c).std())
+        # How much of the angles is left once the angles to the centre are known: 1 / dimension, where directions are even.
+        centre = (rest @ p[: out.centres].T).argmax(1)
+        gamma, delta = asked @ p[: out.centres][centre].T, (rest * p[: out.centres][centre]).sum(1)
+        left = (cosine - gamma * delta) ** 2 / np.maximum((1 - gamma**2) * (1 - delta**2), 1e-9)
+        out.turn = float(np.mean(left[off & (left < 4)]))
+        return out
+
+    def post(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Order, list, cosine with the list's centre, norm of each vector."""
+        norm = np.linalg.norm(x, axis=1)
+        unit = x / norm[:, None]
+        near = unit @ self.pivots[: self.centres].T
+        centre = near.argmax(1)
+        band = np.clip(np.floor(np.log2(norm) + 0.5), -BANDS, BANDS).astype("i8") + BANDS
+        return orders(unit, self.pivots, self.length), centre * (2 * BANDS + 1) + band, near.max(1), norm
+
+    def score(self, q: np.ndarray, k: int) -> np.ndarray:
+        """A score that more than ``k`` of all vectors are expected to reach with each query."""
+        held = np.sort(q @ self.sample.T, axis=1)
+        rank = min(held.shape[1], math.ceil(1.5 * (k + 1) * held.shape[1] / max(1, int(self.lists["n"].sum()))) + 2)
+        return held[:, -rank]
+
+    def visits(self, q: np.ndarray, score: np.ndarray, k: int, part: float) -> list[np.ndarray]:
+        """For each query the lists (row numbers of ``lists``) that hold ``part`` of the neighbours that are expected, and ``4 * (k + 1)`` vectors."""
+        t, norm = self.lists, np.linalg.norm(q, axis=1)
+        n, delta = t["n"].to_numpy("f8"), t["delta"].to_numpy()
+        gamma = ((q / norm[:, None]) @ self.pivots[: self.centres].T)[:, t["list"].to_numpy() // (2 * BANDS + 1)]
+        sd = np.sqrt(np.maximum(1 - gamma**2, 0) * np.maximum(1 - delta**2, 0) * self.turn + gamma**2 * t["vary"].to_numpy() + 1e-9)
+        expected = n * tail((score[:, None] / (norm[:, None] * t["norm"].to_numpy()) - gamma * delta) / sd)
+        out = []
+        for e, order in zip(expected, np.argsort(-expected, axis=1), strict=True):
+            mass, rows = np.cumsum(e[order]), np.cumsum(n[order])
+            enough = (mass >= part * mass[-1]) & (rows >= min(rows[-1], 4 * (k + 1)))
+            out.append(order[: int(np.argmax(enough)) + 1])
+        return out
+
+    def needed(self, score: float, norms: np.ndarray, strict: float) -> np.ndarray:
+        """The footrule nearness below which a vector hardly reaches ``score`` (a product of norms stands in ``norms``)."""
+        return self.base + self.slope * (score / norms) - strict * self.spread
+
+
+def keys(v: Column) -> list[Column]:
+    """128 bits that stand for a vector."""
+    return [F.xxhash64(v).alias("k1"), F.xxhash64(v, F.lit(1)).alias("k2")]
+
+
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512, length: int = 32, sample: int = 4096, part: float = 0.985, strict: float = 1.9) -> DataFrame:
     """For each row whose vec_id is divisible by ``every``: its ``k`` nearest others by inner product.
 
     query_id, rank (from 1), vec_id, score (inner product of the original vectors in double precision), nearest first, ties to
     the smaller vec_id; all others if there are fewer than k. Vectors that are null, zero or hold null or
-    non-finite components take no part, nor do those of another dimension than the sample's first. Rows with the query's own
-    identifier are the query. An empty table gives an empty table; further columns are not carried.
+    non-finite components take no part, nor do those of another dimension than most have (the larger on a tie). Rows with the query's own
+    identifier are the query; a query that is there several times is answered once. An empty table gives an empty table; further
+    columns are not carried.
 
-    ``share``: the part of each block that is ranked exactly; ``least``: no fewer than so many.
+    ``sample``: the vectors that fit the index, those with the least hash. ``part``: how much of the neighbours that are expected the
+    visited lists hold. ``strict``: how many standard deviations below its expected nearness a vector may fall.
     """
-    schema = "query_id long, vec_id long, score double"
+    spark = vectors.sparkSession
     rows = usable(vectors)
-    p = choose_pivots(rows, pivots, sample)
-    if not p.size:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    m, dim = min(length, len(p)), p.shape[1]
-    sent = rows.sparkSession.sparkContext.broadcast(p)  # at most ``pivots`` vectors
+    sizes = rows.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
+    if sizes is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = rows.where(F.size("embedding") == sizes.dim)
+    # Equal vectors are one, with the k + 1 smallest identifiers; the rank is cut before the shuffle too.
+    least = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    distinct = rows.withColumn("_r", least).where(F.col("_r") <= k + 1).groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    distinct = checkpointed(distinct)
+    n = distinct.count()
+    held = distinct.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(sample).collect()
+    guide = Guide.fit(np.array([r.embedding for r in held]), n, pivots, length)
+    sent = spark.sparkContext.broadcast(guide)  # at most ``sample`` vectors
 
     def post(batches):
         for pdf in batches:
-            x = np.array(pdf["embedding"].tolist()).reshape(len(pdf), dim)
-            pdf["orders"] = [o.tobytes() for o in (orders(x, sent.value, m) if len(x) else [])]
-            yield pdf
-
-    index = rows.where(F.size("embedding") == dim).mapInPandas(post, "vec_id long, embedding array<double>, orders binary")
-    n = rows.count()
-    blocks, batches = max(1, math.ceil(n / BLOCK)), max(1, math.ceil(n / every / BATCH))
-    held = index.withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    stored = held.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    asked = held.where(F.col("vec_id") % every == 0).withColumn("_q", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(batches)))
-    asked = asked.drop("_b").withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+            if len(pdf):
+                order, pdf["list"], pdf["delta"], pdf["norm"] = sent.value.post(np.array(pdf["embedding"].tolist()))
+                pdf["orders"] = [o.tobytes() for o in order]
+                yield pdf
+
+    index = checkpointed(distinct.mapInPandas(post, "embedding array<double>, ids array<long>, list long, delta double, norm double, orders binary"))
+    # At most CENTRES * (2 * BANDS + 1) rows.
+    lists = index.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm"), F.avg("delta").alias("delta"), F.var_pop("delta").alias("vary")).toPandas()
+    guide.lists = lists.assign(deal=np.ceil(lists["n"] / BLOCK).astype("i8")).sort_values("list", ignore_index=True)
+    told = spark.sparkContext.broadcast(guide)
+
+    def ask(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            g, q, out = told.value, np.array(pdf["embedding"].tolist()), []
+            score, deal, name = g.score(q, k), g.lists["deal"].to_numpy(), g.lists["list"].to_numpy()
+            order = orders(q / np.linalg.norm(q, axis=1, keepdims=True), g.pivots, g.length)
+            for i, at in enumerate(g.visits(q, score, k, part)):
+                salt, at = np.concatenate([np.arange(d) for d in deal[at]]), np.repeat(at, deal[at])
+                out.append(pd.DataFrame({"k1": pdf["k1"].iloc[i], "k2": pdf["k2"].iloc[i], "q": [q[i].tobytes()] * len(at), "order": [order[i].tobytes()] * len(at), "least": score[i], "list": name[at], "salt": salt}))
+            yield pd.concat(out, ignore_index=True)
+
+    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "embedding", *keys(F.col("embedding")))
+    asked = queries.dropDuplicates(["k1", "k2"]).select("k1", "k2", "embedding").mapInPandas(ask, "k1 long, k2 long, q binary, order binary, least double, list long, salt long")
+    dealt = F.broadcast(spark.createDataFrame(guide.lists[["list", "deal"]]))
+    stored = index.join(dealt, "list").select("embedding", "ids", "orders", "list", F.pmod(F.xxhash64("embedding"), F.col("deal")).alias("salt"))
 
     def search(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if stored.empty or asked.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        stored = stored.sort_values("vec_id", kind="stable")
-        x = np.array(stored["embedding"].tolist())
-        order = np.frombuffer(b"".join(stored["orders"]), "i4").reshape(-1, m)
-        block = Block(stored["vec_id"].to_numpy(), x, order, len(sent.value))
         out = []
-        for i, q, o in zip(asked["vec_id"], asked["embedding"], asked["orders"], strict=True):
-            ids, score = block.search(i, np.asarray(q), np.frombuffer(o, "i4"), k, share, least)
-            out.append(pd.DataFrame({"query_id": i, "vec_id": ids, "score": score}))
-        return pd.concat(out, ignore_index=True)
-
-    found = stored.groupBy("_b", "_q").cogroup(asked.groupBy("_b", "_q")).applyInPandas(search, schema)
+        if len(stored) and len(asked):
+            g = told.value
+            block = Block(np.array(stored["embedding"].tolist()), np.frombuffer(b"".join(stored["orders"]), "i4").reshape(len(stored), -1), len(g.pivots))
+            ids = stored["ids"].to_numpy()
+            for a in asked.itertuples(index=False):
+                q = np.frombuffer(a.q)
+                at = block.candidates(np.frombuffer(a.order, "i4"), g.needed(a.least, block.norm * np.linalg.norm(q), strict), max(64, k + 1))
+                score = (block.x[at] * q).sum(1)
+                if len(at) > k + 1:  # all that reach the score of place k + 1, ties included
+                    best = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1])
+                    at, score = at[best], score[best]
+                each = [len(i) for i in ids[at]]
+                own, score = np.concatenate(ids[at]), np.repeat(score, each)
+                best = np.lexsort((own, -score))[: k + 1]
+                out.append(pd.DataFrame({"k1": a.k1, "k2": a.k2, "vec_id": own[best], "score": score[best]}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"k1": [], "k2": [], "vec_id": [], "score": []})
+
+    found = stored.groupBy("list", "salt").cogroup(asked.groupBy("list", "salt")).applyInPandas(search, "k1 long, k2 long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.desc("score"), "vec_id"))
+    best = found.withColumn("_r", rank).where(F.col("_r") <= k + 1).groupBy("k1", "k2").agg(F.collect_list(F.struct("vec_id", "score")).alias("best"))
+    pairs = queries.select(F.col("vec_id").alias("query_id"), "k1", "k2").distinct().join(best, ["k1", "k2"]).select("query_id", F.inline("best")).where("vec_id != query_id")
+    # An identifier with several vectors is one query.
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -19,25 +19,67 @@ def brute_nearest(rows, every, k):
     return out
 
 
-def test_recall_and_scores(spark):
+def vectors(kind, n, d=48):
     rng = np.random.default_rng(3)
-    x = rng.standard_normal((3000, 32))
-    x[::3] = x[5] + 0.05 * rng.standard_normal((1000, 32))
-    x[1::7] = x[1]  # many equal vectors
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
-    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, score int").repartition(4)
-    got = nearest(df).collect()
-    want = set(brute_nearest(rows, 20, 20))
-    assert len(got) == 150 * 20
-    assert sum((r.query_id, r.vec_id) in {(a, c) for a, _, c in want} for r in got) >= 0.9 * len(got)
-    for r in got[::97]:
-        assert r.score == pytest.approx(float(x[r.query_id] @ x[r.vec_id]), abs=1e-12)
-    # Equal vectors: the query's copies come first, smallest identifiers first.
-    copies = list(range(1, 3000, 7))
-    q = next(i for i in copies if i % 20 == 0)
-    own = [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])]
-    assert own == [i for i in copies if i != q][:20]
+    x = rng.standard_normal((n, d))
+    if kind == "clustered":
+        x = rng.standard_normal((60, d))[rng.integers(0, 60, n)] + 0.4 * x
+    if kind == "copies":
+        x[::3] = x[5] + 0.05 * rng.standard_normal((len(x[::3]), d))
+        x[1::7] = x[1]  # many equal vectors
+    if kind != "clustered":
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return x * np.exp(rng.standard_normal(n))[:, None] if kind == "lognormal" else x
+
+
+@pytest.mark.parametrize("kind,n", [("unit", 12_000), ("lognormal", 12_000), ("clustered", 12_000), ("copies", 6_000)])
+def test_recall_and_scores(spark, kind, n):
+    """Held against brute force at the shipped parameters: unit vectors, spread norms, clusters, a third in one knot with many copies."""
+    x = vectors(kind, n)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, score int").repartition(4)
+    got = {}
+    for r in nearest(df).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(got) == list(range(0, n, 20)) and all(sorted(r for r, _, _ in v) == list(range(1, 21)) for v in got.values())
+    hits, rng = [], np.random.default_rng(1)
+    for q in rng.choice(sorted(got), 250, replace=False).tolist():
+        score = x @ x[q]
+        want = set(np.lexsort((np.arange(n), -score))[:21].tolist()) - {q}
+        own = sorted(got[q])
+        assert [(s, -i) for _, i, s in own] == sorted(((s, -i) for _, i, s in own), reverse=True)
+        assert all(s == pytest.approx(score[i], abs=1e-9) and i != q for _, i, s in own)
+        hits.append(sum(i in want for _, i, _ in own) / 20)
+    assert np.mean(hits) >= 0.9
+    if kind == "copies":  # the query's copies come first, smallest identifiers first
+        copies = [i for i in range(1, n, 7)]
+        q = next(i for i in copies if i % 20 == 0)
+        assert [i for _, i, _ in sorted(got[q])] == [i for i in copies if i != q][:20]
+
+
+def test_most_frequent_dimension_and_repeated_queries(spark):
+    rows = [(0, [1.0, 2.0, 3.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (20, [2.0, 0.0]), (40, [1.0, 0.0])]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    best = {}
+    for r in got:
+        best.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(best) == [20, 40] and sorted(best[40])[0] == (1, 20)
+    assert all(i != q for q, v in best.items() for _, i in v) and all(len({r for r, _ in v}) == len(v) <= 20 for v in best.values())
+
+
+def test_lists_dealt_into_blocks(spark, monkeypatch):
+    """One list of many vectors goes to several tasks; nothing is lost."""
+    from readweave.llm import ann
+
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    x = vectors("unit", 900)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = nearest(df, part=1.0, strict=99.0)
+    want = set()
+    for q in range(0, 900, 20):
+        score = x @ x[q]
+        score[q] = -9
+        want |= {(q, int(i)) for i in np.argsort(-score)[:20]}
+    assert {(r.query_id, r.vec_id) for r in got.collect()} == want
 
 
 def test_small_and_odd_vectors(spark):

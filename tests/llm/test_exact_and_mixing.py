@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from readweave.llm import exact
 from readweave.llm.common import shared_dir
 from readweave.llm.exact import exact_dedup
 from readweave.llm.mixing import fly, land, mix, targets
@@ -30,6 +31,37 @@ def test_exact(spark, weak):
     assert sorted(map(tuple, got.collect()), key=str) == brute(ROWS)
 
 
+def test_exact_when_every_digest_collides(spark, monkeypatch):
+    """Digest and SHA-256 are the same for all texts: whole bytes alone tell them apart."""
+    path = shared_dir(spark)
+    rows = [(1, "aa"), (2, "aa"), (3, "bb"), (4, "cc"), (5, "cc"), (None, "bb"), (6, None), (7, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    monkeypatch.setattr(exact.F, "sha2", lambda c, n: F.lit("0" * 64))
+    got = exact_dedup(spark, path + "/", digest=lambda t: F.length(t) % 1).collect()
+    monkeypatch.undo()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got), key=str) == [x[:4] for x in brute(rows)]
+
+
+def test_exact_of_one_file_and_a_hot_text(spark):
+    path = shared_dir(spark)
+    rows = [(i, "hot" if i % 3 else f"t{i % 60}") for i in range(900)] + [(i, "hot") for i in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(1).write.parquet(path)
+    (name,) = [r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()]
+    assert sorted(map(tuple, exact_dedup(spark, name).collect()), key=str) == brute(rows)
+
+
+def test_state_holds_a_locator_and_goes_on(spark):
+    path, at = shared_dir(spark), shared_dir(spark)
+    spark.createDataFrame([(1, "a"), (3, "a"), (2, "b")], "doc_id long, text string").write.parquet(path)
+    schema = spark.read.parquet(path).schema
+    exact.digest_state(spark, path, schema, at, partitions=2)
+    spark.createDataFrame([(9, "b"), (4, "c")], "doc_id long, text string").write.mode("append").parquet(path)
+    state = exact.digest_state(spark, path, schema, at, partitions=2)
+    rows = spark.read.parquet(path).select("doc_id", "text", *exact.locator())
+    got = rows.join(state, ["file", "row"]).select("text", "keep_id", "n", (F.col("doc_id") == F.col("keep_id")).alias("same"))
+    assert sorted(map(tuple, got.collect())) == [("a", 3, 2, True), ("b", 9, 2, True), ("c", 4, 1, True)]
+
+
 def test_exact_of_nothing(spark):
     path = shared_dir(spark)
     spark.createDataFrame([], "doc_id long, text string").write.parquet(path)

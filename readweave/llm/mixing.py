@@ -20,14 +20,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, slices
+from .common import checkpointed, mark_of, packed, slices
 
 BLOCK = 8192
 EPS = 1e-9
 
 
 def word_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: the number of runs of other bytes than ASCII white space (null: 0)."""
+    """doc_id, source, mark (64 bits that hang on the whole row), size: the number of runs of other bytes than ASCII white space (null: 0)."""
 
     def run(batches):
         for b in batches:
@@ -35,9 +35,9 @@ def word_sizes(docs: DataFrame) -> DataFrame:
                 raw = texts.cast(pa.binary())
                 size = [len(raw[i].as_py().split()) for i in range(len(raw))]
                 part = b.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), pa.array(size, pa.int64())], ["doc_id", "source", "size"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), part.column("mark"), pa.array(size, pa.int64())], ["doc_id", "source", "mark", "size"])
 
-    return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, size long")
+    return docs.select("doc_id", "source", "text", mark_of(docs).alias("mark")).mapInArrow(run, "doc_id long, source string, mark long, size long")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
@@ -104,20 +104,21 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def cube(units: DataFrame, seed: int, levels: int = 3) -> DataFrame:
-    """Decide each unit (uid, source, size, p): uid -> extra (0 or 1).
+    """Decide each unit (did, mark, copy, source, size, p): did, mark, copy -> extra (0 or 1).
 
     A level deals the undecided units of a source into blocks of about BLOCK by a hash of their
     identifier, so no task holds a whole source. Each level leaves two undecided units per block at most;
     three levels and landing suffice for 8192 * 4096^3 documents of one source.
     """
-    schema = "uid long, source string, size long, p double"
+    key = ["did", "mark", "copy"]
+    schema = "did long, mark long, copy long, source string, size long, p double"
 
     def flight(level: int):
-        def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("uid", kind="stable")
+        def run(_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(key, kind="stable", ignore_index=True)
             # Drawn from the block's own content, so that a task that runs again decides the same.
-            mark = int(pd.util.hash_array(pdf["uid"].to_numpy("i8")).sum() & np.uint64(2**32 - 1))
-            rng = np.random.default_rng([seed, level, mark])
+            own = [int(pd.util.hash_array(pdf[c].to_numpy("i8")).sum() & np.uint64(2**32 - 1)) for c in key]
+            rng = np.random.default_rng([seed, level, *own])
             shuffled = rng.permutation(len(pdf))
             p, size = pdf["p"].to_numpy()[shuffled], pdf["size"].to_numpy()[shuffled]
             p = fly(p, size, rng)
@@ -125,7 +126,7 @@ def cube(units: DataFrame, seed: int, levels: int = 3) -> DataFrame:
                 p = land(p, size)
             back = np.empty_like(p)
             back[shuffled] = p
-            return pd.DataFrame({"uid": pdf["uid"], "source": pdf["source"], "size": pdf["size"], "p": back})
+            return pdf.drop(columns=["p", "_block"]).assign(p=back)[[*key, "source", "size", "p"]]
 
         return run
 
@@ -134,14 +135,14 @@ def cube(units: DataFrame, seed: int, levels: int = 3) -> DataFrame:
         if level < levels:
             count = live.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
             held = live.join(count, live["source"].eqNullSafe(count["source"])).drop(count["source"])
-            block = F.pmod(F.xxhash64("uid", F.lit(level)), F.ceil(F.col("_n") / BLOCK))
+            block = F.pmod(F.xxhash64(*key, F.lit(level)), F.ceil(F.col("_n") / BLOCK))
         else:
             held, block = live, F.lit(0)
         flown = checkpointed(held.withColumn("_block", block).groupBy("source", "_block").applyInPandas(flight(level), schema))
         decided = flown.where("p in (0, 1)")
         done = decided if done is None else done.unionByName(decided)
         live = flown.where("p > 0 and p < 1")
-    return done.select("uid", F.col("p").cast("long").alias("extra"))
+    return done.select(*key, F.col("p").cast("long").alias("extra"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, seed: int = 7) -> DataFrame:
@@ -153,16 +154,35 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0
     identifiers and sizes alone, so reruns agree. A table without words gets targets of 0 and takes nothing. Further
     columns are not carried.
     """
-    sizes = word_sizes(docs)
-    rank = Window.partitionBy("doc_id").orderBy("source", "size")
-    # Rows that repeat an identifier are told apart by their place among them.
-    sizes = checkpointed(sizes.withColumn("uid", F.xxhash64("doc_id", F.row_number().over(rank))))
+    out = mixed(docs, weights, most, seed)
+    return out.select("doc_id", "source", "size", "source_size", "target", "turns", (F.col("turns") * F.col("size")).alias("taken"))
+
+
+#: Stands for a null identifier inside; ``mark`` tells it from a row that has this one.
+NO_ID = -(1 << 63)
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...], most: float, seed: int) -> DataFrame:
+    """One row per row of ``docs``: doc_id, did, mark, copy (which of the rows that are equal in all columns), source, size, source_size, target, turns."""
+    key = ["did", "mark", "copy"]
+    alike = word_sizes(docs).groupBy("doc_id", "source", "size", "mark").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = alike.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+    sizes = checkpointed(sizes.withColumn("did", F.coalesce("doc_id", F.lit(NO_ID))))
     goal = targets(sizes, weights, most)
     joined = sizes.join(goal, sizes["source"].eqNullSafe(goal["source"])).drop(goal["source"])
     rate = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
     joined = checkpointed(joined.withColumn("rate", rate).withColumn("certain", F.floor(F.col("rate") + EPS)))
     p = F.greatest(F.lit(0.0), F.col("rate") - F.col("certain"))
-    units = joined.select("uid", "source", "size", F.when(p < 1e-9, 0.0).otherwise(p).alias("p")).where("p > 0")
-    extra = cube(units, seed)
-    out = joined.join(extra, "uid", "left").withColumn("turns", F.col("certain") + F.coalesce("extra", F.lit(0)))
-    return out.select("doc_id", "source", "size", "source_size", "target", "turns", (F.col("turns") * F.col("size")).alias("taken"))
+    units = joined.select(*key, "source", "size", F.when(p < 1e-9, 0.0).otherwise(p).alias("p")).where("p > 0")
+    return joined.join(cube(units, seed), key, "left").withColumn("turns", F.col("certain") + F.coalesce("extra", F.lit(0)))
+
+
+def mix_rows(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, all columns under their own names, each as often as ``mix`` takes it.
+
+    Rows that are equal in all columns are there as often as all of them are taken. An empty table gives an empty table.
+    """
+    turns = mixed(docs, weights, most, seed).groupBy("did", "mark").agg(F.sum("turns").alias("turns")).where("turns > 0")
+    rows = packed(docs, F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), mark_of(docs).alias("mark"))
+    taken = rows.join(turns, ["did", "mark"]).dropDuplicates(["did", "mark"])
+    return taken.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("turns").cast("int")))).select("row.*")

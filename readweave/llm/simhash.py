@@ -15,7 +15,7 @@ come from star contractions over those forests.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, map_packed, packed
 
 PARTS = 2
 BLOCK = 1024
@@ -45,16 +45,32 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * set_ > len(bits)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fp (64 bits as a long) of every row."""
+def with_key(docs: DataFrame, key: Callable[[bytes], int]) -> DataFrame:
+    """row (all columns of ``docs``, under their own names) and key (64 bits, what ``key`` makes of the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = b.column("text")
-            fp = np.array([fingerprint((t.as_py() or "").encode(), shingle) for t in text], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            found = np.array([key((t.as_py() or "").encode()) for t in b.column("text")], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(found, pa.int64())], ["row", "out"])
+
+    return map_packed(packed(docs, "text"), run, "long").withColumnRenamed("out", "key")
+
+
+def keep_first(docs: DataFrame, key: Callable[[bytes], int], kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose identifier and key stand in ``kept`` (doc_id, key), one for each; rows without an identifier stay.
+
+    Of several such rows the one with the least hash of all its columns stays.
+    """
+    rows = with_key(docs.where("doc_id is not null"), key).select("row", "key", F.col("row.doc_id").alias("doc_id"))
+    named = docs.select("*").schema
+    mark = F.xxhash64(*(F.col("row").getField(f.name) for f in named.fields if "map<" not in f.dataType.simpleString()))
+    found = rows.join(kept, ["doc_id", "key"], "left_semi").groupBy("doc_id", "key").agg(F.min_by("row", mark).alias("row"))
+    return found.select("row.*").unionByName(docs.where("doc_id is null"))
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id and fp (64 bits as a long) of every row."""
+    return with_key(docs.select("doc_id", "text"), lambda text: fingerprint(text, shingle)).select("row.doc_id", F.col("key").alias("fp"))
 
 
 def bits_of(fp: np.ndarray) -> np.ndarray:
@@ -266,6 +282,13 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def classes(marked: DataFrame, most: int) -> DataFrame:
+    """fp, first (its least doc_id), root (a fingerprint that stands for the component), one row for each fingerprint of ``marked`` (doc_id, fp)."""
+    fps = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    tree = components(links(fps, plan(fps, most), most))
+    return fps.join(tree, fps["fp"] == tree["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -274,20 +297,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFra
     are one shingle. Repeated rows all come out; further columns are not carried; an empty table gives an empty table.
     """
     marked = checkpointed(fingerprints(docs, shingle))
-    fps = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    tree = components(links(fps, plan(fps, most), most))
-    rooted = fps.join(tree, fps["fp"] == tree["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = classes(marked, most)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(found, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, most: int = 3) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row with the smallest doc_id stays.
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest doc_id stays, on a tie the one with the least fingerprint.
 
-    Of rows that repeat that identifier one stays. Rows without an identifier stay as they are. All columns are kept.
+    Rows that repeat an identifier are documents of their own and stay if they are in different components. Rows without an identifier stay
+    as they are. All columns are kept, whatever their names; an empty table gives an empty table.
     """
-    found = near_duplicates(docs.where("doc_id is not null"), shingle, most)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    marked = checkpointed(fingerprints(docs.where("doc_id is not null"), shingle))
+    first = classes(marked, most).groupBy("root").agg(F.min(F.struct(F.col("first").alias("doc_id"), F.col("fp").alias("key"))).alias("kept"))
+    return keep_first(docs, lambda text: fingerprint(text, shingle), first.select("kept.*"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed
-from .simhash import components
+from .simhash import components, keep_first
 
 BANDS, ROWS, BLOCK = 48, 6, 512
 _random = np.random.default_rng(20)
@@ -38,6 +38,11 @@ def shingles(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle])) for i in range(n)), "u8", n))
 
 
+def set_hash(hashes: np.ndarray) -> int:
+    """64 bits that stand for a set of shingles."""
+    return xxhash.xxh64_intdigest(hashes.tobytes())
+
+
 def bands(hashes: np.ndarray) -> np.ndarray:
     """The value of each band."""
     least = np.full(BANDS * ROWS, 0xFFFFFFFF, "u4")
@@ -55,7 +60,7 @@ def nodes(docs: DataFrame, shingle: int) -> DataFrame:
             sid, found = [], []
             for t in b.column("text"):
                 h = shingles((t.as_py() or "").encode(), shingle)
-                sid.append(xxhash.xxh64_intdigest(h.tobytes()))
+                sid.append(set_hash(h))
                 found.append(bands(h))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(sid, "u8").view("i8")), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "sid", "bands"])
 
@@ -69,7 +74,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held = [shingles((t.as_py() or "").encode(), shingle) for t in b.column("text")]
-            sid = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in held], "u8").view("i8")
+            sid = np.array([set_hash(h) for h in held], "u8").view("i8")
             yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array([h.view("i8") for h in held], pa.list_(pa.int64()))], ["sid", "grams"])
 
     some = docs.select("doc_id", "text").join(wanted.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
@@ -125,7 +130,7 @@ def further(met: DataFrame, tree: DataFrame, grams: DataFrame, least: float, blo
 
 
 def similar_components(docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """first, component_id: of each different set of shingles the least doc_id, and the least of all that links reach."""
+    """sid, first, root: of each different set of shingles its hash, its least doc_id, and the set that stands for its component."""
     found = checkpointed(nodes(docs, shingle))
     posted = found.select("sid", F.explode("bands").alias("v"))
     shared = posted.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("least")).where("n > 1")
@@ -139,18 +144,17 @@ def similar_components(docs: DataFrame, shingle: int, least: float) -> DataFrame
     links = checkpointed(links)
     more = further(met.where("n > 2").select("v", "sid"), components(links), grams, least)
     tree = components(links.unionByName(more))
-    rooted = found.select("sid", "first").join(tree.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    return rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("first", "component_id")
+    return found.select("sid", "first").join(tree.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
 
 def drop_similar(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row with the smallest doc_id stays.
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest doc_id stays, on a tie the one with the least set hash.
 
     Linked are documents whose sets of shingles have a Jaccard similarity of ``least`` or more (0.8 or above, as the bands are made for it).
-    Texts without words are copies of each other. Of rows that repeat an identifier that stays, one stays. Rows without an
-    identifier stay as they are. All columns are kept.
+    Texts without words are copies of each other. Rows that repeat an identifier are documents of their own and stay if they
+    are in different components. Rows without an identifier stay as they are. All columns are kept, whatever their names; an empty table gives an
+    empty table.
     """
-    found = similar_components(docs.where("doc_id is not null"), shingle, least)
-    first = found.select(F.col("component_id").alias("_id")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    found = similar_components(docs.where("doc_id is not null").select("doc_id", "text"), shingle, least)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("first").alias("doc_id"), F.col("sid").alias("key"))).alias("kept"))
+    return keep_first(docs, lambda text: set_hash(shingles(text, shingle)), first.select("kept.*"))

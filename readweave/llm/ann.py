@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product with a permutation index (operator 9).
 
 Pivots come from a bounded sample. Every vector is represented by the order of its ``length`` nearest pivots and posted once, in
-the list of its nearest centre (a centre is one of the first pivots) and its band of norms. A query visits the lists that are
+the list of its nearest centre (one of the sample) and its band of norms. A query visits the lists that are
 expected to hold its neighbours: how likely a vector of a list passes a score follows from the angles between query, centre
 and list, the list's largest norm, and how many vectors it holds. In a list the inverted file over pivots gives the footrule distance
 between the orders. As the measure is an inner product, a long vector may be farther by angle: each is ranked by how far its
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-LIST, BLOCK, CENTRES = 2048, 8192, 256
+LIST, BLOCK, CENTRES = 2048, 8192, 2048
 #: Bands of norms are powers of two; beyond so many from length 1 all share the last band.
 BANDS = 31
 
@@ -50,14 +50,14 @@ class Block:
 
     def __init__(self, x: np.ndarray, order: np.ndarray, pivots: int) -> None:
         self.x, self.length, self.norm = x, order.shape[1], np.linalg.norm(x, axis=1)
-        kind = "i1" if self.length < 128 else "i4"
+        kind = "i2" if self.length <= 180 else "i4"
         self.places = np.full((pivots, len(x)), self.length, kind)
         self.places[order.T, np.arange(len(x))] = np.arange(self.length, dtype=kind)[:, None]
         self.own = np.arange(self.length, dtype=kind)[:, None]
 
     def nearness(self, order: np.ndarray) -> np.ndarray:
         """How far below its largest value the footrule distance to each vector lies (halved; larger is nearer)."""
-        return self.length**2 - np.maximum(self.places[order], self.own).sum(0, dtype="i4")
+        return self.length**2 - np.maximum(self.places[order], self.own).sum(0, dtype=self.places.dtype)
 
     def candidates(self, order: np.ndarray, needed: np.ndarray, least: int) -> np.ndarray:
         """Rows whose footrule nearness reaches ``needed``, or comes nearest to it if those are fewer than ``least``."""
@@ -79,8 +79,8 @@ class Guide:
 
     pivots: np.ndarray
     sample: np.ndarray
+    centres: np.ndarray
     length: int
-    centres: int
     slope: float = 0.0
     base: float = 0.0
     spread: float = 0.0
@@ -92,7 +92,8 @@ class Guide:
         """``sample``: different vectors in random order; ``n``: how many vectors there are."""
         unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
         p = unit[: max(1, min(pivots, len(unit) // 2))]
-        out = cls(p, sample, min(length, len(p)), max(1, min(CENTRES, len(p), math.ceil(n / LIST))))
+        centres = unit[: max(1, min(CENTRES, len(unit) // 2, math.ceil(n / LIST)))]
+        out = cls(p, sample, centres, min(length, len(p)))
         rest = unit[len(p) :]
         if len(rest) < 64:
             return out
@@ -108,8 +109,8 @@ class Guide:
         out.base = float(g.mean() - out.slope * c.mean())
         out.spread = float((g - out.base - out.slope * c).std())
         # How much of the angles is left once the angles to the centre are known: 1 / dimension, where directions are even.
-        centre = (rest @ p[: out.centres].T).argmax(1)
-        gamma, delta = asked @ p[: out.centres][centre].T, (rest * p[: out.centres][centre]).sum(1)
+        own = centres[(rest @ centres.T).argmax(1)]
+        gamma, delta = asked @ own.T, (rest * own).sum(1)
         left = (cosine - gamma * delta) ** 2 / np.maximum((1 - gamma**2) * (1 - delta**2), 1e-9)
         out.turn = float(np.mean(left[off & (left < 4)]))
         return out
@@ -118,22 +119,22 @@ class Guide:
         """Order, list, cosine with the list's centre, norm of each vector."""
         norm = np.linalg.norm(x, axis=1)
         unit = x / norm[:, None]
-        near = unit @ self.pivots[: self.centres].T
+        near = unit @ self.centres.T
         centre = near.argmax(1)
         band = np.clip(np.floor(np.log2(norm) + 0.5), -BANDS, BANDS).astype("i8") + BANDS
         return orders(unit, self.pivots, self.length), centre * (2 * BANDS + 1) + band, near.max(1), norm
 
-    def score(self, q: np.ndarray, k: int) -> np.ndarray:
-        """A score that more than ``k`` of all vectors are expected to reach with each query."""
+    def score(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """A score that more than ``k`` of all vectors are expected to reach with each query, and a lower one that they are all but sure to reach."""
         held = np.sort(q @ self.sample.T, axis=1)
-        rank = min(held.shape[1], math.ceil(1.5 * (k + 1) * held.shape[1] / max(1, int(self.lists["n"].sum()))) + 2)
-        return held[:, -rank]
+        rank = math.ceil(1.5 * (k + 1) * held.shape[1] / max(1, int(self.lists["n"].sum()))) + 2
+        return held[:, -min(held.shape[1], rank)], held[:, -min(held.shape[1], rank + 5)]
 
     def visits(self, q: np.ndarray, score: np.ndarray, k: int, part: float) -> list[np.ndarray]:
         """For each query the lists (row numbers of ``lists``) that hold ``part`` of the neighbours that are expected, and ``4 * (k + 1)`` vectors."""
         t, norm = self.lists, np.linalg.norm(q, axis=1)
         n, delta = t["n"].to_numpy("f8"), t["delta"].to_numpy()
-        gamma = ((q / norm[:, None]) @ self.pivots[: self.centres].T)[:, t["list"].to_numpy() // (2 * BANDS + 1)]
+        gamma = ((q / norm[:, None]) @ self.centres.T)[:, t["list"].to_numpy() // (2 * BANDS + 1)]
         sd = np.sqrt(np.maximum(1 - gamma**2, 0) * np.maximum(1 - delta**2, 0) * self.turn + gamma**2 * t["vary"].to_numpy() + 1e-9)
         expected = n * tail((score[:, None] / (norm[:, None] * t["norm"].to_numpy()) - gamma * delta) / sd)
         out = []
@@ -148,6 +149,14 @@ class Guide:
         return self.base + self.slope * (score / norms) - strict * self.spread
 
 
+def shares(sizes: np.ndarray, total: int) -> int:
+    """The least number that, taken from each of ``sizes`` as far as they go, gives ``total`` or all there is."""
+    few = 1
+    while np.minimum(sizes, few).sum() < min(total, sizes.sum()):
+        few += 1
+    return few
+
+
 def keys(v: Column) -> list[Column]:
     """128 bits that stand for a vector."""
     return [F.xxhash64(v).alias("k1"), F.xxhash64(v, F.lit(1)).alias("k2")]
@@ -197,37 +206,47 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
         for pdf in batches:
             if not len(pdf):
                 continue
-            g, q, out = told.value, np.array(pdf["embedding"].tolist()), []
-            score, deal, name = g.score(q, k), g.lists["deal"].to_numpy(), g.lists["list"].to_numpy()
+            g, q = told.value, np.array(pdf["embedding"].tolist())
+            score, floor = g.score(q, k)
+            deal, name, size = (g.lists[c].to_numpy() for c in ("deal", "list", "n"))
             order = orders(q / np.linalg.norm(q, axis=1, keepdims=True), g.pivots, g.length)
-            for i, at in enumerate(g.visits(q, score, k, part)):
-                salt, at = np.concatenate([np.arange(d) for d in deal[at]]), np.repeat(at, deal[at])
-                out.append(pd.DataFrame({"k1": pdf["k1"].iloc[i], "k2": pdf["k2"].iloc[i], "q": [q[i].tobytes()] * len(at), "order": [order[i].tobytes()] * len(at), "least": score[i], "list": name[at], "salt": salt}))
-            yield pd.concat(out, ignore_index=True)
+            visits = g.visits(q, score, k, part)
+            at = np.concatenate(visits)
+            few = np.repeat([shares(size[v] // deal[v], 2 * (k + 1)) for v in visits], list(map(len, visits)))
+            i = np.repeat(np.repeat(np.arange(len(q)), list(map(len, visits))), deal[at])
+            salt, few, at = np.concatenate([np.arange(d) for d in deal[at]]), np.repeat(few, deal[at]), np.repeat(at, deal[at])
+            raw, own = np.array([v.tobytes() for v in q], object), np.array([o.tobytes() for o in order], object)
+            yield pd.DataFrame({"k1": pdf["k1"].to_numpy()[i], "k2": pdf["k2"].to_numpy()[i], "q": raw[i], "order": own[i], "score": score[i], "floor": floor[i], "few": few, "list": name[at], "salt": salt})
 
     queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "embedding", *keys(F.col("embedding")))
-    asked = queries.dropDuplicates(["k1", "k2"]).select("k1", "k2", "embedding").mapInPandas(ask, "k1 long, k2 long, q binary, order binary, least double, list long, salt long")
+    asked = queries.dropDuplicates(["k1", "k2"]).select("k1", "k2", "embedding").mapInPandas(ask, "k1 long, k2 long, q binary, order binary, score double, floor double, few long, list long, salt long")
     dealt = F.broadcast(spark.createDataFrame(guide.lists[["list", "deal"]]))
     stored = index.join(dealt, "list").select("embedding", "ids", "orders", "list", F.pmod(F.xxhash64("embedding"), F.col("deal")).alias("salt"))
 
     def search(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        k1, k2, vec_id, scores = ([np.zeros(0, t)] for t in ("i8", "i8", "i8", "f8"))
         if len(stored) and len(asked):
             g = told.value
             block = Block(np.array(stored["embedding"].tolist()), np.frombuffer(b"".join(stored["orders"]), "i4").reshape(len(stored), -1), len(g.pivots))
             ids = stored["ids"].to_numpy()
             for a in asked.itertuples(index=False):
                 q = np.frombuffer(a.q)
-                at = block.candidates(np.frombuffer(a.order, "i4"), g.needed(a.least, block.norm * np.linalg.norm(q), strict), max(64, k + 1))
+                at = block.candidates(np.frombuffer(a.order, "i4"), g.needed(a.score, block.norm * np.linalg.norm(q), strict), max(64, k + 1))
                 score = (block.x[at] * q).sum(1)
-                if len(at) > k + 1:  # all that reach the score of place k + 1, ties included
-                    best = np.flatnonzero(score >= np.partition(score, -k - 1)[-k - 1])
+                if len(at) > a.few:  # what reaches the floor, and the few best anyway; no more than k + 1, and what equals the last of them
+                    falling = np.sort(score)[::-1][: k + 1]
+                    best = np.flatnonzero(score >= max(falling[-1], min(a.floor, falling[min(a.few, len(falling)) - 1])))
                     at, score = at[best], score[best]
-                each = [len(i) for i in ids[at]]
+                each = np.fromiter(map(len, ids[at]), "i8", len(at))
                 own, score = np.concatenate(ids[at]), np.repeat(score, each)
-                best = np.lexsort((own, -score))[: k + 1]
-                out.append(pd.DataFrame({"k1": a.k1, "k2": a.k2, "vec_id": own[best], "score": score[best]}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"k1": [], "k2": [], "vec_id": [], "score": []})
+                if len(own) > k + 1:
+                    best = np.lexsort((own, -score))[: k + 1]
+                    own, score = own[best], score[best]
+                k1.append(np.full(len(own), a.k1))
+                k2.append(np.full(len(own), a.k2))
+                vec_id.append(own)
+                scores.append(score)
+        return pd.DataFrame({"k1": np.concatenate(k1), "k2": np.concatenate(k2), "vec_id": np.concatenate(vec_id), "score": np.concatenate(scores)})
 
     found = stored.groupBy("list", "salt").cogroup(asked.groupBy("list", "salt")).applyInPandas(search, "k1 long, k2 long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.desc("score"), "vec_id"))

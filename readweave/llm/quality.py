@@ -1,6 +1,7 @@
 """Quality classifier: votes of the nearest labelled documents in a latent space (operator 8).
 
-Whole texts become weighted counts of byte pairs, hashed into a fixed number of features. A singular value
+Whole texts become weighted counts of byte pairs, hashed into a fixed number of features, and one feature made by hand: the share of words that
+are said twice running, as repetition is a common sign of poor text that pairs of bytes don't see. A singular value
 decomposition of a bounded, labelled sample gives the latent space. The sample's vectors (at most ``per_class`` rows of
 each label times ``rank`` numbers, a few MB) are broadcast; every document is compared with all of them in
 blocked products, and its nearest neighbours vote with weights that follow similarity. Documents are

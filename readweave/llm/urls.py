@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 #: (verdict, host, path) of the rules that the contract states.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
-#: A small labelled table: sites to block and to let through, with paths that say nothing of either.
+#: A small labelled table: names of sites to block and to let through, and paths that speak for either. Names with paths that say nothing,
+#: and paths on sites that say nothing, teach host and path apart.
 BLOCKED = """
 cheap-pills cheap-meds discount-pills pills-online viagra-store spam-farm link-farm content-spam seo-spam casino-win online-casino
 casino-slots poker-slots free-bets sport-bets bets-live adult-x adult-cams adult-video xxx-video xxx-cams ads-track ad-tracker
@@ -29,8 +30,18 @@ followers-cheap replica-watches click-farm win-big spam-mail hot-xxx cheap-repli
 CLEAN = """
 library weather gardening museum university almanac traveller recipes thenews archive thinking software theatre history station
 government health encyclopedia thunder school thread nation sports photos music thethird books city-council north-valley old-bridge
-tea-house data-science open-source thenth thatone therest thathe tionary handbook motion trackside freedom winter pilgrim farmers address
+tea-house data-science open-source handbook motion freedom winter pilgrim farmers address mathematics anthology education
+northern tradition rhythm lighthouse another clothing weathering bathing foundation together
 """.split()
+BLOCKED_PATHS = """
+/buy-viagra-online /casino/free-spins /xxx/cams/live /adult/video/hot /win-prize/now /cheap-meds/order /payday-loan/apply /crack/keygen.exe
+/click/ads/redirect /poker-bonus /bets/live-odds /replica-watches/sale
+""".split()
+CLEAN_PATHS = """
+/docs/introduction /news/science/article /about/history /recipes/bread-and-butter /courses/mathematics /research/papers/index /library/catalogue
+/sports/results /weather/forecast /council/meetings/minutes /travel/guide/mountains /books/reviews
+""".split()
+PLAIN_SITES = ("https://files.example.net", "http://www.node.example.com", "https://s3.example.org")
 SITES = ("https://{}.example.net", "http://www.{}.example.com", "https://blog.{}.example.org", "http://m.{}.example.com", "https://{}.example.org")
 PATHS = ("/en/44", "/fr/825?page=2&ref=x", "/en/685.html", "/de/12/", "/es/960#top", "/en/7", "/en/474?utm_source=feed")
 
@@ -66,6 +77,7 @@ def grams(text: Column, mark: str, sizes: tuple[int, ...] = (3, 4)) -> Column:
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The small table above as url, label."""
     urls = [(site.format(name) + PATHS[(i + k) % len(PATHS)], v) for v, names in ((1, BLOCKED), (0, CLEAN)) for i, name in enumerate(names) for k, site in enumerate(SITES)]
+    urls += [(site + path, v) for v, paths in ((1, BLOCKED_PATHS), (0, CLEAN_PATHS)) for path in paths for site in PLAIN_SITES]
     rows = ", ".join(f"('{u}', {v}D)" for u, v in urls)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(url, label)")
 
@@ -80,7 +92,10 @@ def fit(labelled: DataFrame, features: int = 1 << 14):
         site = F.regexp_replace(host, r"(\.[^.]*)$", "")
         return tf.transform(df.withColumn("_grams", F.concat(grams(site, "h:"), grams(path, "p:"))))
 
-    model = LogisticRegression(featuresCol="_features", labelCol="label", regParam=0.003, maxIter=40, standardization=False, aggregationDepth=2).fit(ready(labelled.coalesce(1)).select("label", "_features").cache())
+    learner = LogisticRegression(featuresCol="_features", labelCol="label", regParam=0.003, maxIter=40, standardization=False, aggregationDepth=2)
+    table = ready(labelled.coalesce(1)).select("label", "_features").cache()
+    model = learner.fit(table)
+    table.unpersist()
     model.setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("")
     return lambda df: model.transform(ready(df)).withColumn("p_block", vector_to_array("_p")[1]).drop("_grams", "_features", "_p")
 

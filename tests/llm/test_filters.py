@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from readweave.llm.lines import dedup_lines, line_hashes, winnow
-from readweave.llm.quality import byte_pairs, judge_quality
+from readweave.llm.quality import byte_pairs, fit_space, judge_quality
 from readweave.llm.urls import RULES, filter_urls, fit, labelled_urls
 
 URLS = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/1", "http://x.org", "http://x.org/", "https://example.org/en/12?x", "https://sub.example.org/en/2", "http://com/fr/", "http://a.com/de/#f", "http://notorg/", "http://a.com:80/fr/", "http://é.COM/de/É", "x://y://z.com/fr/", "http://www.cheap-pills.example.com/en/450", "https://blog.theren.example.net/en/455", "http://q.net?a/b", "http://l.com/" + "p" * 5000]
@@ -37,6 +37,17 @@ def test_url_model_on_its_table(spark):
     assert np.mean([(r.p_block >= 0.5) == (r.label == 1) for r in rows]) > 0.97
 
 
+#: None of these names and paths stands in the table that the model learns from.
+HELD_OUT_BLOCKED = ["http://www.cheap-tablets.example.com/en/1", "https://m.casino-royal.example.net/fr/9", "https://xxx-live.example.org/", "http://ads-click.example.com/en/3.html", "https://free-casino.example.net/de/4", "https://torrent-crack.example.org/en/2", "https://files.example.net/casino/slots-bonus", "http://www.node.example.com/adult/cams", "https://s3.example.org/cheap-viagra", "https://spam-links.example.com/en/8"]
+HELD_OUT_CLEAN = ["http://www.botany.example.com/en/1", "https://m.cathedral.example.net/fr/9", "https://translation.example.org/", "http://northwest.example.com/en/3.html", "https://thermometer.example.net/de/4", "https://poetry-reading.example.org/en/2", "https://files.example.net/docs/reference", "http://www.node.example.com/news/history", "https://s3.example.org/library/books", "https://weather-maps.example.com/en/8"]
+
+
+def test_url_model_on_held_out_sites(spark):
+    rows = [(u, 1) for u in HELD_OUT_BLOCKED] + [(u, 0) for u in HELD_OUT_CLEAN]
+    found = fit(labelled_urls(spark))(spark.createDataFrame(rows, "url string, truth int")).collect()
+    assert sum((r.p_block >= 0.5) == (r.truth == 1) for r in found) >= 18
+
+
 def test_urls_run_no_python(spark):
     plan = filter_urls(spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string"), labelled_urls(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -114,6 +125,27 @@ def test_lines_match_brute_force(spark):
     assert got == want
 
 
+def test_votes_match_brute_force():
+    """Projection, blocked cosines, the k nearest and their weighted votes, against plain loops over all pairs."""
+    rng = np.random.default_rng(11)
+    x, y = np.abs(rng.standard_normal((60, 40))).astype("f4"), rng.integers(0, 2, 60)
+    space = fit_space(x, y, 0.7, 8)
+    asked = np.concatenate([np.abs(rng.standard_normal((9, 40))).astype("f4"), x[:2]])
+    got = space.score(asked, 5)
+    norm = lambda v: v / max(float(np.sqrt((v * v).sum())), 1e-12)
+    weights = np.array([1 + np.log((1 + 60) / (1 + sum(row[j] > 0 for row in x))) for j in range(40)])
+    points = [norm((row * weights) @ space.basis) for row in x]
+    share = y.mean()
+    for row, score in zip(asked, got, strict=True):
+        q = norm((row * weights) @ space.basis)
+        near = sorted(range(60), key=lambda i: -float(q @ points[i]))[:5]
+        votes = [(max(float(q @ points[i]), 0) ** 8 * (0.7 / share if y[i] else 0.3 / (1 - share)), y[i]) for i in near]
+        assert score == pytest.approx((sum(w * v for w, v in votes) + 1e-6 * 0.7) / (sum(w for w, _ in votes) + 1e-6), rel=1e-3)
+    # The space holds the sample as well as any other of its rank: no less than a full decomposition does.
+    full = np.linalg.svd(x * weights, full_matrices=False)[2][:8].T
+    assert np.linalg.norm((x * weights) @ space.basis) >= 0.999 * np.linalg.norm((x * weights) @ full)
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_overlapping_passages_match_brute_force(spark, seed):
     """Passages that overlap, nest and are shared in part: every document is what comparing all places gives."""

@@ -23,12 +23,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, Pool, Words, map_packed, packed, slices
+from .common import Memo, Pool, Words, inside, map_packed, packed, slices
 
 #: A single space between two characters that are not white space always starts a new piece.
 CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 NONE = np.int64(1) << np.int64(60)
 LONGEST_ROW = 64
+#: Bytes of text that are encoded at a time.
+SLICE = 4_000_000
 
 
 class Codec:
@@ -243,12 +245,12 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids
     replaced; all others, rows that repeat included, come through as they are. An empty table
     gives an empty table.
     """
-    rows = packed(docs.drop(ids), text)
+    rows, own = packed(docs.drop(ids)), inside(docs.drop(ids), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            for start, end, texts in slices(b, text):
+            for start, end, texts in slices(own(b), size=SLICE):
                 found, ends = c.encode(texts)
                 column = pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(found.astype("i4")))
                 yield pa.RecordBatch.from_arrays([b.column("row").slice(start, end - start), column], ["row", "out"])
@@ -284,7 +286,7 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         digits = [b"%d" % i for i in range(c.size)].__getitem__
         for b in batches:
             n, ids_sha, text_sha = [], [], []
-            for _, _, texts in slices(b):
+            for _, _, texts in slices(b, size=SLICE):
                 ids, ends = c.encode(texts)
                 for own in np.split(ids, ends[1:-1]):
                     n.append(len(own))

@@ -56,6 +56,12 @@ def packed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.struct("*").alias("row"), *columns)
 
 
+def inside(df: DataFrame, name: str) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """Takes one column of ``df`` out of the ``row`` of a packed batch, so that it isn't sent twice; it is named ``text``."""
+    at = df.columns.index(name)
+    return lambda batch: pa.RecordBatch.from_arrays([batch.column("row").flatten()[at]], ["text"])
+
+
 def map_packed(rows: DataFrame, run: Callable, kind: str) -> DataFrame:
     """Run ``run`` over Arrow batches of ``rows``; it yields batches of ``row`` and ``out`` (of type ``kind``)."""
     out = T.StructType([rows.schema["row"], T.StructField("out", T.StructType.fromDDL(f"out {kind}")[0].dataType)])
@@ -104,6 +110,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", size: int = 8_000_000) ->
         end = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
         yield start, end, column.slice(start, end - start)
         start, done = end, int(ends[end - 1])
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds no more than it must
 
 
 class Words:
@@ -182,7 +189,7 @@ class Memo:
     Keys of more than ``longest`` characters are held for the one call that asks for them.
     """
 
-    def __init__(self, most: int = 48 << 20, longest: int = 64) -> None:
+    def __init__(self, most: int = 8 << 20, longest: int = 64) -> None:
         self.most, self.longest, self.held, self.new, self.old, self.passing = most, longest, 0, {}, {}, []
 
     def missing(self, keys: set) -> list:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_packed, packed
+from .common import inside, map_packed, packed
 
 FEATURES = 4096
 _PAIR = ((np.arange(1 << 16, dtype="u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)).astype("u2")
@@ -121,13 +121,13 @@ def score_quality(docs: DataFrame, space: Space | None, k: int = 15, score: str
     all labelled rows; without any labels every score is 0.5. A column of the same name is replaced, all others and
     repeated rows come through.
     """
-    rows = packed(docs.drop(score), "text")
+    rows, own = packed(docs.drop(score)), inside(docs.drop(score), "text")
     sent = docs.sparkSession.sparkContext.broadcast(space)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = sent.value
         for b in batches:
-            text, scores = b.column("text"), []
+            text, scores = own(b).column("text"), []
             for start in range(0, b.num_rows, 512):
                 x = np.stack([byte_pairs((t.as_py() or "").encode()) for t in text.slice(start, 512)])
                 scores.append(np.full(len(x), 0.5) if space is None else np.where(x.any(1), space.score(x, k), space.prior))

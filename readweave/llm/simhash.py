@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_packed, packed
+from .common import checkpointed, inside, map_packed, packed
 
 PARTS = 2
 BLOCK = 1024
@@ -47,13 +47,14 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 def with_key(docs: DataFrame, key: Callable[[bytes], int]) -> DataFrame:
     """row (all columns of ``docs``, under their own names) and key (64 bits, what ``key`` makes of the text)."""
+    own = inside(docs, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = np.array([key((t.as_py() or "").encode()) for t in b.column("text")], "u8").view("i8")
+            found = np.array([key((t.as_py() or "").encode()) for t in own(b).column("text")], "u8").view("i8")
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(found, pa.int64())], ["row", "out"])
 
-    return map_packed(packed(docs, "text"), run, "long").withColumnRenamed("out", "key")
+    return map_packed(packed(docs), run, "long").withColumnRenamed("out", "key")
 
 
 def keep_first(docs: DataFrame, key: Callable[[bytes], int], kept: DataFrame) -> DataFrame:

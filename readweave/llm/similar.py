@@ -142,8 +142,9 @@ def similar_components(docs: DataFrame, shingle: int, least: float) -> DataFrame
     both = F.size(F.array_intersect("a", "b"))
     links = pairs.join(a, "u").join(b, "v").withColumn("both", both).where(F.col("both") >= least * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
     links = checkpointed(links)
-    more = further(met.where("n > 2").select("v", "sid"), components(links), grams, least)
-    tree = components(links.unionByName(more))
+    tree = components(links)
+    more = further(met.where("n > 2").select("v", "sid"), tree, grams, least)
+    tree = components(tree.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
     return found.select("sid", "first").join(tree.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
 

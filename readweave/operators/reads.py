@@ -155,14 +155,23 @@ def mask_kmers(km: DataFrame, iv: DataFrame, k: int) -> DataFrame:
 
 
 def seed_pairs(reads: DataFrame, k: int, cap: int | DataFrame, both_strands: bool = False) -> DataFrame:
-    """Pairs of reads a < b that share a k-mer below the cap: aread, bread, comp, apos, bpos; where comp is 1, bpos counts on the turned read."""
-    km = cap_kmers(kmers(reads, k), cap)
-    a = km.select(F.col("rid").alias("aread"), F.col("pos").alias("apos"), "kmer")
-    b = km.select(F.col("rid").alias("bread"), F.col("pos").alias("bpos"), "kmer", F.lit(0).alias("comp"))
+    """Pairs of reads a < b that share a k-mer below the cap: aread, bread, comp, apos, bpos; where comp is 1, bpos counts on the turned read.
+
+    k-mers are dealt by themselves once. Of each no more than ``cap`` places are held, which tells the frequent ones, so the groups
+    that pairs are made from are smaller than the cap. There is no join.
+    """
+    km = kmers(reads, k).withColumn("comp", F.lit(0))
     if both_strands:
-        turned = cap_kmers(kmers(reads.withColumn("seq", reverse_complement(F.col("seq"))), k), cap)
-        b = b.unionByName(turned.select(F.col("rid").alias("bread"), F.col("pos").alias("bpos"), "kmer", F.lit(1).alias("comp")))
-    return a.join(b, "kmer").where("aread < bread").select("aread", "bread", "comp", "apos", "bpos")
+        km = km.unionByName(kmers(reads.withColumn("seq", reverse_complement(F.col("seq"))), k).withColumn("comp", F.lit(1)))
+    own = Window.partitionBy("kmer", "comp")
+    km = km.repartition("kmer").withColumn("_r", F.row_number().over(own.orderBy("rid", "pos")))
+    if isinstance(cap, DataFrame):
+        km, cap = km.crossJoin(F.broadcast(cap.select(F.col("cap").alias("_cap")))), F.col("_cap")  # one row
+    few = km.where(F.col("_r") <= cap).withColumn("_n", F.max("_r").over(own)).where(F.col("_n") < cap)
+    place = F.struct("rid", "pos", "comp")
+    met = few.groupBy("kmer").agg(F.collect_list(F.when(F.col("comp") == 0, place)).alias("a"), F.collect_list(place).alias("b")).where(F.size("b") > 1)
+    pairs = met.select(F.explode("a").alias("a"), "b").select("a", F.explode("b").alias("b")).where("a.rid < b.rid")
+    return pairs.select(F.col("a.rid").alias("aread"), F.col("b.rid").alias("bread"), "b.comp", F.col("a.pos").alias("apos"), F.col("b.pos").alias("bpos"))
 
 
 def band_scores(seeds: DataFrame, k: int, w: int = 6, h: int = 35) -> DataFrame:

@@ -29,7 +29,7 @@ from .common import Memo, Pool, Words, inside, map_packed, packed, slices
 CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 NONE = np.int64(1) << np.int64(60)
 LONGEST_ROW = 64
-#: Bytes of text that are encoded at a time.
+#: Bytes of text that are encoded at a time beside whole rows.
 SLICE = 4_000_000
 
 
@@ -286,7 +286,7 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         digits = [b"%d" % i for i in range(c.size)].__getitem__
         for b in batches:
             n, ids_sha, text_sha = [], [], []
-            for _, _, texts in slices(b, size=SLICE):
+            for _, _, texts in slices(b):
                 ids, ends = c.encode(texts)
                 for own in np.split(ids, ends[1:-1]):
                     n.append(len(own))

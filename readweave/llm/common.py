@@ -189,7 +189,7 @@ class Memo:
     Keys of more than ``longest`` characters are held for the one call that asks for them.
     """
 
-    def __init__(self, most: int = 8 << 20, longest: int = 64) -> None:
+    def __init__(self, most: int = 16 << 20, longest: int = 64) -> None:
         self.most, self.longest, self.held, self.new, self.old, self.passing = most, longest, 0, {}, {}, []
 
     def missing(self, keys: set) -> list:

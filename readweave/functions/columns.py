@@ -21,7 +21,8 @@ def has(flags: Column, name: str) -> Column:
 
 
 def set_flag(flags: Column, name: str, when: Column) -> Column:
-    return F.when(when, flags.bitwiseOR(F.lit(bit(name)))).otherwise(flags)
+    # ``flags`` comes once, so that a chain of rules grows with their number.
+    return flags.bitwiseOR(F.when(when, F.lit(bit(name))).otherwise(F.lit(0)))
 
 
 def flag_labels(flags: Column) -> Column:

@@ -7,13 +7,16 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .overlaps import with_ends
+from readweave.functions.columns import has
+
+from .overlaps import flagged, purge, with_ends
 
 
 def drop_parallel_overlaps(o: DataFrame) -> DataFrame:
     """Live overlaps of pairs that have only one."""
-    once = o.groupBy("aread", "bread").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").drop("_n")
-    return o.join(once, ["aread", "bread"], "left_semi")
+    live = purge(o) if "flags" in o.columns else o
+    once = live.groupBy("aread", "bread").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").drop("_n")
+    return live.join(once, ["aread", "bread"], "left_semi")
 
 
 def contained_nodes(o: DataFrame, trim: DataFrame) -> DataFrame:
@@ -35,9 +38,52 @@ def build_edges(o: DataFrame, trim: DataFrame) -> DataFrame:
     return edges.select("src", "dst", "side", "ovh", "div")
 
 
+def lone_overlaps(o: DataFrame, trim: DataFrame) -> DataFrame:
+    """Live overlaps of different reads, one for a pair, with the trims."""
+    return with_ends(drop_parallel_overlaps(o).where(~has(F.col("flags"), "SYMDISCARD")), trim)
+
+
+def proper_ends(o: DataFrame, trim: DataFrame) -> DataFrame:
+    """Lone overlaps of reads that no overlap holds. Discarded rows still mark reads as held."""
+    o = flagged(o).where("aread <> bread")
+    e = lone_overlaps(o, trim)
+    inside = contained_nodes(o, trim)
+    for end in ("aread", "bread"):
+        e = e.join(inside.withColumnRenamed("rid", end), end, "left_anti")
+    return e
+
+
+def strand_edges(o: DataFrame, trim: DataFrame) -> DataFrame:
+    """src, dst, side, ovh, span, div, kind: edges at both ends of A, and the way back (kind rev) where A also goes beyond B.
+
+    The way back leaves B at the end that meets A: the same side on opposite strands, the other side on one strand.
+    """
+    e = proper_ends(o, trim).withColumn("div", F.floor(200 * F.col("diffs") / (F.col("aepos") - F.col("abpos") + F.col("bepos") - F.col("bbpos"))))
+    c = F.col
+    sides = (
+        ("l", c("abpos") == c("atb"), c("bbpos") - c("btb"), c("ate") - c("aepos")),
+        ("r", c("aepos") == c("ate"), c("bte") - c("bepos"), c("abpos") - c("atb")),
+    )
+    out = []
+    for side, meets, ovh, back in sides:
+        rows = e.where(meets & (ovh > 0))
+        other = F.when(c("comp") == 1, side).otherwise("r" if side == "l" else "l")
+        out.append(rows.select(c("aread").alias("src"), c("bread").alias("dst"), F.lit(side).alias("side"), ovh.alias("ovh"), (c("aepos") - c("abpos")).alias("span"), "div", F.lit("fwd").alias("kind")))
+        out.append(rows.where(back > 0).select(c("bread").alias("src"), c("aread").alias("dst"), other.alias("side"), back.alias("ovh"), (c("bepos") - c("bbpos")).alias("span"), "div", F.lit("rev").alias("kind")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+def overhang_errors(o: DataFrame, trim: DataFrame) -> DataFrame:
+    """Lone overlaps that meet one end of A's trim, not both, while B's part goes beyond B's trim there: broken input."""
+    e = lone_overlaps(flagged(o).where("aread <> bread"), trim)
+    beyond = "(abpos = atb and bbpos < btb) or (aepos = ate and bepos > bte)"
+    return e.where(f"not (abpos = atb and aepos = ate) and ({beyond})").select("aread", "bread", "comp")
+
+
 def dedup_edges(edges: DataFrame) -> DataFrame:
-    """One edge for each target and side, the smallest overhang; a target on both sides keeps the left one."""
-    w = Window.partitionBy("src", "dst").orderBy("side", "ovh", "div")
+    """One edge for each target: on the left side if it has one there, of several the longest span (if known), then the smallest overhang."""
+    long = [F.desc("span")] if "span" in edges.columns else []
+    w = Window.partitionBy("src", "dst").orderBy("side", *long, "ovh", "div")
     return edges.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
@@ -98,12 +144,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def neighborhood(edges: DataFrame, seeds: DataFrame, radius: int) -> DataFrame:
-    """rid and its distance of at most ``radius`` steps from the seeds."""
-    found = seeds.select("rid").distinct().withColumn("dist", F.lit(0))
+    """rid and its distance of at most ``radius`` steps from the seeds. Lineage is cut each step, as the plan would double with it."""
+    set_checkpoints(edges.sparkSession)
+    found = seeds.select("rid").distinct().withColumn("dist", F.lit(0)).checkpoint()
     front = found
     for d in range(1, radius + 1):
         step = front.join(edges, front["rid"] == edges["src"]).select(F.col("dst").alias("rid")).distinct()
-        front = step.join(found, "rid", "left_anti").withColumn("dist", F.lit(d))
+        front = step.join(found, "rid", "left_anti").withColumn("dist", F.lit(d)).checkpoint()
         found = found.unionByName(front)
     return found
 

@@ -113,3 +113,31 @@ def sweep(events: DataFrame, hi: Column, lo: Column, by: str = "aread") -> DataF
     run = run.withColumn("_s", state).withColumn("_p", F.coalesce(F.lag("_s").over(w), F.lit(0)))
     turns = run.where("_s <> _p").withColumn("_next", F.lead("pos").over(w))
     return turns.where("_s = 1 and _next is not null").select(F.col(by).alias("rid"), F.col("pos").alias("beg"), F.col("_next").alias("end_"))
+
+
+def merge_blocks(*blocks: DataFrame) -> DataFrame:
+    """Tracks of blocks in one table. A read that two blocks hold fails the query, as blocks are disjoint."""
+    parts = [b.select("*", F.lit(i).alias("_block")) for i, b in enumerate(blocks)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    own = out.groupBy("track", "rid").agg(F.min("_block").alias("_x"), F.max("_block").alias("_y"))
+    twice = F.raise_error(F.format_string("read %d of track %s is in two blocks", F.col("rid").cast("long"), F.col("track")))
+    checked = out.join(own, ["track", "rid"]).where(F.when(F.col("_x") != F.col("_y"), twice.cast("boolean")).otherwise(True))
+    return checked.select(*blocks[0].columns)
+
+
+def track(iv: DataFrame, name: str) -> DataFrame:
+    """Intervals of one track."""
+    return iv.where(F.col("track") == name)
+
+
+def has_track(iv: DataFrame, name: str, reads: DataFrame) -> DataFrame:
+    """Reads (rid) that hold an interval of the track."""
+    return reads.join(track(iv, name).select("rid").distinct(), "rid", "left_semi")
+
+
+def track_values(iv: DataFrame, name: str, reads: DataFrame) -> DataFrame:
+    """Each read's intervals of the track in order, as one array; empty without any."""
+    spans = track(iv, name).groupBy("rid").agg(F.sort_array(F.collect_list(F.struct(F.col("beg").cast("long").alias("beg"), F.col("end_").cast("long").alias("end_")))).alias("spans"))
+    return reads.select("rid").join(spans, "rid", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<beg:bigint,end_:bigint>>")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from readweave.functions.columns import forward_b, has, set_flag
 
 from .intervals import interval_join, merge_intervals, sweep
+from .numbering import sums_before
 
 ORDER = ["aread", "bread", "comp", "abpos", "aepos", "bbpos", "bepos"]
 
@@ -249,6 +250,23 @@ def quality_trim(tile_q: DataFrame, reads: DataFrame, d: int = 25, min_len: int
     return j.select("rid", F.when(ok, F.col("tb")).otherwise(0).alias("tb"), F.when(ok, F.col("te")).otherwise(0).alias("te"))
 
 
+def rerun_trim(o: DataFrame, trim: DataFrame, tile_q: DataFrame, reads: DataFrame, d: int = 25, min_len: int = 1000, run: int = 6, twidth: int = 100) -> DataFrame:
+    """Trims after a look at the piles: where live overlaps with other reads don't reach a trim's ends, the quality trim runs again inside what they cover.
+
+    The first base covered moves on by a tile less one base. Without such overlaps the trim is (0, 0); reads without a pile keep theirs.
+    """
+    own = flagged(o)
+    other = ~has(F.col("flags"), "DISCARD") & (F.col("aread") != F.col("bread"))
+    pile = own.groupBy(F.col("aread").alias("rid")).agg(F.min(F.when(other, F.col("abpos"))).alias("_b"), F.max(F.when(other, F.col("aepos"))).alias("_e"))
+    j = trim.select("rid", "tb", "te").join(pile.withColumn("_pile", F.lit(True)), "rid", "left")
+    j = j.withColumn("_redo", F.coalesce(F.col("_pile") & (F.col("_b").isNull() | (F.col("tb") < F.col("_b")) | (F.col("te") > F.col("_e"))), F.lit(False)))
+    inner = j.where("_redo").select("rid", F.floor((F.col("_b") + twidth - 1) / twidth).alias("_from"), F.floor(F.col("_e") / twidth).alias("_to"))
+    tiles = tile_q.join(inner, "rid").where("tile >= _from and tile < _to").select("rid", "tile", "q")
+    new = quality_trim(tiles, reads, d, min_len, run, twidth).toDF("rid", "_tb", "_te")
+    pick = lambda c: F.when(F.col("_redo"), F.coalesce(f"_{c}", F.lit(0))).otherwise(F.col(c)).alias(c)
+    return j.join(new, "rid", "left").select("rid", pick("tb"), pick("te"))
+
+
 def update_trim(o: DataFrame, trim: DataFrame) -> DataFrame:
     """Trims tightened to what live overlaps with other reads cover."""
     ends = purge(flagged(o)).where("aread <> bread").groupBy("aread").agg(F.min("abpos").alias("_b"), F.max("aepos").alias("_e")).withColumnRenamed("aread", "rid")
@@ -267,15 +285,15 @@ def tip_coverage(o: DataFrame, trim: DataFrame, z: int = 2, uncovered: int = 500
 
 
 def pair_self_join(o: DataFrame) -> DataFrame:
-    """Every two overlaps of one (A, B), as x_ and y_; an equi-join, groups are small."""
-    cols = ["ovl_id", "comp", "abpos", "aepos", "bbpos", "bepos"]
-    side = lambda p: o.select("aread", "bread", *(F.col(c).alias(f"{p}_{c}") for c in cols))
-    return side("x").join(side("y"), ["aread", "bread"]).where("x_ovl_id <> y_ovl_id")
+    """Every two overlaps of one (A, B, strand), as x_ and y_."""
+    cols = ["ovl_id", "abpos", "aepos", "bbpos", "bepos"]
+    side = lambda p: o.select("aread", "bread", "comp", *(F.col(c).alias(f"{p}_{c}") for c in cols))
+    return side("x").join(side("y"), ["aread", "bread", "comp"]).where("x_ovl_id <> y_ovl_id")
 
 
 def drop_contained(o: DataFrame) -> DataFrame:
     """CONT where an earlier overlap of the same pair and strand holds this one on both reads; in identity pairs only exact repeats."""
-    holds = "x_comp = y_comp and x_abpos <= y_abpos and x_aepos >= y_aepos and x_bbpos <= y_bbpos and x_bepos >= y_bepos"
+    holds = "x_abpos <= y_abpos and x_aepos >= y_aepos and x_bbpos <= y_bbpos and x_bepos >= y_bepos"
     equal = "x_abpos = y_abpos and x_aepos = y_aepos and x_bbpos = y_bbpos and x_bepos = y_bepos"
     earlier = "struct(x_abpos, x_aepos, x_bbpos, x_bepos, x_ovl_id) < struct(y_abpos, y_aepos, y_bbpos, y_bepos, y_ovl_id)"
     gone = pair_self_join(purge(flagged(o))).where(f"{holds} and {earlier} and (aread <> bread or ({equal}))").select(F.col("y_ovl_id").alias("ovl_id")).distinct().withColumn("_c", F.lit(True))
@@ -284,8 +302,15 @@ def drop_contained(o: DataFrame) -> DataFrame:
 
 def drop_multimappers(o: DataFrame) -> DataFrame:
     """Pairs in which one live overlap holds another on A or on B; all their overlaps are discarded."""
-    held = "(x_abpos <= y_abpos and x_aepos >= y_aepos) or (x_bbpos <= y_bbpos and x_bepos >= y_bepos)"
-    bad = pair_self_join(purge(flagged(o))).where(held).select("aread", "bread").distinct().withColumn("_m", F.lit(True))
+    live = purge(flagged(o))
+
+    def held(beg: str, end: str) -> Column:
+        # In this order whatever holds a row stands before it.
+        w = Window.partitionBy("aread", "bread").orderBy(beg, F.desc(end), "ovl_id")
+        return F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)) >= F.col(end)
+
+    marked = live.select("aread", "bread", held("abpos", "aepos").alias("_a"), held("bbpos", "bepos").alias("_b"))
+    bad = marked.where("_a or _b").select("aread", "bread").distinct().withColumn("_m", F.lit(True))
     return flagged(o).join(bad, ["aread", "bread"], "left").withColumn("flags", set_flag(F.col("flags"), "DISCARD", F.coalesce("_m", F.lit(False)))).drop("_m")
 
 
@@ -312,30 +337,36 @@ def chain_flags(o: DataFrame) -> DataFrame:
     return flagged(o).withColumn("role", role)
 
 
+def crossings(spots: DataFrame, spans: DataFrame) -> DataFrame:
+    """(aread, pos, n): how many spans (aread, beg, end_), both ends included, hold each spot (aread, pos); by bins, so a deep pile is spread."""
+    at = spots.select("aread", "pos", (F.col("pos") + 1).alias("_p"))
+    held = interval_join(at, spans.where("beg <= end_").withColumn("end_", F.col("end_") + 1), "aread", ("pos", "_p"), ("beg", "end_"))
+    n = held.groupBy("aread", "pos").agg(F.count(F.lit(1)).alias("n"))
+    return spots.join(n, ["aread", "pos"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
 def find_gaps(o: DataFrame, trim: DataFrame, min_spanners: int = 2, step: int = 1000, anchor: int = 250) -> DataFrame:
     """A-reads with a window of their trimmed part that fewer than ``min_spanners`` B-reads span by ``anchor`` on both sides."""
-    e = o.where("aread <> bread").groupBy("aread", "bread").agg(F.min("abpos").alias("b"), F.max("aepos").alias("e"))
+    e = o.where("aread <> bread").groupBy("aread", "bread").agg((F.min("abpos") + anchor).alias("beg"), (F.max("aepos") - anchor).alias("end_"))
     spots = trim.where(F.col("te") - F.col("tb") > 2 * step).select(F.col("rid").alias("aread"), F.explode(F.expr(f"sequence(tb + {step}, te - {step}, {step})")).alias("pos"))
-    # A B-read's extent covers a run of spots: an equi-join on the read, then a range.
-    n = spots.join(e, "aread", "left").groupBy("aread", "pos").agg(F.count_if((F.col("b") <= F.col("pos") - anchor) & (F.col("e") >= F.col("pos") + anchor)).alias("n"))
+    n = crossings(spots, e.select("aread", "beg", "end_"))
     return n.where(F.col("n") < min_spanners).groupBy("aread").agg(F.count(F.lit(1)).alias("gaps"), F.min("pos").alias("first_gap"))
 
 
 def drop_chimeras(o: DataFrame, trim: DataFrame, c: int = 2, a: int = 200) -> DataFrame:
     """A-reads with an overlap end inside the covered span that fewer than ``c`` overlaps cross with ``a`` bases on both sides."""
-    e = o.where("aread <> bread").join(trim.where("tb < te").withColumnRenamed("rid", "aread"), "aread")
-    span = Window.partitionBy("aread")
-    e = e.withColumn("_l", F.min("abpos").over(span)).withColumn("_r", F.max("aepos").over(span))
-    ends = e.select("aread", F.explode(F.array("abpos", "aepos")).alias("pos"), "_l", "_r").where((F.col("pos") > F.col("_l") + a) & (F.col("pos") < F.col("_r") - a)).select("aread", "pos").distinct()
-    cross = ends.join(e.select("aread", "abpos", "aepos"), "aread").groupBy("aread", "pos").agg(F.count_if((F.col("abpos") <= F.col("pos") - a) & (F.col("aepos") >= F.col("pos") + a)).alias("n"))
+    e = o.where("aread <> bread").join(trim.where("tb < te").select(F.col("rid").alias("aread")), "aread", "left_semi")
+    span = e.groupBy("aread").agg(F.min("abpos").alias("_l"), F.max("aepos").alias("_r"))
+    ends = e.select("aread", F.explode(F.array("abpos", "aepos")).alias("pos")).distinct().join(span, "aread")
+    ends = ends.where((F.col("pos") > F.col("_l") + a) & (F.col("pos") < F.col("_r") - a)).select("aread", "pos")
+    cross = crossings(ends, e.select("aread", (F.col("abpos") + a).alias("beg"), (F.col("aepos") - a).alias("end_")))
     return cross.groupBy("aread").agg(F.min("n").alias("weakest")).where(F.col("weakest") < c)
 
 
 def split_overlaps(o: DataFrame, n: int) -> DataFrame:
     """``part`` of each row: n nearly even parts that never split a pile, in the order of A-reads."""
-    piles = o.groupBy("aread").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("aread")  # one row for each A-read
-    piles = piles.withColumn("_before", F.sum("_c").over(w) - F.col("_c")).crossJoin(F.broadcast(o.agg(F.count(F.lit(1)).alias("_all"))))
+    piles = sums_before(o.groupBy("aread").agg(F.count(F.lit(1)).alias("_c")), "aread", {"_before": F.col("_c")})
+    piles = piles.crossJoin(F.broadcast(o.agg(F.count(F.lit(1)).alias("_all"))))  # one row
     return o.join(piles.select("aread", F.floor(F.col("_before") * n / F.col("_all")).alias("part")), "aread")
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from readweave.functions.columns import MOTIFS, reverse_complement
 
+from .numbering import runs_of
+
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: header, seq. Wrapped lines are joined."""
@@ -34,16 +36,16 @@ def parse_headers(df: DataFrame, keep: list[str]) -> DataFrame:
     return d.where(F.col("name").isin(keep)).select("header", "name", F.posexplode(F.split("_v", ",")).alias("pos", "value"))
 
 
-def filter_reads(df: DataFrame, min_len: int = 1000) -> DataFrame:
-    return df.where(F.length("seq") >= min_len)
+def filter_reads(df: DataFrame, min_len: int = 1000, full_hq: bool = False) -> DataFrame:
+    """Reads of ``min_len`` or more; ``full_hq``: only those whose header gives one readType, of 1 or 2."""
+    long = df.where(F.length("seq") >= min_len)
+    return long.where(F.regexp_extract("header", r"(?:^|\s)readType=(\S*)", 1).isin("1", "2")) if full_hq else long
 
 
 def best_per_well(df: DataFrame) -> DataFrame:
     """Of each run of consecutive reads of one well, the first longest. Columns: file, seq_id, well, rlen."""
-    w = Window.partitionBy("file").orderBy("seq_id")
-    runs = df.withColumn("_new", (F.coalesce(F.lag("well").over(w) != F.col("well"), F.lit(True))).cast("int")).withColumn("_run", F.sum("_new").over(w))
-    pick = Window.partitionBy("file", "_run").orderBy(F.desc("rlen"), "seq_id")
-    return runs.withColumn("_r", F.row_number().over(pick)).where("_r = 1").drop("_r", "_run", "_new")
+    best = F.max_by(F.struct(*df.columns), F.struct("rlen", -F.col("seq_id"))).alias("_best")
+    return runs_of(df, "well", "seq_id", "file").groupBy("file", "run").agg(best).select("_best.*")
 
 
 def split_scaffolds(df: DataFrame) -> DataFrame:
@@ -196,12 +198,12 @@ def low_complexity(reads: DataFrame, w: int = 64, t: float = 2.0) -> DataFrame:
     return merge_intervals(hit.join(lens, "rid").withColumn("end_", F.least("end_", "_l")).drop("_l"))
 
 
-def n50(contigs: DataFrame, fractions: tuple[int, ...] = (10, 50, 90)) -> DataFrame:
-    """For each percent: the length at which the longest contigs first hold that share of all bases, and their number."""
+def n50(contigs: DataFrame, fractions: tuple[int, ...] = (10, 50, 90), gsize: int | None = None) -> DataFrame:
+    """For each percent: the length at which the longest contigs first hold that share of all bases, or of ``gsize``, and their number."""
     # Contigs are few; sums by length keep the single window to one row for each different length.
     by = contigs.groupBy("len").agg(F.count(F.lit(1)).alias("c"), F.sum("len").alias("b"))
     w = Window.orderBy(F.desc("len"))
-    run = by.withColumn("cum", F.sum("b").over(w)).withColumn("cn", F.sum("c").over(w)).crossJoin(F.broadcast(contigs.agg(F.sum("len").alias("total"))))
+    run = by.withColumn("cum", F.sum("b").over(w)).withColumn("cn", F.sum("c").over(w)).crossJoin(F.broadcast(contigs.agg((F.sum("len") if gsize is None else F.lit(gsize).cast("long")).alias("total"))))
     need = F.explode(F.array(*map(F.lit, fractions))).alias("pct")
     d = run.select("*", need).where(F.col("cum") * 100 >= F.col("total") * F.col("pct"))
     first = d.groupBy("pct").agg(F.max_by(F.struct("len", "cum", "b", "cn", "c", "total"), "len").alias("x")).select("pct", "x.*")

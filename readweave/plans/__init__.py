@@ -1,6 +1,6 @@
 """All queries over the supplied tables. Importing the modules registers them."""
 
-from . import derived
+from . import derived, rules
 from .catalog import REGISTRY, flagship
 
-__all__ = ["REGISTRY", "derived", "flagship"]
+__all__ = ["REGISTRY", "derived", "flagship", "rules"]

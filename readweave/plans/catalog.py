@@ -18,7 +18,7 @@ from readweave.sources.fixtures import Fixtures, duck_views
 REGISTRY = Registry()
 
 
-def add(name: str, build: Callable[[Fixtures], DataFrame], ints: str, others: str, sql: str, views: str) -> None:
+def add(name: str, build: Callable[[Fixtures], DataFrame], ints: str, others: str, sql: str, views: str, recursive: bool = False) -> None:
     """Register a query; ``ints`` come out as longs on both sides. ``sql``: more WITH items and the final SELECT, after ``views``."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,9 @@ def add(name: str, build: Callable[[Fixtures], DataFrame], ints: str, others: st
 
     body, _, last = sql.rpartition(";;")
     columns = ", ".join([*(f"CAST({c} AS BIGINT) AS {c}" for c in ints.split()), *others.split()])
-    REGISTRY.add(name, query, f"{duck_views(*views.split())}{',' + body if body.strip() else ''}\nSELECT {columns} FROM ({last}) AS result_")
+    head = duck_views(*views.split())
+    head = head.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else head
+    REGISTRY.add(name, query, f"{head}{',' + body if body.strip() else ''}\nSELECT {columns} FROM ({last}) AS result_")
 
 
 #: Union of intervals as SQL: islands of rows of {src} by {by}.
@@ -84,7 +86,7 @@ add("local_breaks", lambda v: O.local_breaks(v.ovl, v.trim), "rid beg end_", "",
 # Intervals
 add("merge_intervals", lambda v: I.merge_intervals(v.iv), "rid beg end_", "track", ";;" + union("iv"), "iv")
 add("combine_tracks", lambda v: I.combine_tracks(v.iv, ["dust", "repeats"], "all"), "rid beg end_", "track", " c AS (SELECT 'all' AS track, rid, beg, end_ FROM iv);;" + union("c"), "iv")
-add("merge_blocks", lambda v: v.iv.where("rid % 2 = 0").unionByName(v.iv.where("rid % 2 = 1")), "rid beg end_", "track", ";; SELECT * FROM iv", "iv")
+add("merge_blocks", lambda v: I.merge_blocks(v.iv.where("rid % 2 = 0"), v.iv.where("rid % 2 = 1")), "rid beg end_", "track", ";; SELECT * FROM iv", "iv")
 add("interval_gaps", lambda v: I.interval_gaps(I.merge_intervals(v.iv)), "rid beg end_ gap", "track", f" m AS ({union('iv')});; SELECT *, beg - lag(end_) OVER (PARTITION BY track, rid ORDER BY beg, end_) AS gap FROM m", "iv")
 add("clip_intervals", lambda v: I.clip_intervals(v.iv, v.lens), "rid beg end_", "track", ";; SELECT track, rid, beg, end_ FROM (SELECT track, i.rid, greatest(beg, 1500) AS beg, least(end_, rlen - 1500) AS end_ FROM iv i JOIN lens l ON l.rid = i.rid) WHERE beg < end_", "iv")
 add("interval_stats", lambda v: I.interval_stats(v.iv, v.lens), "bin n bases cum_n cum_bases pct", "track", " h AS (SELECT track, (end_ - beg) // 100 * 100 AS bin, count(*) AS n, sum(end_ - beg) AS bases FROM iv GROUP BY ALL), c AS (SELECT *, sum(n) OVER w AS cum_n, sum(bases) OVER w AS cum_bases FROM h WINDOW w AS (PARTITION BY track ORDER BY bin DESC));; SELECT *, 100 * cum_bases // (SELECT sum(rlen) FROM lens) AS pct FROM c", "iv")

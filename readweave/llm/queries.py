@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from readweave.registry import Registry
 
 from .ann import nearest
+from .benchmark import contamination
 from .bpe import bpe_round_trip
 from .common import shared_dir, table
 from .exact import ORACLE as EXACT
@@ -75,6 +76,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every whole text inside windows of ten words of benchmark items."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY.add("op1_byte_bpe", op1_byte_bpe)
 REGISTRY.add("op2_mix_sources", op2_mix_sources)
 REGISTRY.add("op3_exact_dedup", op3_exact_dedup, EXACT)
@@ -85,4 +91,5 @@ REGISTRY.add("op7_line_dedup", op7_line_dedup)
 REGISTRY.add("op8_quality", op8_quality)
 REGISTRY.add("op9_nearest", op9_nearest)
 REGISTRY.add("op10_simhash", op10_simhash)
+REGISTRY.add("op11_decontaminate", op11_decontaminate)
 REGISTRY.add("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)

@@ -21,6 +21,7 @@ from .simhash import near_duplicates
 from .sstable import shard_digests, write_token_shards
 from .tokens import count_tokens
 from .urls import filter_urls, labelled_urls
+from .whitening import whitened_rows
 
 REGISTRY = Registry()
 
@@ -81,6 +82,11 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the eight whitened components."""
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY.add("op1_byte_bpe", op1_byte_bpe)
 REGISTRY.add("op2_mix_sources", op2_mix_sources)
 REGISTRY.add("op3_exact_dedup", op3_exact_dedup, EXACT)
@@ -92,4 +98,5 @@ REGISTRY.add("op8_quality", op8_quality)
 REGISTRY.add("op9_nearest", op9_nearest)
 REGISTRY.add("op10_simhash", op10_simhash)
 REGISTRY.add("op11_decontaminate", op11_decontaminate)
+REGISTRY.add("op12_whitening", op12_whitening)
 REGISTRY.add("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)

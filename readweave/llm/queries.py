@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from readweave.registry import Registry
 
+from .alignment import align_tokens
 from .ann import nearest
 from .benchmark import contamination
 from .bpe import bpe_round_trip
@@ -87,6 +88,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_rows(table(spark, sf_dir, "embeddings"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every whole text."""
+    return align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 REGISTRY.add("op1_byte_bpe", op1_byte_bpe)
 REGISTRY.add("op2_mix_sources", op2_mix_sources)
 REGISTRY.add("op3_exact_dedup", op3_exact_dedup, EXACT)
@@ -99,4 +105,5 @@ REGISTRY.add("op9_nearest", op9_nearest)
 REGISTRY.add("op10_simhash", op10_simhash)
 REGISTRY.add("op11_decontaminate", op11_decontaminate)
 REGISTRY.add("op12_whitening", op12_whitening)
+REGISTRY.add("op13_alignment", op13_alignment)
 REGISTRY.add("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)

@@ -39,6 +39,13 @@ SELECT ovl_id, aread, tile - CAST(floor(abpos / 100) AS BIGINT) AS seg, tile, (o
        least(aepos, (tile + 1) * 100) - greatest(abpos, tile * 100) AS blen
 FROM (SELECT *, explode(sequence(CAST(floor(abpos / 100) AS BIGINT), CAST(floor((aepos - 1) / 100) AS BIGINT))) AS tile FROM {ovl})"""
 
+#: Overlaps with walls: in two of three reads every other one stops in the middle, in one tile or two, and the rest start there or three tiles on.
+WALLS = """
+SELECT ovl_id, aread, bread, comp, alen, blen, CASE WHEN kind = 0 THEN abpos WHEN kind = 1 THEN greatest(0, mid + hop - len) ELSE mid + 300 * (aread % 2) + hop END AS abpos,
+       CASE WHEN kind = 0 THEN aepos WHEN kind = 1 THEN mid + hop ELSE least(alen, mid + 300 * (aread % 2) + hop + len) END AS aepos, bbpos, bepos, diffs
+FROM (SELECT *, aepos - abpos AS len, CAST(floor(alen / 200) AS BIGINT) * 100 AS mid, (ovl_id * 7) % (100 + 100 * (aread % 3)) AS hop,
+             CASE WHEN aread % 3 = 2 OR (aread % 4 = 1 AND ovl_id % 8 = 7) THEN 0 ELSE 1 + ovl_id % 2 END AS kind FROM {ovl}) x"""
+
 INTERVALS = """
 SELECT CASE WHEN o_orderpriority LIKE '1%' THEN 'dust' ELSE 'repeats' END AS track, l.rid, (o_orderkey * 37) % (rlen - 200) AS beg,
        least(rlen, (o_orderkey * 37) % (rlen - 200) + 200 + (o_custkey * 13) % 600) AS end_
@@ -63,8 +70,8 @@ CONTIGS = """
 SELECT doc_id AS cid, n_chars AS len, CASE WHEN doc_id % 5 = 0 THEN doc_id % 7 ELSE -1 END AS end1,
        CASE WHEN doc_id % 3 = 0 THEN doc_id % 7 ELSE -1 END AS end2 FROM {documents}"""
 
-VIEWS = {"lens": LENS, "ovl": OVL, "trace": TRACE, "iv": INTERVALS, "trim": TRIM, "dove": DOVE, "reads": READS, "sam": SAM, "contigs": CONTIGS}
-NEEDS = {"ovl": ["lens"], "trace": ["lens", "ovl"], "iv": ["lens"], "trim": ["lens"], "dove": ["lens"]}
+VIEWS = {"lens": LENS, "ovl": OVL, "trace": TRACE, "walls": WALLS, "iv": INTERVALS, "trim": TRIM, "dove": DOVE, "reads": READS, "sam": SAM, "contigs": CONTIGS}
+NEEDS = {"ovl": ["lens"], "trace": ["lens", "ovl"], "walls": ["lens", "ovl"], "iv": ["lens"], "trim": ["lens"], "dove": ["lens"]}
 
 
 class Fixtures:
@@ -83,6 +90,7 @@ class Fixtures:
 
     lens = cached_property(lambda self: self.view("lens"))
     ovl = cached_property(lambda self: self.view("ovl"))
+    walls = cached_property(lambda self: self.view("walls"))
     trace = cached_property(lambda self: self.view("trace"))
     iv = cached_property(lambda self: self.view("iv"))
     trim = cached_property(lambda self: self.view("trim"))

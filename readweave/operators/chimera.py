@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readweave.functions.lineage import settled
+
 from .intervals import interval_join, merge_intervals
 from .overlaps import with_ends
 
@@ -89,10 +91,11 @@ def chimera_walls(o: DataFrame, trim: DataFrame, repeats: DataFrame, chains: Dat
     what is left stays. Looks skip the two tiles after an end wall, and after a begin wall that is crossed; one that is too far or not
     repetitive skips nothing. A chain that needs the read's end to be whole is held against what earlier cuts left.
     """
-    found = walls(premature_ends(o, trim, twidth), border)
+    found = settled(walls(premature_ends(o, trim, twidth), border))
     ends, begins = (found.where(F.col("side") == s).drop("side") for s in ("end", "begin"))
     low, high = F.least("wall", "_w") * twidth, F.greatest("wall", "_w") * twidth
     spans = ends.select("aread", "wall").distinct().join(begins.select("aread", F.col("wall").alias("_w")).distinct(), "aread").select("aread", low.alias("beg"), high.alias("end_")).distinct().where(F.col("end_") - F.col("beg") <= most)
+    spans = settled(spans)
     rep = merge_intervals(repeats, by=("rid",)).select(F.col("rid").alias("aread"), F.col("beg").alias("_b"), F.col("end_").alias("_e"))
     bases = interval_join(spans.where("end_ > beg"), rep, "aread", ("beg", "end_"), ("_b", "_e")).groupBy("aread", "beg", "end_").agg(F.sum("bp").alias("rep"))
     lines = longest_chains(chains, trim, fuzz, anchor, min_chain).withColumn("_stop", F.col("high") + 1)

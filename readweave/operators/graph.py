@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from readweave.functions.lineage import shared_folder
 from readweave.functions.columns import has
 
 from .overlaps import flagged, purge, with_ends
@@ -121,9 +120,8 @@ def rescue_dead_ends(o: DataFrame, edges: DataFrame, trim: DataFrame, n: int = 1
 
 
 def set_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder that the cluster names; only where it names none, as in tests, to a new one."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}")
+    """Checkpoints go to the folder that the cluster names."""
+    shared_folder(spark)
 
 
 def components(edges: DataFrame) -> DataFrame:

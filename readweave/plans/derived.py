@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from readweave.functions.lineage import shared_folder
 from readweave.operators import chains as C
 from readweave.operators import evidence as E
 from readweave.operators import intervals as I
@@ -16,7 +16,6 @@ from readweave.operators import overlaps as O
 from readweave.operators import patches as P
 from readweave.operators import paths as W
 from readweave.operators import reads as R
-from readweave.operators.graph import set_checkpoints
 from readweave.sources import text as T
 from readweave.sources.fixtures import Fixtures
 from readweave.streaming import coverage as S
@@ -170,8 +169,7 @@ add("coverage_mask", lambda v: S.mask_from_coverage(S.coverage_runs(S.coverage_d
 def streamed(v: Fixtures) -> DataFrame:
     """The same mask by way of a stream: the overlaps as files, a folder for each batch, read in several triggers."""
     spark: SparkSession = v.spark
-    set_checkpoints(spark)
-    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir() or tempfile.gettempdir()).rstrip('/')}/{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     batches(v).repartition(5, "batch_id").write.parquet(f"{base}/in")
     schema = spark.read.parquet(f"{base}/in").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")

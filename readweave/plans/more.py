@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from readweave.operators import chimera as X
 from readweave.operators import intervals as I
+from readweave.operators import modules as R
 from readweave.operators import trimming as T
 from readweave.sources.fixtures import Fixtures
 
@@ -47,6 +48,7 @@ def pair_chains(o: DataFrame) -> DataFrame:
 
 
 def chimeras(v: Fixtures) -> DataFrame:
+    v = v.stored()
     return X.chimera_walls(v.walls, v.trim, v.iv, pair_chains(v.walls), border=4, anchor=200, min_chain=1000)
 
 
@@ -66,6 +68,7 @@ def trims(v: Fixtures, option: int) -> DataFrame:
 
 
 def all_trims(v: Fixtures) -> DataFrame:
+    v = v.stored()
     out = trims(v, 0)
     for option in (1, 2, 3):
         out = out.unionByName(trims(v, option))
@@ -108,3 +111,33 @@ CUTS = """ gp AS ({gaps}), gw AS (SELECT * FROM gp UNION ALL SELECT other, b_end
  SELECT option, cid, 'removed', pe, beg, 'split', NULL FROM hl WHERE pe < beg UNION ALL SELECT option, cid, 'removed', end_, len, 'split', NULL FROM hl WHERE nb IS NULL AND end_ < len"""
 REPEATS_ONLY = " rep AS (SELECT * FROM iv WHERE track = 'repeats'),"
 add("trim_contigs", all_trims, "option cid beg end_ other", "kind reason", REPEATS_ONLY + CUTS.replace("{gaps}", GAPS.replace("{ovl}", "ovl")).replace("{union}", union("rep", "rid")), "ovl trace iv lens")
+
+# Repeat modules
+MODULES = """ os AS (SELECT aread, tb, te, CASE WHEN count(*) FILTER (flags & 2 = 0 AND abpos = tb) = 0 THEN 'l' ELSE 'r' END AS op FROM exits x JOIN trim t ON t.rid = aread WHERE tb < te GROUP BY aread, tb, te
+  HAVING count(*) FILTER (abpos = tb AND aepos = te) = 0 AND (count(*) FILTER (flags & 2 = 0 AND abpos = tb) > 0) <> (count(*) FILTER (flags & 2 = 0 AND aepos = te) > 0)),
+ mu AS ({union}), mc AS (SELECT aread, greatest(beg, tb) AS beg, least(end_, te) AS end_ FROM mu JOIN os ON aread = rid WHERE greatest(beg, tb) < least(end_, te)),
+ mn AS (SELECT *, CASE WHEN beg - lag(end_) OVER w < 900 AND end_ - beg > 100 THEN 0 ELSE 1 END AS nw FROM mc WINDOW w AS (PARTITION BY aread ORDER BY beg, end_)),
+ mr AS (SELECT aread, min(beg) AS beg, max(end_) AS end_ FROM (SELECT *, sum(nw) OVER (PARTITION BY aread ORDER BY beg, end_ ROWS UNBOUNDED PRECEDING) AS g FROM mn) GROUP BY aread, g),
+ pl AS (SELECT * FROM os WHERE aread IN (SELECT aread FROM mr)),
+ rb AS (SELECT aread, beg, stop, unnest(range(first, stop)) AS bin FROM (SELECT r.aread, beg, CAST(greatest(tb + 1000, beg + 500) // 100 AS BIGINT) AS first, CAST(least(te - 1000, end_ - 500) // 100 AS BIGINT) AS stop FROM mr r JOIN pl ON pl.aread = r.aread
+  WHERE NOT EXISTS (SELECT 1 FROM exits x WHERE x.aread = r.aread AND flags & 2 = 0 AND abpos + 500 <= beg AND aepos - 500 >= end_))),
+ cb AS (SELECT aread, bin, sum(n) AS n FROM (SELECT aread, CASE WHEN flags & 16 > 0 THEN 9 ELSE 1 END AS n, unnest(range(CAST((abpos + 500) // 100 AS BIGINT), CAST((aepos - 500) // 100 AS BIGINT))) AS bin FROM exits WHERE flags & 131200 = 0) GROUP BY ALL),
+ ln AS (SELECT rb.aread, beg, stop, rb.bin, rb.bin - row_number() OVER (PARTITION BY rb.aread, beg ORDER BY rb.bin) AS g FROM rb JOIN cb ON cb.aread = rb.aread AND cb.bin = rb.bin WHERE n < 9),
+ ju AS (SELECT aread, (min(bin) + max(bin) + 1) // 2 * 100 - 50 AS jb FROM ln GROUP BY aread, beg, stop, g HAVING count(*) > 7 AND max(bin) + 1 < stop),
+ jx AS (SELECT aread, jb FROM (SELECT DISTINCT * FROM ju) j WHERE (SELECT count(*) FROM exits x WHERE x.aread = j.aread AND abpos + 100 < jb AND aepos - 100 > jb + 100 AND (flags & 2 = 0 OR (flags & 8 > 0 AND flags & 229552 = 0))) BETWEEN 4 AND 9),
+ m1 AS (SELECT DISTINCT x.aread, ovl_id FROM exits x JOIN jx ON jx.aread = x.aread JOIN pl ON pl.aread = x.aread WHERE flags & 8 > 0 AND flags & 229552 = 0 AND NOT (abpos > tb AND aepos < te) AND abpos + 500 < jb AND aepos - 500 > jb + 100),
+ oe AS (SELECT x.*, tb, te, op FROM exits x JOIN pl ON pl.aread = x.aread WHERE flags & 229552 = 0 AND CASE op WHEN 'l' THEN abpos = tb ELSE aepos = te END),
+ br AS (SELECT mu.rid, greatest(beg, tb) AS beg, least(end_, te) AS end_, te - tb AS tl FROM mu JOIN trim t ON t.rid = mu.rid WHERE tb < te AND greatest(beg, tb) < least(end_, te)),
+ bu AS (SELECT rid, any_value(tl) - sum(end_ - beg) AS u FROM br GROUP BY rid),
+ bp AS (SELECT aread, ovl_id, bread, flags, (op = 'l') <> (comp = 1) AS lf, CASE WHEN (op = 'l') <> (comp = 1) THEN CASE comp WHEN 1 THEN blen - bepos ELSE bbpos END ELSE CASE comp WHEN 1 THEN blen - bbpos ELSE bepos END END AS p FROM oe WHERE aread NOT IN (SELECT aread FROM m1)),
+ lo AS (SELECT aread, ovl_id, CASE WHEN lf THEN p - beg ELSE end_ - p END // 1000 AS bin FROM bp JOIN br ON br.rid = bread AND beg < p AND p < end_ JOIN bu ON bu.rid = bread WHERE u >= 300 AND flags & ~11 = 0),
+ m2 AS (SELECT aread, ovl_id FROM lo QUALIFY count(*) OVER (PARTITION BY aread, bin) BETWEEN 3 AND 8),
+ le AS (SELECT aread, ovl_id, count(*) OVER (PARTITION BY aread) AS n FROM (SELECT * FROM oe WHERE aread NOT IN (SELECT aread FROM m1) AND aread NOT IN (SELECT aread FROM m2)
+  QUALIFY row_number() OVER (PARTITION BY aread, bread ORDER BY aepos - abpos DESC, comp, abpos, aepos, bbpos, bepos, ovl_id) = 1)),
+ rs AS (SELECT ovl_id, 262144 AS f FROM m1 UNION ALL SELECT ovl_id, 524288 FROM m2 UNION ALL SELECT ovl_id, 524288 FROM le WHERE n + 1 < 9)"""
+def rescued(v: Fixtures) -> DataFrame:
+    v = v.stored()
+    return R.rescue_modules(v.exits, v.iv, v.trim, 9, 3, 900, 300)
+
+
+add("rescue_modules", rescued, "ovl_id flags", "", MODULES.replace("{union}", union("iv", "rid")) + ";; SELECT x.ovl_id, CASE WHEN f IS NULL THEN flags ELSE (flags & ~2) | f END AS flags FROM exits x LEFT JOIN rs ON rs.ovl_id = x.ovl_id", "exits iv")

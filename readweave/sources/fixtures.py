@@ -6,6 +6,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from readweave.functions.lineage import settled
+
 LENS = "SELECT p_partkey AS rid, 2000 + 100 * p_size AS rlen FROM {part}"
 
 OVL = """
@@ -46,6 +48,14 @@ SELECT ovl_id, aread, bread, comp, alen, blen, CASE WHEN kind = 0 THEN abpos WHE
 FROM (SELECT *, aepos - abpos AS len, CAST(floor(alen / 200) AS BIGINT) * 100 AS mid, (ovl_id * 7) % (100 + 100 * (aread % 3)) AS hop,
              CASE WHEN aread % 3 = 2 OR (aread % 4 = 1 AND ovl_id % 8 = 7) THEN 0 ELSE 1 + ovl_id % 2 END AS kind FROM {ovl}) x"""
 
+#: Overlaps with flags of earlier rules: of each read, live exits on one side, discarded ones on the other, and discarded overlaps between.
+EXITS = """
+SELECT o.ovl_id, o.aread, o.bread, o.comp, o.alen, o.blen,
+       CASE WHEN kind = aread % 2 THEN coalesce(tb, 0) WHEN kind = 1 - aread % 2 THEN greatest(abpos, least(coalesce(te, 0), alen) - 1600 - 100 * (ovl_id % 9)) WHEN kind = 4 THEN greatest(0, abpos - 400) ELSE abpos END AS abpos,
+       CASE WHEN kind = 1 - aread % 2 THEN coalesce(te, 0) WHEN kind = aread % 2 THEN coalesce(tb, 0) + 900 + 100 * (ovl_id % 11) WHEN kind = 4 THEN least(alen, aepos + 400) ELSE aepos END AS aepos, bbpos, bepos, diffs,
+       CASE WHEN kind = 0 THEN 0 WHEN kind = 1 THEN 10 WHEN kind = 4 AND ovl_id % 13 = 0 THEN 18 WHEN ovl_id % 17 = 0 THEN 130 WHEN ovl_id % 3 = 0 THEN 0 ELSE 10 END AS flags
+FROM (SELECT *, ovl_id % 5 AS kind FROM {ovl}) o LEFT JOIN {trim} t ON t.rid = o.aread WHERE kind > 1 OR coalesce(te, 0) - coalesce(tb, 0) > 2000"""
+
 INTERVALS = """
 SELECT CASE WHEN o_orderpriority LIKE '1%' THEN 'dust' ELSE 'repeats' END AS track, l.rid, (o_orderkey * 37) % (rlen - 200) AS beg,
        least(rlen, (o_orderkey * 37) % (rlen - 200) + 200 + (o_custkey * 13) % 600) AS end_
@@ -70,8 +80,8 @@ CONTIGS = """
 SELECT doc_id AS cid, n_chars AS len, CASE WHEN doc_id % 5 = 0 THEN doc_id % 7 ELSE -1 END AS end1,
        CASE WHEN doc_id % 3 = 0 THEN doc_id % 7 ELSE -1 END AS end2 FROM {documents}"""
 
-VIEWS = {"lens": LENS, "ovl": OVL, "trace": TRACE, "walls": WALLS, "iv": INTERVALS, "trim": TRIM, "dove": DOVE, "reads": READS, "sam": SAM, "contigs": CONTIGS}
-NEEDS = {"ovl": ["lens"], "trace": ["lens", "ovl"], "walls": ["lens", "ovl"], "iv": ["lens"], "trim": ["lens"], "dove": ["lens"]}
+VIEWS = {"lens": LENS, "ovl": OVL, "trace": TRACE, "walls": WALLS, "iv": INTERVALS, "trim": TRIM, "exits": EXITS, "dove": DOVE, "reads": READS, "sam": SAM, "contigs": CONTIGS}
+NEEDS = {"ovl": ["lens"], "trace": ["lens", "ovl"], "walls": ["lens", "ovl"], "exits": ["lens", "ovl", "trim"], "iv": ["lens"], "trim": ["lens"], "dove": ["lens"]}
 
 
 class Fixtures:
@@ -80,17 +90,22 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
+    def stored(self) -> Fixtures:
+        """The same, but each view is computed and written once: for queries that read one many times."""
+        return Stored(self.spark, self.sf_dir)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
         text = VIEWS[name].replace("{string}", "STRING")
-        frames = {n: (self.view(n) if n in VIEWS else self.table(n)) for n in ("lens", "ovl", "part", "lineitem", "orders", "documents") if "{" + n + "}" in text}
+        frames = {n: (self.view(n) if n in VIEWS else self.table(n)) for n in ("lens", "ovl", "trim", "part", "lineitem", "orders", "documents") if "{" + n + "}" in text}
         return self.spark.sql(text, **frames)
 
     lens = cached_property(lambda self: self.view("lens"))
     ovl = cached_property(lambda self: self.view("ovl"))
     walls = cached_property(lambda self: self.view("walls"))
+    exits = cached_property(lambda self: self.view("exits"))
     trace = cached_property(lambda self: self.view("trace"))
     iv = cached_property(lambda self: self.view("iv"))
     trim = cached_property(lambda self: self.view("trim"))
@@ -100,13 +115,26 @@ class Fixtures:
     contigs = cached_property(lambda self: self.view("contigs"))
 
 
+class Stored(Fixtures):
+    """Views that are computed when first asked for, and no more."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__(spark, sf_dir)
+        self.kept: dict[str, DataFrame] = {}
+
+    def view(self, name: str) -> DataFrame:
+        if name not in self.kept:
+            self.kept[name] = settled(super().view(name))
+        return self.kept[name]
+
+
 def duck_views(*names: str) -> str:
     """The WITH list of these views in DuckDB's dialect, with what they need."""
     order = [n for n in VIEWS if n in names or any(n in NEEDS.get(m, []) for m in names)]
     out = []
     for n in order:
         text = VIEWS[n].replace("{string}", "VARCHAR")
-        for other in ("lens", "ovl", "part", "lineitem", "orders", "documents"):
+        for other in ("lens", "ovl", "trim", "part", "lineitem", "orders", "documents"):
             text = text.replace("{" + other + "}", other)
         if n == "trace":
             text = text.replace("explode(sequence(CAST(floor(abpos / 100) AS BIGINT), CAST(floor((aepos - 1) / 100) AS BIGINT)))", "unnest(range(CAST(abpos // 100 AS BIGINT), CAST((aepos - 1) // 100 AS BIGINT) + 1))")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -73,22 +74,22 @@ class Pieces:
 
 def diagonal(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of ``a`` and of ``b`` that are passed when each group ends; both rise and end on the same number."""
-    i, j, n, ends = 0, 0, len(a), []
+    i, j, n, of_a, of_b = 0, 0, len(a), [], []
     while i < n:
-        run, step = 0, 1
-        while step and i + run < n:  # how long do both agree at this shift?
-            if a[i + run : i + run + step] == b[j + run : j + run + step]:
-                run += step
-                step *= 2
-            else:
-                step //= 2
-        run = min(run, n - i)
-        if run:
-            ends.append((i + 1, j + 1, run))
-            i, j = i + run, j + run
-            if i == n:
-                break
         x, y = a[i], b[j]
+        if x == y:  # one to one: how long do both agree at this shift?
+            run, step = 1, 1
+            while step and i + run < n:
+                if a[i + run : i + run + step] == b[j + run : j + run + step]:
+                    run += step
+                    step *= 2
+                else:
+                    step //= 2
+            run = min(run, n - i)
+            of_a.extend(range(i + 1, i + run + 1))
+            of_b.extend(range(j + 1, j + run + 1))
+            i, j = i + run, j + run
+            continue
         while x != y:  # an irregular group: the smaller end moves on
             if x < y:
                 i += 1
@@ -97,10 +98,17 @@ def diagonal(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
                 j += 1
                 y = b[j]
         i, j = i + 1, j + 1
-        ends.append((i, j, 1))
-    first, second, run = np.array(ends, "i8").reshape(-1, 3).T
-    along = np.arange(run.sum()) - np.repeat(np.cumsum(run) - run, run)
-    return np.repeat(first, run) + along, np.repeat(second, run) + along
+        of_a.append(i)
+        of_b.append(j)
+    return np.array(of_a, "i8"), np.array(of_b, "i8")
+
+
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All numbers of two rising arrays, each once."""
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    return both[new]
 
 
 #: Leads of characters that may be white space: no cut stands before them.
@@ -108,28 +116,59 @@ LEADS = np.ones(256, bool)
 LEADS[:0x21] = LEADS[0x7F] = LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = False
 
 
+def visible(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a visible character ends at each place; where it is hard to tell it does not."""
+    last, lead = raw[at], raw[np.maximum(at - 1, 0)]
+    return ((last > 0x20) & (last < 0x7F)) | ((last >= 0x80) & (lead >= 0xC3) & (lead <= 0xDF))
+
+
 def cut_places(raw: np.ndarray) -> np.ndarray:
     """Places of single spaces and line feeds between visible characters; where it is hard to tell there is none."""
     if len(raw) < 3:
         return np.zeros(0, "i8")
     at = np.flatnonzero((raw[1:-1] == 0x20) | (raw[1:-1] == 0x0A)) + 1
-    before, lead = raw[at - 1], raw[np.maximum(at - 2, 0)]
-    seen = ((before > 0x20) & (before < 0x7F)) | ((before >= 0x80) & (lead >= 0xC3) & (lead <= 0xDF))
-    return at[seen & LEADS[raw[at + 1]]]
+    return at[visible(raw, at - 1) & LEADS[raw[at + 1]]]
+
 
+def view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts (strings or binary), and where each begins (and the last ends)."""
+    ends = np.frombuffer(texts.buffers()[1], "i4", len(texts) + 1, 4 * texts.offset).astype("i8") if len(texts) else np.zeros(1, "i8")
+    raw = np.frombuffer(texts.buffers()[2] or b"", "u1")[ends[0] : ends[-1]]
+    return raw, ends - ends[0]
 
-class Units:
-    """Distinct units and what is known of each; forgotten when they take more than ``most`` bytes."""
 
-    def __init__(self, most: int = 40 << 20) -> None:
-        self.most = most
-        self.forget()
+def strings(kind: pa.DataType, raw: bytes, ends: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(kind, len(ends) - 1, [None, pa.py_buffer(ends.astype("i4").tobytes()), pa.py_buffer(raw)])
 
-    def forget(self) -> None:
-        self.words, self.held = pa.array([], pa.string()), 0
-        self.groups: list[bytes] = []
-        self.numbers = np.zeros((0, 3), "i8")  # tokens of A, tokens of B, groups
-        self.size, self.links = np.zeros(0, "i8"), np.zeros(0, "u8")
+
+@dataclass
+class Known:
+    """Units and, for each: its groups as text, how many tokens of A, tokens of B and groups it has, and its links as a << 32 | b."""
+
+    words: pa.Array
+    groups: pa.Array
+    numbers: np.ndarray
+    size: np.ndarray
+    links: np.ndarray
+
+    @classmethod
+    def none(cls) -> Known:
+        return cls(pa.array([], pa.string()), pa.array([], pa.binary()), np.zeros((0, 3), "i8"), np.zeros(0, "i8"), np.zeros(0, "u8"))
+
+    def take(self, at: np.ndarray) -> Known:
+        links, _ = lay(self.links, (np.cumsum(self.size) - self.size)[at], self.size[at], np.arange(len(at) + 1))
+        where = pa.array(at)
+        return Known(self.words.take(where), self.groups.take(where), self.numbers[at], self.size[at], links)
+
+    def __add__(self, more: Known) -> Known:
+        return Known(
+            pa.concat_arrays([self.words, more.words]), pa.concat_arrays([self.groups, more.groups]), np.concatenate([self.numbers, more.numbers]),
+            np.concatenate([self.size, more.size]), np.concatenate([self.links, more.links]),
+        )
+
+    @property
+    def nbytes(self) -> int:
+        return self.words.nbytes + self.groups.nbytes + self.numbers.nbytes + self.size.nbytes + self.links.nbytes
 
 
 def apart(encode: Callable[[list[str]], list[list[int]]]) -> bool:
@@ -142,50 +181,49 @@ def apart(encode: Callable[[list[str]], list[list[int]]]) -> bool:
 
 
 class Aligner:
-    """Both tokenizers, and a store of units of at most ``most`` bytes."""
+    """Both tokenizers, and a store of known units of about ``most`` bytes."""
 
     def __init__(self, path_a: str, path_b: str, most: int = 40 << 20) -> None:
-        self.a, self.b, self.units = ByteLevel(path_a), Pieces(path_b), Units(most)
+        self.a, self.b, self.most, self.known = ByteLevel(path_a), Pieces(path_b), most, Known.none()
         self.cuts = self.b.cuts and all(map(apart, (self.a.encode, self.b.encode)))
-        names = [("%d" % i).encode() for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
-        self.inner, self.bar, self.end = (np.array([n + mark for n in names], object) for mark in (b",", b"|", b";"))
-
-    def streams(self, units: list[str]) -> Iterator[list[int]]:
-        """Numbers of units that are encoded together: those that begin with white space and end visibly are one text in a row."""
-        some, size = [], 0
-        for k, u in enumerate(units):
-            if not self.cuts or u[-1].isspace() or u[0] not in " \n" or u[1:2].isspace():
-                yield [k]
-                continue
-            some.append(k)
-            size += len(u)
-            if size >= STREAM:
-                yield some
-                some, size = [], 0
-        if some:
-            yield some
-
-    def align(self, units: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Of each unit: its groups as text, its three numbers (those of a unit that the tokenizers don't give back: -1), its links as a << 32 | b."""
-        groups, numbers = [b""] * len(units), np.full((len(units), 3), -1, "i8")
-        links: list[np.ndarray] = [np.zeros(0, "u8")] * len(units)
-        for some in self.streams(units):
-            self.together([units[k] for k in some], some, groups, numbers, links)
-        size = np.array(list(map(len, links)), "i8")
-        return groups, numbers, size, np.concatenate([np.zeros(0, "u8"), *links])
-
-    def together(self, units: list[str], at: list[int], groups: list[bytes], numbers: np.ndarray, links: list[np.ndarray]) -> None:
-        """``units`` as one stream; results go to places ``at``."""
-        raw = [u.encode() for u in units]
-        lead = b"" if raw[0][:1] == b" " else b" "  # a unit that begins otherwise follows a space, which is taken off again
-        stream = lead + b"".join(raw)
+        self.names = max(len(self.a.bytes), len(self.b.bytes))
+        self.marked = pa.array([b"%d%s" % (n, mark) for mark in (b",", b"|", b";") for n in range(self.names)], pa.binary())
+
+    def align(self, units: pa.Array) -> Known:
+        """Units that begin with white space and end visibly are one text in a row, and encoded as streams; the rest one by one."""
+        raw, ends = view(units)
+        first = raw[ends[:-1]]
+        regular = ((first == 0x20) | (first == 0x0A)) & (np.diff(ends) > 1) & LEADS[raw[np.minimum(ends[:-1] + 1, len(raw) - 1)]] & visible(raw, ends[1:] - 1)
+        if not self.cuts:
+            regular[:] = False
+        out, order = Known.none(), np.concatenate([np.flatnonzero(regular), np.flatnonzero(~regular)])
+        inside = units.filter(pa.array(regular))
+        _, ends = view(inside)
+        start, parts = 0, []
+        while start < len(inside):
+            end = max(start + 1, int(np.searchsorted(ends, ends[start] + STREAM, "right")) - 1)
+            parts += self.together(inside.slice(start, end - start))
+            start = end
+        for k in np.flatnonzero(~regular).tolist():
+            parts += self.together(units.slice(k, 1))
+        for step in range(0, len(parts), 64):
+            out = out + sum(parts[step + 1 : step + 64], parts[step])
+        back = np.empty(len(order), "i8")
+        back[order] = np.arange(len(order))
+        return out.take(back)
+
+    def together(self, units: pa.Array) -> list[Known]:
+        """``units`` as one stream. A unit that the tokenizers don't give back has -1 for its numbers."""
+        raw, close = view(units)
+        raw, close = raw.tobytes(), close[1:]
+        lead = b"" if raw[:1] == b" " else b" "  # a unit that begins otherwise follows a space, which is taken off again
+        stream = lead + raw
         text = stream.decode()
         (a,), (b,) = self.a.encode([text]), self.b.encode([text])
         if b"".join(map(self.a.bytes.__getitem__, a)) != stream or b"".join(map(self.b.bytes.__getitem__, b)) != stream:
             if len(units) > 1:
-                for u, k in zip(units, at, strict=True):
-                    self.together([u], [k], groups, numbers, links)
-            return
+                return [x for k in range(len(units)) for x in self.together(units.slice(k, 1))]
+            return [Known(units, pa.array([b""], pa.binary()), np.full((1, 3), -1, "i8"), np.zeros(1, "i8"), np.zeros(0, "u8"))]
         a, b = np.array(a, "i8"), np.array(b, "i8")
         ends_a, ends_b = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
         if lead:
@@ -193,83 +231,72 @@ class Aligner:
                 raise ValueError("a space joins what follows it; texts can't be cut at line feeds")
             a, b, ends_a, ends_b = a[1:], b[1:], ends_a[1:] - 1, ends_b[1:] - 1
         of_a, of_b = diagonal(ends_a.tolist(), ends_b.tolist())  # tokens passed at the end of each group
-        close = np.cumsum(list(map(len, raw)))
-        last = np.searchsorted(ends_a[of_a - 1], close) + 1  # groups passed at the end of each unit
-        if not np.array_equal(ends_a[of_a[last - 1] - 1], close):
+        last = np.searchsorted(ends_a[of_a - 1], close)  # the last group of each unit
+        if not np.array_equal(ends_a[of_a[last] - 1], close):
             raise ValueError("a token reaches over a cut")
         # Inside a group each end but the last belongs to one side: a link starts at each end of the other.
-        every = np.union1d(ends_a, ends_b)
+        every = merged(ends_a, ends_b)
         pairs = (a[np.searchsorted(ends_a, every)].astype("u8") << np.uint64(32)) | b[np.searchsorted(ends_b, every)].astype("u8")
-        closing = np.searchsorted(every, close, "right")
-        said = self.written(a, b, of_a, of_b)
-        bound = (of_a + of_b)[last - 1]
-        start_text = start_link = start_group = start_a = start_b = 0
-        for k, t, g, p in zip(at, bound.tolist(), last.tolist(), closing.tolist(), strict=True):
-            groups[k] = b"".join(said[start_text:t])
-            links[k] = pairs[start_link:p]
-            end_a, end_b = int(of_a[g - 1]), int(of_b[g - 1])
-            numbers[k] = end_a - start_a, end_b - start_b, g - start_group
-            start_text, start_link, start_group, start_a, start_b = t, p, g, end_a, end_b
-
-    def written(self, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> list[bytes]:
-        """Tokens group by group, those of A before those of B, each with the mark that follows it."""
-        mine, yours = self.inner[a], self.inner[b]
-        mine[of_a - 1], yours[of_b - 1] = self.bar[a[of_a - 1]], self.end[b[of_b - 1]]
-        group_a = np.searchsorted(of_a, np.arange(len(a)), "right")
-        group_b = np.searchsorted(of_b, np.arange(len(b)), "right")
-        out = np.empty(len(a) + len(b), object)
-        out[np.arange(len(a)) + np.concatenate([[0], of_b])[group_a]] = mine
-        out[np.arange(len(b)) + of_a[group_b]] = yours
-        return out.tolist()
-
-    def find(self, words: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Where each of ``words`` (all different) stands in: groups, numbers, start and size of links, links."""
-        u = self.units
-        at = pc.fill_null(pc.index_in(words, value_set=u.words), -1).to_numpy(zero_copy_only=False).astype("i8")
+        said, ends = view(self.marked.take(pa.array(self.written(a, b, of_a, of_b))))
+        groups = strings(pa.binary(), said.tobytes(), ends[np.concatenate([[0], (of_a + of_b)[last]])])
+        numbers = np.stack([np.diff(x, prepend=0) for x in (of_a[last], of_b[last], last + 1)], axis=1)
+        return [Known(units, groups, numbers, np.diff(np.searchsorted(every, close, "right"), prepend=0), pairs)]
+
+    def written(self, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+        """Tokens group by group, those of A before those of B, as rows of ``marked``: each with the mark that follows it."""
+        mine, yours = a.copy(), b.copy()
+        mine[of_a - 1] += self.names
+        yours[of_b - 1] += 2 * self.names
+        shift_a = np.repeat(np.concatenate([[0], of_b[:-1]]), np.diff(of_a, prepend=0))
+        shift_b = np.repeat(of_a, np.diff(of_b, prepend=0))
+        out = np.empty(len(a) + len(b), "i8")
+        out[np.arange(len(a)) + shift_a] = mine
+        out[np.arange(len(b)) + shift_b] = yours
+        return out
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, Known]:
+        """Where each of ``words`` (all different) stands among known units, those that are new included.
+
+        Beyond ``most`` bytes those stay that these words asked for again: the common ones.
+        """
+        at = pc.fill_null(pc.index_in(words, value_set=self.known.words), -1).to_numpy(zero_copy_only=False).astype("i8")
         new = np.flatnonzero(at < 0)
-        if len(new):
-            missing = words.take(pa.array(new))
-            groups, numbers, size, links = self.align(missing.to_pylist())
-            taken = missing.nbytes + sum(map(len, groups)) + 120 * len(groups) + links.nbytes
-            if u.held + taken > u.most:
-                u.forget()
-                if len(new) < len(words):  # what was known is needed too
-                    return self.find(words)
-            at[new] = len(u.groups) + np.arange(len(new))
-            if u.held + taken > u.most:  # too much to keep: for this call alone
-                start = np.cumsum(size) - size
-                return at, groups, numbers, start, size, links
-            u.words, u.held = pa.concat_arrays([u.words, missing]), u.held + taken
-            u.groups += groups
-            u.numbers, u.size, u.links = np.concatenate([u.numbers, numbers]), np.concatenate([u.size, size]), np.concatenate([u.links, links])
-        return at, u.groups, u.numbers, np.cumsum(u.size) - u.size, u.size, u.links
+        if not len(new):
+            return at, self.known
+        found = self.align(words.take(pa.array(new)))
+        if self.known.nbytes + found.nbytes > self.most:
+            again = np.flatnonzero(at >= 0)
+            self.known = self.known.take(at[again])
+            at[again] = np.arange(len(again))
+        at[new] = len(self.known.words) + np.arange(len(new))
+        both = self.known + found
+        self.known = both if both.nbytes <= self.most else Known.none()
+        return at, both
 
     def documents(self, texts: pa.Array) -> pa.RecordBatch:
         """Of each text n_a, n_b, n_groups, n_links, groups_sha256 and links (a, b, n: how often): zeros if it has no tokens."""
         n = len(texts)
         odd = pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False) | (pc.binary_length(texts).to_numpy(zero_copy_only=False) == 0)
         texts = pc.if_else(pa.array(odd), "", pc.binary_join_element_wise("", texts, " "))  # a space before each
-        offsets = np.frombuffer(texts.buffers()[1], "i4", n + 1, 4 * texts.offset).astype("i8")
-        raw = np.frombuffer(texts.buffers()[2] or b"", "u1")[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
-        cuts = cut_places(raw) if self.cuts else np.zeros(0, "i8")
-        bounds = np.union1d(cuts, offsets)
+        raw, offsets = view(texts)
+        bounds = merged(cut_places(raw) if self.cuts else np.zeros(0, "i8"), offsets)
         first = np.searchsorted(bounds, offsets)  # the first unit of each text
-        body = pa.StringArray.from_buffers(max(len(bounds) - 1, 0), pa.py_buffer(bounds.astype("i4").tobytes()), pa.py_buffer(raw.tobytes()))
-        coded = body.dictionary_encode()
-        where, groups, numbers, start, size, links = self.find(coded.dictionary)
+        coded = strings(pa.string(), raw.tobytes(), bounds).dictionary_encode()
+        where, known = self.find(coded.dictionary)
         unit = where[coded.indices.to_numpy()]
-        of_unit = np.concatenate([np.zeros((1, 3), "i8"), np.cumsum(np.maximum(numbers[unit], 0), axis=0)])
-        bad = np.concatenate([[0], np.cumsum(numbers[unit, 0] < 0)])
+        numbers = known.numbers[unit]
+        of_unit = np.concatenate([np.zeros((1, 3), "i8"), np.cumsum(np.maximum(numbers, 0), axis=0)])
+        bad = np.concatenate([[0], np.cumsum(numbers[:, 0] < 0)])
         odd = odd | (bad[first[1:]] > bad[first[:-1]])
         counts = np.where(odd[:, None], 0, of_unit[first[1:]] - of_unit[first[:-1]])
-        told, here = [], unit.tolist()
-        for k, (x, y) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-            told.append("" if odd[k] else hashlib.sha256(b"".join([groups[i] for i in here[x:y]])[:-1]).hexdigest())
-        flat, ends = lay(links, start[unit], size[unit], first)
+        told = []
+        for start, end in self.runs(known.groups, unit, first):
+            said, ends = view(known.groups.take(pa.array(unit[first[start] : first[end]])))
+            ends = ends[first[start : end + 1] - first[start]].tolist()
+            told += ["" if odd[k] else hashlib.sha256(said[x : y - 1]).hexdigest() for k, x, y in zip(range(start, end), ends, ends[1:])]
+        flat, ends = lay(known.links, (np.cumsum(known.size) - known.size)[unit], known.size[unit], first)
         n_links = np.where(odd, 0, np.diff(ends))
-        keep = np.repeat(~odd, np.diff(ends))
-        flat, owner = flat[keep], np.repeat(np.arange(n), n_links)
+        flat, owner = flat[np.repeat(~odd, np.diff(ends))], np.repeat(np.arange(n), n_links)
         order = np.lexsort((flat, owner))
         flat, owner = flat[order], owner[order]
         new = np.ones(len(flat), bool)
@@ -281,6 +308,16 @@ class Aligner:
         lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), kinds)
         return pa.RecordBatch.from_arrays([*(pa.array(counts[:, c]) for c in range(3)), pa.array(n_links), pa.array(told, pa.string()), lists], ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
 
+    @staticmethod
+    def runs(groups: pa.Array, unit: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Runs of texts whose groups take no more bytes than an Arrow array holds; of a single text they always do."""
+        total = np.concatenate([[0], np.cumsum(pc.binary_length(groups).to_numpy(zero_copy_only=False).astype("i8")[unit])])[first]
+        start, n = 0, len(first) - 1
+        while start < n:
+            end = max(start + 1, int(np.searchsorted(total, total[start] + (1 << 30), "right")) - 1)
+            yield start, end
+            start = end
+
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 

@@ -5,11 +5,14 @@ A chain is a (aread, bread, chain) group with a rank along A. Groups are as smal
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readweave.functions.columns import set_flag
+from readweave.functions.columns import bit, forward_b, set_flag
 
 from .intervals import interval_join, merge_intervals
 from .overlaps import discard, flagged, purge, with_ends
@@ -18,43 +21,51 @@ from .overlaps import discard, flagged, purge, with_ends
 GAP_STEP, GAP_MOST = 2000, 30000
 
 
-def follower(rows: pd.DataFrame, at: int, free: set[int], right: bool) -> int | None:
+def follower(x: dict[str, np.ndarray], at: int, free: np.ndarray, right: bool) -> int | None:
     """The free overlap that goes on from ``at``: same strand, onward on both reads, not contained, at least half of it beyond; the nearest gap class first, then the longest."""
-    here, best = rows.loc[at], None
-    for i in free:
-        r = rows.loc[i]
-        if r.comp != here.comp:
-            continue
-        a, b = (here, r) if right else (r, here)
-        if not (a.abpos < b.abpos and a.aepos < b.aepos and a.bbpos < b.bbpos and a.bepos < b.bepos):
-            continue
-        new = (b.aepos - max(b.abpos, a.aepos)) if right else (min(a.aepos, b.abpos) - a.abpos)
-        if 2 * new < r.aepos - r.abpos:
-            continue
-        gap = max(b.abpos - a.aepos, b.bbpos - a.bepos, 0)
-        if gap > GAP_MOST:
+    i = np.flatnonzero(free)
+    a, b = (np.full(len(i), at), i) if right else (i, np.full(len(i), at))
+    ok = (x["comp"][a] == x["comp"][b]) & (x["abpos"][a] < x["abpos"][b]) & (x["aepos"][a] < x["aepos"][b]) & (x["bbpos"][a] < x["bbpos"][b]) & (x["bepos"][a] < x["bepos"][b])
+    new = x["aepos"][b] - np.maximum(x["abpos"][b], x["aepos"][a]) if right else np.minimum(x["aepos"][a], x["abpos"][b]) - x["abpos"][a]
+    length = x["aepos"][i] - x["abpos"][i]
+    gap = np.maximum(np.maximum(x["abpos"][b] - x["aepos"][a], x["bbpos"][b] - x["bepos"][a]), 0)
+    ok &= (2 * new >= length) & (gap <= GAP_MOST)
+    if not ok.any():
+        return None
+    i, length, gap = i[ok], length[ok], gap[ok]
+    return int(i[np.lexsort((x["ovl_id"][i], -length, -(-gap // GAP_STEP)))[0]])
+
+
+#: What chaining looks at.
+PIECE = ("ovl_id", "comp", "abpos", "aepos", "bbpos", "bepos", "unique_bp")
+
+
+def chain_pair(x: dict[str, np.ndarray]) -> list[tuple[int, int, int]]:
+    """ovl_id, chain and rank of each overlap of a pair: from the one with most unique bases (then the longest) to both sides, and again with the rest."""
+    seeds = np.lexsort((x["ovl_id"], x["abpos"] - x["aepos"], -x["unique_bp"]))
+    free, out, number = np.ones(len(seeds), bool), [], 0
+    for seed in seeds:
+        if not free[seed]:
             continue
-        key = (-(-gap // GAP_STEP), -(r.aepos - r.abpos), r.ovl_id)
-        if best is None or key < best[0]:
-            best = (key, i)
-    return None if best is None else best[1]
-
-
-def chain_pair(rows: pd.DataFrame) -> pd.DataFrame:
-    """chain and rank of each overlap of a pair: from the one with most unique bases (then the longest) to both sides, and again with the rest."""
-    rows = rows.sort_values("ovl_id").reset_index(drop=True)
-    free, out, number = set(rows.index), [], 0
-    while free:
-        seed = min(free, key=lambda i: (-rows.at[i, "unique_bp"], rows.at[i, "abpos"] - rows.at[i, "aepos"], rows.at[i, "ovl_id"]))
-        free.discard(seed)
+        free[seed] = False
         chain = [seed]
         for right in (True, False):
-            while (nxt := follower(rows, chain[-1] if right else chain[0], free, right)) is not None:
-                free.discard(nxt)
+            while free.any() and (nxt := follower(x, chain[-1] if right else chain[0], free, right)) is not None:
+                free[nxt] = False
                 chain.insert(len(chain) if right else 0, nxt)
-        out += [(rows.at[i, "ovl_id"], number, k) for k, i in enumerate(chain)]
+        out += [(int(x["ovl_id"][i]), number, k) for k, i in enumerate(chain)]
         number += 1
-    return pd.DataFrame(out, columns=["ovl_id", "chain", "rank"])
+    return out
+
+
+def chain_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same for rows that hold all overlaps of a pair each, as arrays."""
+    for b in batches:
+        lists = b.column("x")
+        ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+        flat = dict(zip(PIECE, (f.to_numpy(zero_copy_only=False).astype("i8") for f in lists.flatten().flatten()), strict=True))
+        out = [row for i, j in zip(ends, ends[1:]) for row in chain_pair({c: v[i:j] for c, v in flat.items()})]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ((),) * 3)], ["ovl_id", "chain", "rank"])
 
 
 def chain_overlaps(o: DataFrame, iv: DataFrame) -> DataFrame:
@@ -69,7 +80,7 @@ def chain_overlaps(o: DataFrame, iv: DataFrame) -> DataFrame:
     n = F.count(F.lit(1)).over(Window.partitionBy("aread", "bread"))
     u = live.select(*cols).join(rep, "ovl_id", "left").withColumn("unique_bp", F.col("aepos") - F.col("abpos") - F.coalesce("_r", F.lit(0))).drop("_r").withColumn("_n", n)
     one = u.where("_n = 1").select("ovl_id", F.lit(0).cast("long").alias("chain"), F.lit(0).cast("long").alias("rank"))
-    many = u.where("_n > 1").drop("_n").groupBy("aread", "bread").applyInPandas(chain_pair, "ovl_id long, chain long, rank long")
+    many = u.where("_n > 1").groupBy("aread", "bread").agg(F.collect_list(F.struct(*PIECE)).alias("x")).select("x").mapInArrow(chain_pairs, "ovl_id long, chain long, rank long")
     return live.join(one.unionByName(many), "ovl_id")
 
 
@@ -164,3 +175,91 @@ def contig_relations(chains: DataFrame, fuzz: int = 1000) -> DataFrame:
     s = chains.groupBy("aread", "bread", "chain").agg(F.sum(F.col("aepos") - F.col("abpos")).alias("cov"), F.min("abpos").alias("ab"), F.max("aepos").alias("ae"), F.first("alen").alias("alen"))
     kind = F.when(2 * F.col("cov") >= F.col("alen"), "contained").when((F.col("cov") >= min(50_000, 3 * fuzz)) & (F.col("ab") >= 100_000) & (F.col("alen") - F.col("ae") >= 100_000), "bridge").when(10 * F.col("cov") >= 4 * F.col("alen"), "repeat")
     return s.withColumn("relation", kind).where("relation is not null").select("aread", "bread", "chain", "cov", "relation")
+
+
+def with_overhang(chains: DataFrame) -> DataFrame:
+    """Adds what each overlap shares with the chain's previous one on A and B (its_a, its_b) and the gaps between them (gap_a, gap_b); 0 for the first."""
+    w = Window.partitionBy("aread", "bread", "chain").orderBy("rank")
+    for name, beg, end in (("a", "abpos", "aepos"), ("b", "bbpos", "bepos")):
+        over = F.coalesce(F.lag(end).over(w) - F.col(beg), F.lit(0))
+        chains = chains.withColumn(f"its_{name}", F.greatest(over, F.lit(0))).withColumn(f"gap_{name}", F.greatest(-over, F.lit(0)))
+    return chains
+
+
+def judge_chains(chains: DataFrame, trim: DataFrame, dust: DataFrame, fuzz: int = 200, cover: int = 50, max_div: float = 20.0, min_len: int = 1000, keep_best: bool = False) -> DataFrame:
+    """One row per chain of ``chain_overlaps``, with what speaks for it and ``valid`` (0, 1).
+
+    anchored: an overlap of the pair has neither REPEAT nor TRIM. proper: both ends of the chain lie within ``fuzz`` of a trimmed end of A or
+    B. bad_gaps: gaps over ``fuzz``, on A or B, of which less than 80 % is low-complexity on that read. enough: covers ``cover`` percent of the
+    shorter read (on the read where it covers more). alike: no more than ``max_div`` percent differences on both. long_: covers more than
+    ``min_len`` of both. nested: it shares more than min(fuzz, 1000) bases of A or B with an earlier valid chain of the pair, or one of
+    its overlaps lies inside one of the same strand on either read. Chains are judged by falling length; ``keep_best``: only the first valid one stays.
+    """
+    c = F.col
+    g = with_ends(with_overhang(flagged(chains)), trim)
+    fb, fe = forward_b(c("comp"), c("blen"), c("bbpos") - c("gap_b"), c("bbpos"))
+    spans = g.where(c("gap_a") > fuzz).select("ovl_id", c("aread").alias("rid"), (c("abpos") - c("gap_a")).alias("beg"), c("abpos").alias("end_"))
+    dust_a = in_dust(spans, dust, 80).select("ovl_id", F.lit(True).alias("_da"))
+    spans = g.where(c("gap_b") > fuzz).select("ovl_id", c("bread").alias("rid"), fb.alias("beg"), fe.alias("end_"))
+    dust_b = in_dust(spans, dust, 80).select("ovl_id", F.lit(True).alias("_db"))
+    g = g.join(dust_a, "ovl_id", "left").join(dust_b, "ovl_id", "left")
+    bad = ((c("gap_a") > fuzz) & c("_da").isNull()).cast("int") + ((c("gap_b") > fuzz) & c("_db").isNull()).cast("int")
+    span_a, span_b = F.sum(c("aepos") - c("abpos")), F.sum(c("bepos") - c("bbpos"))
+    anchor = (c("flags").bitwiseAND(F.lit(bit("REPEAT") | bit("TRIM"))) == 0).cast("int")
+    s = g.groupBy("aread", "bread", "chain").agg(
+        F.count(F.lit(1)).alias("n"), F.min("abpos").alias("ab"), F.max("aepos").alias("ae"), F.min("bbpos").alias("bb"), F.max("bepos").alias("be"), F.first("comp").alias("comp"),
+        F.first("alen").alias("alen"), F.first("blen").alias("blen"), F.first("atb").alias("atb"), F.first("ate").alias("ate"), F.first("btb").alias("btb"), F.first("bte").alias("bte"),
+        F.sum("diffs").alias("diffs"), span_a.alias("sa"), span_b.alias("sb"), (span_a - F.sum("its_a")).alias("ca"), (span_b - F.sum("its_b")).alias("cb"),
+        F.sum(bad).alias("bad_gaps"), F.max(anchor).alias("_an"), F.collect_list(F.struct("abpos", "aepos", "bbpos", "bepos")).alias("pieces"),
+    )
+    proper = ((c("ab") <= c("atb") + fuzz) | (c("bb") <= c("btb") + fuzz)) & ((c("ae") + fuzz >= c("ate")) | (c("be") + fuzz >= c("bte")))
+    s = s.withColumn("proper", proper).withColumn("enough", 100 * F.greatest("ca", "cb") >= cover * F.least("alen", "blen"))
+    s = s.withColumn("alike", 100.0 * c("diffs") <= max_div * F.least("sa", "sb")).withColumn("long_", F.least("ca", "cb") > min_len)
+    s = s.withColumn("ok", c("proper") & c("enough") & c("alike") & c("long_") & (c("bad_gaps") == 0))
+    shown = ["chain", "n", "ca", "cb", "bad_gaps", "proper", "enough", "alike", "long_", "ok"]
+    kept = ["comp", "ab", "ae", "bb", "be"]
+    # The chains of two reads, longest first; an array of them is as small as the pair's overlaps.
+    one = F.struct((-c("sa")).alias("size"), *shown, *kept, "pieces")
+    pairs = s.groupBy("aread", "bread").agg(F.max("_an").alias("anchored"), F.array_sort(F.collect_list(one)).alias("all"))
+    shared = lambda x, y, b, e: F.least(x[e], y[e]) - F.greatest(x[b], y[b])
+
+    def inside(x: Column, y: Column) -> Column:
+        hit = F.exists(x["pieces"], lambda p: ((p["abpos"] >= y["ab"]) & (p["aepos"] <= y["ae"])) | ((p["bbpos"] >= y["bb"]) & (p["bepos"] <= y["be"])))
+        return (shared(x, y, "ab", "ae") > min(fuzz, 1000)) | (shared(x, y, "bb", "be") > min(fuzz, 1000)) | ((x["comp"] == y["comp"]) & hit)
+
+    kind = ", ".join(f"{n}: {s.schema[n].dataType.simpleString()}" for n in kept)
+    start = F.struct(F.array().cast(f"array<struct<{kind}>>").alias("kept"), F.array().cast("array<struct<chain: bigint, nested: int, valid: int>>").alias("said"))
+
+    def judge(t: Column, x: Column) -> Column:
+        nested = F.exists(t["kept"], lambda y: inside(x, y))
+        valid = x["ok"] & ~nested & (c("anchored") == 1)
+        if keep_best:
+            valid = valid & (F.size(t["kept"]) == 0)
+        me = F.struct(*(x[n].alias(n) for n in kept))
+        word = F.struct(x["chain"].cast("long").alias("chain"), nested.cast("int").alias("nested"), valid.cast("int").alias("valid"))
+        return F.struct(F.when(valid, F.concat(t["kept"], F.array(me))).otherwise(t["kept"]).alias("kept"), F.concat(t["said"], F.array(word)).alias("said"))
+
+    said = F.aggregate("all", start, judge)["said"]
+    out = pairs.select("aread", "bread", "anchored", F.inline(F.arrays_zip(c("all").alias("x"), said.alias("s"))))
+    flags = [c(f"x.{n}").cast("int").alias(n) for n in ("proper", "enough", "alike", "long_")]
+    return out.select("aread", "bread", "x.chain", "anchored", "x.n", c("x.ca").alias("cover_a"), c("x.cb").alias("cover_b"), "x.bad_gaps", *flags, "s.nested", "s.valid")
+
+
+def separate_pairs(chains: DataFrame, kind: int = 0, ends: int = 1000) -> DataFrame:
+    """Overlaps that stay, by the longest chain of their pair.
+
+    A chain is whole if it starts within ``ends`` of the begin of A or B and stops within ``ends`` of the end of one, its overlaps share no more
+    than ``ends`` bases on either read, and its gaps on each read are less than 30 % of what it covers. kind 0: pairs with a whole chain
+    go. kind 1: pairs with one chain, whole and of more than one overlap, stay.
+    """
+    c = F.col
+    size = F.greatest(c("aepos") - c("abpos"), c("bepos") - c("bbpos")) - F.greatest("its_a", "its_b")
+    s = with_overhang(chains).groupBy("aread", "bread", "chain").agg(
+        F.count(F.lit(1)).alias("n"), F.min("abpos").alias("ab"), F.min("bbpos").alias("bb"), F.max("aepos").alias("ae"), F.max("bepos").alias("be"), F.first("alen").alias("alen"), F.first("blen").alias("blen"),
+        F.max(F.greatest("its_a", "its_b")).alias("its"), F.sum("gap_a").alias("ga"), F.sum("gap_b").alias("gb"), F.sum(size).alias("size"), F.sum(c("aepos") - c("abpos")).alias("sa"),
+    )
+    whole = (F.least("ab", "bb") < ends) & ((c("ae") + ends > c("alen")) | (c("be") + ends > c("blen"))) & (c("its") <= ends) & (3 * c("size") > 10 * F.greatest("ga", "gb"))
+    best = F.max_by(F.struct(whole.alias("whole"), "n"), F.struct("sa", -c("chain"))).alias("b")
+    p = s.groupBy("aread", "bread").agg(F.count(F.lit(1)).alias("chains"), best)
+    stay = p.where("not b.whole" if kind == 0 else "b.whole and chains = 1 and b.n > 1").select("aread", "bread")
+    return chains.join(stay, ["aread", "bread"], "left_semi")

@@ -154,6 +154,42 @@ def contig_read_intersection(cr: DataFrame, min_pct: int = 1) -> DataFrame:
     return j.where(100 * F.col("shared") > min_pct * F.least("n1", "n2")).withColumn("alternative", 2 * F.col("shared") > F.least("n1", "n2"))
 
 
+def shared_ranges(cr: DataFrame, contigs: DataFrame, min_pct: float = 1.0) -> DataFrame:
+    """c1, c2, n2, rid, and where the read lies on both (beg1, end1, beg2, end2), for each read that two contigs share.
+
+    c1 is the longer contig (of equal ones that with the smaller cid). Pairs stay that share more than ``min_pct`` percent of c2's reads. cr: (cid,
+    rid, beg, end_); a read that lies on a contig several times takes the range from its first to its last base.
+    """
+    r = cr.groupBy("cid", "rid").agg(F.min("beg").alias("beg"), F.max("end_").alias("end_")).join(contigs.select("cid", "len"), "cid")
+    size = r.groupBy(F.col("cid").alias("c2")).agg(F.count(F.lit(1)).alias("n2"))
+    a, b = (r.select("rid", *(F.col(c).alias(n + k) for c, n in (("cid", "c"), ("len", "len"), ("beg", "beg"), ("end_", "end")))) for k in "12")
+    j = a.join(b, "rid").where("len1 > len2 or (len1 = len2 and c1 < c2)")
+    many = j.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("shared")).join(size, "c2").where(100 * F.col("shared") > min_pct * F.col("n2"))
+    return j.join(many, ["c1", "c2"]).select("c1", "c2", "shared", "n2", "rid", "beg1", "end1", "beg2", "end2")
+
+
+def shared_blocks(ranges: DataFrame, bin_: int = 100) -> DataFrame:
+    """c1, c2, cid, beg, end_, depth: stretches of bins, on each of both contigs, where shared reads lie, with their mean number.
+
+    A read fills all bins from that of its first to that of its end. end_ is the last base of the last bin.
+    """
+    side = lambda k: F.struct(F.col(f"c{k}").alias("cid"), F.floor(F.col(f"beg{k}") / bin_).alias("b"), (F.floor(F.col(f"end{k}") / bin_) + 1).alias("e"))
+    s = ranges.select("c1", "c2", F.inline(F.array(side(1), side(2))))
+    w = Window.partitionBy("c1", "c2", "cid").orderBy("b", "e")
+    before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    isl = s.withColumn("_n", F.when(F.col("b") <= before, 0).otherwise(1)).withColumn("_g", F.sum("_n").over(w)).groupBy("c1", "c2", "cid", "_g").agg(F.min("b").alias("b"), F.max("e").alias("e"), F.sum(F.col("e") - F.col("b")).alias("d"))
+    return isl.select("c1", "c2", "cid", (F.col("b") * bin_).alias("beg"), (F.col("e") * bin_ - 1).alias("end_"), F.floor(F.col("d") / (F.col("e") - F.col("b"))).alias("depth"))
+
+
+def read_alternatives(ranges: DataFrame, blocks: DataFrame, contigs: DataFrame, read_pct: int = 50, cover_pct: int = 50) -> DataFrame:
+    """c1, c2, shared, n2, covered, alternative: c2 is an alternative of c1 if they share more than ``read_pct`` percent of its reads, or blocks cover ``cover_pct`` percent of it."""
+    pairs = ranges.select("c1", "c2", "shared", "n2").distinct()
+    size = blocks.where(F.col("cid") == F.col("c2")).groupBy("c1", "c2").agg(F.sum(F.col("end_") - F.col("beg")).alias("covered"))
+    j = pairs.join(size, ["c1", "c2"]).join(contigs.select(F.col("cid").alias("c2"), "len"), "c2")
+    alt = (100 * F.col("shared") > read_pct * F.col("n2")) | (100 * F.col("covered") >= cover_pct * F.col("len"))
+    return j.select("c1", "c2", "shared", "n2", "covered", alt.alias("alternative"))
+
+
 def contig_coverage(cr: DataFrame, bin_: int = 500) -> DataFrame:
     """Per contig read (cid, rid, part, abpos, aepos, alen): reads entering at its start, leaving at its end, coverage, and bins without a full spanner."""
     g = cr.groupBy("cid", "rid").agg(F.count_if(F.col("abpos") == 0).alias("entering"), F.count_if(F.col("aepos") == F.col("alen")).alias("leaving"), F.floor(F.sum(F.col("aepos") - F.col("abpos")) / F.first("alen")).alias("cov"), F.first("alen").alias("alen"))

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from readweave.functions.lineage import settled
+from readweave.operators import chains as C
 from readweave.operators import chimera as X
+from readweave.operators import evidence as V
 from readweave.operators import intervals as I
 from readweave.operators import modules as R
 from readweave.operators import trimming as T
@@ -141,3 +144,81 @@ def rescued(v: Fixtures) -> DataFrame:
 
 
 add("rescue_modules", rescued, "ovl_id flags", "", MODULES.replace("{union}", union("iv", "rid")) + ";; SELECT x.ovl_id, CASE WHEN f IS NULL THEN flags ELSE (flags & ~2) | f END AS flags FROM exits x LEFT JOIN rs ON rs.ovl_id = x.ovl_id", "exits iv")
+
+# Chains of local pieces
+PIECE_CHAINS = """ us AS (SELECT * FROM pieces WHERE aread <> bread), un AS ({union}),
+ ur AS (SELECT ovl_id, sum(least(aepos, end_) - greatest(abpos, beg)) AS r FROM us JOIN un ON rid = aread AND least(aepos, end_) > greatest(abpos, beg) GROUP BY ovl_id),
+ fl AS (SELECT aread, bread, list({'c': comp, 'ab': abpos, 'ae': aepos, 'bb': bbpos, 'be': bepos, 'o': us.ovl_id, 'u': aepos - abpos - coalesce(r, 0)}) AS free FROM us LEFT JOIN ur ON ur.ovl_id = us.ovl_id GROUP BY ALL),
+ rc AS (SELECT aread, bread, free, 0 AS ph, free[1] AS lf, free[1] AS rt, -1 AS ch, 0 AS rl, 0 AS rr, CAST(NULL AS BIGINT) AS o, 0 AS rk FROM fl UNION ALL
+  SELECT aread, bread, CASE WHEN x IS NULL THEN free ELSE list_filter(free, lambda r: r.o <> x.o) END, CASE WHEN ph = 0 THEN 1 WHEN x IS NOT NULL THEN ph ELSE (ph + 1) % 3 END,
+   CASE WHEN ph <> 1 AND x IS NOT NULL THEN x ELSE lf END, CASE WHEN ph <> 2 AND x IS NOT NULL THEN x ELSE rt END, CASE WHEN ph = 0 THEN ch + 1 ELSE ch END,
+   CASE WHEN ph = 0 THEN 0 WHEN ph = 2 AND x IS NOT NULL THEN rl + 1 ELSE rl END, CASE WHEN ph = 0 THEN 0 WHEN ph = 1 AND x IS NOT NULL THEN rr + 1 ELSE rr END, x.o, CASE ph WHEN 0 THEN 0 WHEN 1 THEN rr + 1 ELSE -rl - 1 END
+  FROM (SELECT *, CASE ph WHEN 0 THEN list_sort(list_transform(free, lambda r: {'k1': -r.u, 'k2': r.ab - r.ae, 'k3': r.o, 'r': r}))[1].r
+   WHEN 1 THEN list_sort(list_transform(list_filter(free, lambda r: r.c = rt.c AND rt.ab < r.ab AND rt.ae < r.ae AND rt.bb < r.bb AND rt.be < r.be AND 2 * (r.ae - greatest(r.ab, rt.ae)) >= r.ae - r.ab AND greatest(r.ab - rt.ae, r.bb - rt.be, 0) <= 30000),
+     lambda r: {'k1': (greatest(r.ab - rt.ae, r.bb - rt.be, 0) + 1999) // 2000, 'k2': r.ab - r.ae, 'k3': r.o, 'r': r}))[1].r
+   ELSE list_sort(list_transform(list_filter(free, lambda r: r.c = lf.c AND r.ab < lf.ab AND r.ae < lf.ae AND r.bb < lf.bb AND r.be < lf.be AND 2 * (least(r.ae, lf.ab) - r.ab) >= r.ae - r.ab AND greatest(lf.ab - r.ae, lf.bb - r.be, 0) <= 30000),
+     lambda r: {'k1': (greatest(lf.ab - r.ae, lf.bb - r.be, 0) + 1999) // 2000, 'k2': r.ab - r.ae, 'k3': r.o, 'r': r}))[1].r END AS x FROM rc WHERE len(free) > 0)),
+ rn AS (SELECT o AS ovl_id, ch AS chain, rk - min(rk) OVER (PARTITION BY aread, bread, ch) AS rank FROM rc WHERE o IS NOT NULL),
+ ch AS (SELECT us.*, chain, rank, greatest(coalesce(lag(aepos) OVER w - abpos, 0), 0) AS ia, greatest(coalesce(abpos - lag(aepos) OVER w, 0), 0) AS ga,
+  greatest(coalesce(lag(bepos) OVER w - bbpos, 0), 0) AS ib, greatest(coalesce(bbpos - lag(bepos) OVER w, 0), 0) AS gb FROM us JOIN rn ON rn.ovl_id = us.ovl_id WINDOW w AS (PARTITION BY aread, bread, chain ORDER BY rank))"""
+CHAINED = PIECE_CHAINS.replace("{union}", union("iv", "rid"))
+JUDGED = """, dm AS ({union}), gx AS (SELECT ovl_id, 'a' AS s, aread AS rid, abpos - ga AS b, abpos AS e FROM ch WHERE ga > 60 UNION ALL SELECT ovl_id, 'b', bread, CASE WHEN comp = 1 THEN blen - bbpos ELSE bbpos - gb END, CASE WHEN comp = 1 THEN blen - bbpos + gb ELSE bbpos END FROM ch WHERE gb > 60),
+ gd AS (SELECT ovl_id, s FROM gx JOIN dm ON dm.rid = gx.rid AND least(e, end_) > greatest(b, beg) GROUP BY ovl_id, s, b, e HAVING 100 * sum(least(e, end_) - greatest(b, beg)) >= 80 * (e - b)),
+ bg AS (SELECT gx.ovl_id, count(*) AS n FROM gx LEFT JOIN gd ON gd.ovl_id = gx.ovl_id AND gd.s = gx.s WHERE gd.ovl_id IS NULL GROUP BY gx.ovl_id),
+ js AS (SELECT ch.aread, ch.bread, chain, count(*) AS n, min(ch.abpos) AS ab, max(ch.aepos) AS ae, min(ch.bbpos) AS bb, max(ch.bepos) AS be, any_value(ch.comp) AS c, sum(ch.diffs) AS d, sum(ch.aepos - ch.abpos) AS sa, sum(ch.bepos - ch.bbpos) AS sb,
+  sum(ch.aepos - ch.abpos - ia) AS ca, sum(ch.bepos - ch.bbpos - ib) AS cb, any_value(ch.alen) AS al, any_value(ch.blen) AS bl, any_value(atb) AS atb, any_value(ate) AS ate, any_value(btb) AS btb, any_value(bte) AS bte,
+  coalesce(sum(bg.n), 0) AS bad_gaps, max(CASE WHEN flags & 131080 = 0 THEN 1 ELSE 0 END) AS an, list({'a': ch.abpos, 'e': ch.aepos, 'b': ch.bbpos, 'f': ch.bepos}) AS ps
+  FROM ch JOIN (SELECT ovl_id, atb, ate, btb, bte FROM e) z ON z.ovl_id = ch.ovl_id LEFT JOIN bg ON bg.ovl_id = ch.ovl_id GROUP BY ALL),
+ jj AS (SELECT *, (ab <= atb + 60 OR bb <= btb + 60) AND (ae + 60 >= ate OR be + 60 >= bte) AS proper, 100 * greatest(ca, cb) >= 20 * least(al, bl) AS enough, 100.0::DOUBLE * d <= 20 * least(sa, sb) AS alike, least(ca, cb) > 500 AS lng,
+  max(an) OVER (PARTITION BY aread, bread) AS anchored, row_number() OVER (PARTITION BY aread, bread ORDER BY sa DESC, chain) AS k FROM js),
+ jr AS (SELECT aread, bread, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(c BIGINT, ab BIGINT, ae BIGINT, bb BIGINT, be BIGINT)[]) AS kept, CAST(0 AS BIGINT) AS chain, 0 AS nested, 0 AS valid FROM (SELECT DISTINCT aread, bread FROM jj) UNION ALL
+  SELECT aread, bread, k, CASE WHEN valid = 1 THEN list_append(kept, me) ELSE kept END, chain, nested, valid FROM (SELECT *, CASE WHEN ok AND nested = 0 THEN 1 ELSE 0 END AS valid FROM (
+   SELECT j.aread, j.bread, j.k, kept, j.chain, CAST({'c': j.c, 'ab': j.ab, 'ae': j.ae, 'bb': j.bb, 'be': j.be} AS STRUCT(c BIGINT, ab BIGINT, ae BIGINT, bb BIGINT, be BIGINT)) AS me, proper AND enough AND alike AND lng AND bad_gaps = 0 AND anchored = 1 AS ok,
+   CASE WHEN len(list_filter(kept, lambda y: least(j.ae, y.ae) - greatest(j.ab, y.ab) > 60 OR least(j.be, y.be) - greatest(j.bb, y.bb) > 60 OR (j.c = y.c AND len(list_filter(j.ps, lambda p: (p.a >= y.ab AND p.e <= y.ae) OR (p.b >= y.bb AND p.f <= y.be))) > 0))) > 0 THEN 1 ELSE 0 END AS nested
+   FROM jr r JOIN jj j ON j.aread = r.aread AND j.bread = r.bread AND j.k = r.k + 1)))"""
+CHAIN_ENDS = ENDS.format(o="pieces", trim="trim")
+
+
+def piece_chains(v: Fixtures) -> DataFrame:
+    return settled(C.chain_overlaps(v.pieces, v.iv))
+
+
+def judged(v: Fixtures) -> DataFrame:
+    v = v.stored()
+    return C.judge_chains(piece_chains(v), v.trim, v.iv.where("track = 'dust'"), fuzz=60, cover=20, min_len=500)
+
+
+add("chain_pieces", lambda v: piece_chains(v.stored()), "ovl_id chain rank", "", CHAINED + ";; SELECT ovl_id, chain, rank FROM rn", "pieces iv", recursive=True)
+add("judge_chains", judged, "aread bread chain anchored n cover_a cover_b bad_gaps proper enough alike long_ nested valid", "", " dust AS (SELECT * FROM iv WHERE track = 'dust')," + CHAIN_ENDS + "," + CHAINED + JUDGED.replace("{union}", union("dust", "rid")) + """;;
+ SELECT j.aread, j.bread, j.chain, anchored, n, ca AS cover_a, cb AS cover_b, bad_gaps, proper, enough, alike, lng AS long_, nested, valid FROM jj j JOIN jr r ON r.aread = j.aread AND r.bread = j.bread AND r.k = j.k""", "pieces iv trim", recursive=True)
+SEPARATED = """, ss AS (SELECT aread, bread, chain, count(*) AS n, sum(aepos - abpos) AS sa, least(min(abpos), min(bbpos)) < 1000 AND (max(aepos) + 1000 > any_value(alen) OR max(bepos) + 1000 > any_value(blen)) AND max(greatest(ia, ib)) <= 1000
+  AND 3 * sum(greatest(aepos - abpos, bepos - bbpos) - greatest(ia, ib)) > 10 * greatest(sum(ga), sum(gb)) AS w FROM ch GROUP BY ALL),
+ sb AS (SELECT aread, bread, count(*) AS k, arg_max({'w': w, 'n': n}, (sa, -chain)) AS b FROM ss GROUP BY ALL)"""
+for kind, rule in ((0, "NOT b.w"), (1, "b.w AND k = 1 AND b.n > 1")):
+    add(f"separate_pairs_{kind}", lambda v, kind=kind: C.separate_pairs(piece_chains(v.stored()), kind), "ovl_id", "", CHAINED + SEPARATED + f";; SELECT ovl_id FROM us JOIN sb ON sb.aread = us.aread AND sb.bread = us.bread WHERE {rule}", "pieces iv", recursive=True)
+
+# Contigs of ten reads each, and the reads that overlap them
+CONTIG_READS = " cr AS (SELECT aread // 10 AS cid, bread AS rid, min((aread % 10) * 3000 + abpos) AS beg, max((aread % 10) * 3000 + aepos) AS end_ FROM ovl GROUP BY ALL), cl AS (SELECT DISTINCT cid, 33000 + cid % 7 * 1000 AS len FROM cr)"
+
+
+def contig_reads(v: Fixtures) -> tuple[DataFrame, DataFrame, DataFrame]:
+    cid, at = F.floor(F.col("aread") / 10), F.col("aread") % 10 * 3000
+    cr = settled(v.ovl.select(cid.alias("cid"), F.col("bread").alias("rid"), (at + F.col("abpos")).alias("beg"), (at + F.col("aepos")).alias("end_")))
+    contigs = cr.select("cid", (33000 + F.col("cid") % 7 * 1000).alias("len")).distinct()
+    return cr, contigs, settled(V.shared_ranges(cr, contigs))
+
+
+SHARED = CONTIG_READS + """, rs AS (SELECT a.rid, a.cid AS c1, b.cid AS c2, a.beg AS b1, a.end_ AS e1, b.beg AS b2, b.end_ AS e2 FROM (SELECT * FROM cr JOIN cl USING (cid)) a JOIN (SELECT * FROM cr JOIN cl USING (cid)) b ON a.rid = b.rid AND (a.len > b.len OR (a.len = b.len AND a.cid < b.cid))),
+ sp AS (SELECT c1, c2, count(*) AS shared, any_value(n2) AS n2 FROM rs JOIN (SELECT cid, count(*) AS n2 FROM cr GROUP BY cid) z ON z.cid = c2 GROUP BY ALL HAVING 100 * count(*) > any_value(n2)),
+ bn AS (SELECT c1, c2, cid, bin, count(*) AS n FROM (SELECT c1, c2, c1 AS cid, unnest(range(CAST(b1 // 100 AS BIGINT), CAST(e1 // 100 + 1 AS BIGINT))) AS bin FROM rs UNION ALL SELECT c1, c2, c2, unnest(range(CAST(b2 // 100 AS BIGINT), CAST(e2 // 100 + 1 AS BIGINT))) FROM rs) JOIN sp USING (c1, c2) GROUP BY ALL),
+ bk AS (SELECT c1, c2, cid, min(bin) * 100 AS beg, max(bin) * 100 + 99 AS end_, sum(n) // count(*) AS depth FROM (SELECT *, bin - row_number() OVER (PARTITION BY c1, c2, cid ORDER BY bin) AS g FROM bn) GROUP BY c1, c2, cid, g)"""
+add("shared_blocks", lambda v: V.shared_blocks(contig_reads(v)[2]), "c1 c2 cid beg end_ depth", "", SHARED + ";; SELECT * FROM bk", "ovl")
+
+
+def alternatives(v: Fixtures) -> DataFrame:
+    _, contigs, ranges = contig_reads(v)
+    return V.read_alternatives(ranges, V.shared_blocks(ranges), contigs).withColumn("alternative", F.col("alternative").cast("int"))
+
+
+add("read_alternatives", alternatives, "c1 c2 shared n2 covered alternative", "", SHARED + """;; SELECT c1, c2, shared, n2, covered, CASE WHEN 100 * shared > 50 * n2 OR 100 * covered >= 50 * len THEN 1 ELSE 0 END AS alternative
+ FROM sp JOIN (SELECT c1, c2, sum(end_ - beg) AS covered FROM bk WHERE cid = c2 GROUP BY ALL) USING (c1, c2) JOIN cl ON cl.cid = c2""", "ovl")

@@ -56,6 +56,13 @@ SELECT o.ovl_id, o.aread, o.bread, o.comp, o.alen, o.blen,
        CASE WHEN kind = 0 THEN 0 WHEN kind = 1 THEN 10 WHEN kind = 4 AND ovl_id % 13 = 0 THEN 18 WHEN ovl_id % 17 = 0 THEN 130 WHEN ovl_id % 3 = 0 THEN 0 ELSE 10 END AS flags
 FROM (SELECT *, ovl_id % 5 AS kind FROM {ovl}) o LEFT JOIN {trim} t ON t.rid = o.aread WHERE kind > 1 OR coalesce(te, 0) - coalesce(tb, 0) > 2000"""
 
+#: Overlaps as local pieces: three of each long one, with gaps or shared ends, one in the middle of some turned; every fifth has a flag.
+PIECES = """
+SELECT ovl_id * 10 + k AS ovl_id, aread, bread, CASE WHEN ovl_id % 6 = 1 AND k = 1 THEN 1 - comp ELSE comp END AS comp, alen, blen, abpos + k * third AS abpos,
+       least(aepos, abpos + (k + 1) * third - (ovl_id % 11) * 10 + CASE WHEN ovl_id % 3 = 0 THEN 60 ELSE 0 END) AS aepos, bbpos + k * (third + (ovl_id % 5) * 10) AS bbpos,
+       least(bepos, bbpos + (k + 1) * third - (ovl_id % 13) * 10 + CASE WHEN ovl_id % 4 = 0 THEN 50 ELSE 0 END) AS bepos, CAST(floor(diffs / 3) AS INT) AS diffs, CASE WHEN ovl_id % 5 = 0 THEN 8 ELSE 0 END AS flags
+FROM (SELECT *, CAST(floor((aepos - abpos) / 3) AS BIGINT) AS third FROM {ovl} WHERE aepos - abpos >= 900) o CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) n"""
+
 INTERVALS = """
 SELECT CASE WHEN o_orderpriority LIKE '1%' THEN 'dust' ELSE 'repeats' END AS track, l.rid, (o_orderkey * 37) % (rlen - 200) AS beg,
        least(rlen, (o_orderkey * 37) % (rlen - 200) + 200 + (o_custkey * 13) % 600) AS end_
@@ -80,8 +87,8 @@ CONTIGS = """
 SELECT doc_id AS cid, n_chars AS len, CASE WHEN doc_id % 5 = 0 THEN doc_id % 7 ELSE -1 END AS end1,
        CASE WHEN doc_id % 3 = 0 THEN doc_id % 7 ELSE -1 END AS end2 FROM {documents}"""
 
-VIEWS = {"lens": LENS, "ovl": OVL, "trace": TRACE, "walls": WALLS, "iv": INTERVALS, "trim": TRIM, "exits": EXITS, "dove": DOVE, "reads": READS, "sam": SAM, "contigs": CONTIGS}
-NEEDS = {"ovl": ["lens"], "trace": ["lens", "ovl"], "walls": ["lens", "ovl"], "exits": ["lens", "ovl", "trim"], "iv": ["lens"], "trim": ["lens"], "dove": ["lens"]}
+VIEWS = {"lens": LENS, "ovl": OVL, "trace": TRACE, "walls": WALLS, "pieces": PIECES, "iv": INTERVALS, "trim": TRIM, "exits": EXITS, "dove": DOVE, "reads": READS, "sam": SAM, "contigs": CONTIGS}
+NEEDS = {"ovl": ["lens"], "trace": ["lens", "ovl"], "walls": ["lens", "ovl"], "pieces": ["lens", "ovl"], "exits": ["lens", "ovl", "trim"], "iv": ["lens"], "trim": ["lens"], "dove": ["lens"]}
 
 
 class Fixtures:
@@ -105,6 +112,7 @@ class Fixtures:
     lens = cached_property(lambda self: self.view("lens"))
     ovl = cached_property(lambda self: self.view("ovl"))
     walls = cached_property(lambda self: self.view("walls"))
+    pieces = cached_property(lambda self: self.view("pieces"))
     exits = cached_property(lambda self: self.view("exits"))
     trace = cached_property(lambda self: self.view("trace"))
     iv = cached_property(lambda self: self.view("iv"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readweave.functions.columns import reverse_complement
+from readweave.functions.columns import forward_b, reverse_complement
 
 from .intervals import interval_join, merge_intervals
 from .lift import segments
@@ -60,6 +60,43 @@ def tile_consensus(pile: DataFrame, reads: DataFrame, twidth: int = 100) -> Data
     return n.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("aread", "tile", F.col("piece").alias("seq"), F.col("n").alias("used"))
 
 
+def pile_pieces(pile: DataFrame, reads: DataFrame, chunk: int = 500) -> DataFrame:
+    """aread, tile, ovl_id, piece: the letters of each segment of a pile, on A's strand.
+
+    Reads are cut into chunks first, and a segment meets the chunks that it lies in: no read is joined, or turned, whole.
+    """
+    c = F.col
+    at = F.explode(F.sequence(F.lit(0), F.floor((F.greatest(F.length("seq"), F.lit(1)) - 1) / chunk)))
+    chunks = reads.select(c("rid").alias("bread"), "seq", at.alias("_c")).select("bread", "_c", F.substring(c("seq"), (c("_c") * chunk + 1).cast("int"), F.lit(chunk)).alias("_s"))
+    beg, end = forward_b(c("comp"), c("blen"), c("sb"), c("eb"))
+    p = pile.where("sb < eb").select("aread", "tile", "ovl_id", "bread", "comp", beg.alias("_b"), end.alias("_e")).withColumn("_c", F.explode(F.sequence(F.floor(c("_b") / chunk), F.floor((c("_e") - 1) / chunk))))
+    low, high = F.greatest(c("_b"), c("_c") * chunk), F.least(c("_e"), (c("_c") + 1) * chunk)
+    part = F.substring(c("_s"), (low - c("_c") * chunk + 1).cast("int"), (high - low).cast("int"))
+    g = p.join(chunks, ["bread", "_c"]).groupBy("aread", "tile", "ovl_id", "comp").agg(F.array_sort(F.collect_list(F.struct("_c", part.alias("s")))).alias("x"))
+    whole = F.array_join(F.transform("x", lambda x: x["s"]), "")
+    return g.select("aread", "tile", "ovl_id", F.when(c("comp") == 1, reverse_complement(whole)).otherwise(whole).alias("piece"))
+
+
+def column_consensus(pile: DataFrame, reads: DataFrame, twidth: int = 100, chunk: int = 500) -> DataFrame:
+    """aread, tile, seq, used: a vote for each column among the segments of a tile that have its most frequent length; A's own has a vote.
+
+    Of equally frequent lengths A's own wins, then the shorter; of equally frequent letters A's own (if its length was chosen), then the first in the alphabet.
+    """
+    c = F.col
+    own_tiles = pile.select("aread", "tile").distinct()
+    mine = pile_pieces(own_tiles.join(reads.select(c("rid").alias("aread"), F.length("seq").alias("_l")), "aread").select(
+        "aread", "tile", F.lit(None).cast("long").alias("ovl_id"), c("aread").alias("bread"), F.lit(0).alias("comp"), c("_l").alias("blen"), (c("tile") * twidth).alias("sb"), F.least((c("tile") + 1) * twidth, c("_l")).alias("eb")
+    ), reads, chunk)
+    votes = pile_pieces(pile, reads, chunk).withColumn("own", F.lit(0)).unionByName(mine.withColumn("own", F.lit(1))).withColumn("n", F.length("piece")).where("n > 0")
+    sizes = votes.groupBy("aread", "tile", "n").agg(F.count(F.lit(1)).alias("used"), F.max("own").alias("_o"))
+    best = sizes.groupBy("aread", "tile").agg(F.max_by(F.struct("n", "used"), F.struct("used", "_o", -c("n"))).alias("b")).select("aread", "tile", "b.n", "b.used")
+    letters = votes.join(best, ["aread", "tile", "n"]).select("aread", "tile", "used", "own", F.posexplode(F.split("piece", "")).alias("at", "letter"))
+    counts = letters.groupBy("aread", "tile", "used", "at", "letter").agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("own"))
+    columns = counts.groupBy("aread", "tile", "used", "at").agg(F.min(F.struct((-c("k")).alias("k"), (-c("own")).alias("own"), "letter")).alias("w"))
+    g = columns.groupBy("aread", "tile", "used").agg(F.array_sort(F.collect_list(F.struct("at", c("w.letter").alias("letter")))).alias("x"))
+    return g.select("aread", "tile", F.array_join(F.transform("x", lambda x: x["letter"]), "").alias("seq"), "used")
+
+
 def assemble_corrected(tiles: DataFrame) -> DataFrame:
     """rid, first_tile, last_tile, used, seq: each read's tiles put together in order."""
     g = tiles.groupBy(F.col("aread").alias("rid")).agg(F.array_sort(F.collect_list(F.struct("tile", "seq", "used"))).alias("_t"))

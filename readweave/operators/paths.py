@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readweave.functions.columns import reverse_complement
+from readweave.functions.lineage import settled
 
 from .graph import components, set_checkpoints
 
@@ -50,7 +51,13 @@ def build_paths(edges: DataFrame, best: DataFrame) -> DataFrame:
     set_checkpoints(edges.sparkSession)
     e = with_entry(edges).join(best.select("src", "side", "dst"), ["src", "side", "dst"], "left_semi").select("src", "side", "dst", "enter")
     back = e.select(F.col("dst").alias("src"), F.col("enter").alias("side"), F.col("src").alias("dst"), F.col("side").alias("enter"))
-    links = e.join(back, ["src", "side", "dst", "enter"], "left_semi").checkpoint()
+    return chain_links(e.join(back, ["src", "side", "dst", "enter"], "left_semi"))
+
+
+def chain_links(links: DataFrame) -> DataFrame:
+    """path, rank, rid, comp from links that run both ways (src, side, dst, enter), each side of a node in one of them at most: see ``build_paths``."""
+    set_checkpoints(links.sparkSession)
+    links = links.checkpoint()
     comp = components(links).withColumnRenamed("component", "path")
     ring = links.groupBy("src").agg(F.count(F.lit(1)).alias("_d")).join(comp.withColumnRenamed("rid", "src"), "src").groupBy("path").agg(F.min("_d").alias("_d")).where("_d > 1").select("path")
     # The smallest read of a ring loses its link on the left, and its partner there the link back.
@@ -83,6 +90,64 @@ def join_path_ends(paths: DataFrame, optional: DataFrame) -> DataFrame:
     return one.where("_a = 1 and _b = 1").select("src", "dst", "p1", "p2")
 
 
+def suppress_paths(paths: DataFrame, edges: DataFrame, max_dist: int = 3) -> DataFrame:
+    """Rows of ``paths`` that may be paths of their own: longest first (then by the smaller path), one goes if all its reads lie less than ``max_dist`` edges from paths that stay.
+
+    Distances run along ``edges`` (src, dst, both ways), from a path's own reads as 0. Each round decides all paths that no longer and undecided
+    one comes near, so that rounds follow how paths depend on each other and not their number; lineage is cut in each.
+    """
+    both = settled(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    key = F.struct((-F.count(F.lit(1))).alias("n"), F.col("path").alias("p")).alias("key")
+    nodes = settled(paths.select("path", "rid").join(paths.groupBy("path").agg(key), "path"))
+
+    def spread(labels: DataFrame) -> DataFrame:
+        """The least label among the reads less than max_dist edges away."""
+        for _ in range(max_dist - 1):
+            there = both.join(labels.withColumnRenamed("rid", "src"), "src").select(F.col("dst").alias("rid"), "key")
+            labels = labels.unionByName(there).groupBy("rid").agg(F.min("key").alias("key"))
+        return labels
+
+    open_, stays, covered = nodes, None, None
+    while True:
+        if covered is not None:
+            gone = open_.join(covered.withColumn("_in", F.lit(1)), "rid", "left").groupBy("path").agg(F.count_if(F.col("_in").isNull()).alias("_o")).where("_o = 0")
+            open_ = settled(open_.join(gone, "path", "left_anti"))
+        if open_.isEmpty():
+            break
+        near = spread(open_.select("rid", "key"))
+        first = open_.join(near.withColumnRenamed("key", "_k"), "rid").groupBy("path", "key").agg(F.min("_k").alias("_k")).where("_k = key").select("path")
+        new = settled(open_.join(first, "path", "left_semi"))
+        stays = new if stays is None else stays.unionByName(new)
+        reach = spread(new.select("rid", "key")).select("rid")
+        covered = settled(reach if covered is None else covered.unionByName(reach).distinct())
+        open_ = open_.join(new.select("path").distinct(), "path", "left_anti")
+    return paths.join(stays.select("path").distinct(), "path", "left_semi") if stays is not None else paths
+
+
+def join_paths(paths: DataFrame, optional: DataFrame) -> DataFrame:
+    """path, rank, rid, comp: paths joined at their ends over optional edges (src, dst), where a choice is unique in both directions.
+
+    Edges count both ways, so that an end that is taken was nobody else's choice, and one pass is the fixed point. Any number of paths in a row
+    becomes one path with ranks anew; the rest stays as it is. A circle of paths is cut before its smallest.
+    """
+    w = Window.partitionBy("path")
+    ends = paths.withColumn("_m", F.max("rank").over(w)).where("rank = 0 or rank = _m").where("_m > 0").select("rid", "path", F.when(F.col("rank") == 0, "l").otherwise("r").alias("side"))
+    e = optional.select("src", "dst").unionByName(optional.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    choices = settled(e.join(ends.toDF("src", "p1", "s1"), "src").join(ends.toDF("dst", "p2", "s2"), "dst").where("p1 <> p2").distinct())
+    one = choices.withColumn("_a", F.count(F.lit(1)).over(Window.partitionBy("src"))).withColumn("_b", F.count(F.lit(1)).over(Window.partitionBy("dst")))
+    taken = settled(one.where("_a = 1 and _b = 1").drop("_a", "_b"))
+    if taken.isEmpty():
+        return paths.select("path", "rank", "rid", "comp")
+    order = chain_links(taken.select(F.col("p1").alias("src"), F.col("s1").alias("side"), F.col("p2").alias("dst"), F.col("s2").alias("enter")))
+    order = order.select(F.col("rid").alias("path"), F.col("path").alias("joined"), F.col("rank").alias("place"), F.col("comp").alias("turned"))
+    size = paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("joined").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    order = order.join(size, "path").withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    j = paths.join(order, "path", "left")
+    rank = F.when(F.col("joined").isNull(), F.col("rank")).otherwise(F.col("start") + F.when(F.col("turned") == 1, F.col("size") - 1 - F.col("rank")).otherwise(F.col("rank")))
+    return j.select(F.coalesce("joined", "path").alias("path"), rank.alias("rank"), "rid", F.when(F.col("turned") == 1, 1 - F.col("comp")).otherwise(F.col("comp")).alias("comp"))
+
+
 def path_to_contigs(paths: DataFrame, reads: DataFrame, trim: DataFrame, edges: DataFrame) -> DataFrame:
     """path, header, seq: the first trimmed read of each path, then from each next read what its edge hangs over."""
     w = Window.partitionBy("path").orderBy("rank")

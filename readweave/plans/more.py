@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readweave.functions.lineage import settled
@@ -11,10 +13,13 @@ from readweave.operators import chimera as X
 from readweave.operators import evidence as V
 from readweave.operators import intervals as I
 from readweave.operators import modules as R
+from readweave.operators import patches as P
+from readweave.operators import paths as W
 from readweave.operators import trimming as T
 from readweave.sources.fixtures import Fixtures
 
-from .catalog import ENDS, add, union
+from .catalog import ENDS, REGISTRY, add, edges, union
+from .derived import LR, PILE, long_reads
 
 # Chimeras
 WALL_CHAINS = """ sc AS (SELECT aread, bread, comp, count(*) AS n, min(abpos) AS ab, max(aepos) AS ae, min(bbpos) AS bb, max(bepos) AS be, sum(aepos - abpos) AS len, any_value(btb) AS btb, any_value(bte) AS bte
@@ -222,3 +227,44 @@ def alternatives(v: Fixtures) -> DataFrame:
 
 add("read_alternatives", alternatives, "c1 c2 shared n2 covered alternative", "", SHARED + """;; SELECT c1, c2, shared, n2, covered, CASE WHEN 100 * shared > 50 * n2 OR 100 * covered >= 50 * len THEN 1 ELSE 0 END AS alternative
  FROM sp JOIN (SELECT c1, c2, sum(end_ - beg) AS covered FROM bk WHERE cid = c2 GROUP BY ALL) USING (c1, c2) JOIN cl ON cl.cid = c2""", "ovl")
+
+# Consensus by columns
+CONSENSUS = PILE + LR + """, vt AS (SELECT aread, tile, substr(CASE WHEN comp = 1 THEN reverse(translate(seq, 'acgt', 'tgca')) ELSE seq END, CAST(sb + 1 AS BIGINT), CAST(eb - sb AS BIGINT)) AS piece, 0 AS own FROM tp JOIN lr ON lr.rid = bread WHERE sb < eb
+  UNION ALL SELECT DISTINCT aread, tile, substr(seq, tile * 100 + 1, 100), 1 FROM tp JOIN lr ON lr.rid = aread),
+ sz AS (SELECT aread, tile, length(piece) AS n, count(*) AS used, max(own) AS o FROM vt WHERE piece <> '' GROUP BY aread, tile, length(piece) QUALIFY row_number() OVER (PARTITION BY aread, tile ORDER BY used DESC, o DESC, n) = 1),
+ lt AS (SELECT aread, tile, used, own, pos, substr(piece, pos, 1) AS letter FROM (SELECT vt.*, used, unnest(range(1, n + 1)) AS pos FROM vt JOIN sz ON sz.aread = vt.aread AND sz.tile = vt.tile AND n = length(piece))),
+ bl AS (SELECT aread, tile, used, pos, letter FROM (SELECT aread, tile, used, pos, letter, count(*) AS k, max(own) AS own FROM lt GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY aread, tile, pos ORDER BY k DESC, own DESC, letter) = 1)"""
+
+
+def consensus(v: Fixtures) -> DataFrame:
+    v = v.stored()
+    return P.column_consensus(settled(P.tile_pile(v.ovl, v.trace)), settled(long_reads(v)))
+
+
+add("column_consensus", consensus, "aread tile used", "seq", CONSENSUS + ";; SELECT aread, tile, used, string_agg(letter, '' ORDER BY pos) AS seq FROM bl GROUP BY ALL", "ovl trace reads")
+
+# Paths beside others, and paths joined over every fifth edge
+def path_edges(v: Fixtures) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All edges, those that count as optional, and the paths over the rest."""
+    e = settled(edges(v.stored()))
+    some = (F.col("src") + F.col("dst")) % 5 == 0
+    firm = settled(e.where(~some))
+    return e, e.where(some), settled(W.build_paths(firm, W.best_next(firm, 6, 100)))
+
+
+def path_rows(build: Callable[[Fixtures], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(Fixtures(spark, sf_dir))
+
+
+def suppressed(v: Fixtures) -> DataFrame:
+    e, _, paths = path_edges(v)
+    return W.suppress_paths(paths, e)
+
+
+def joined(v: Fixtures) -> DataFrame:
+    _, optional, paths = path_edges(v)
+    return W.join_paths(paths, optional)
+
+
+REGISTRY.add("suppress_paths", path_rows(suppressed))
+REGISTRY.add("join_paths", path_rows(joined))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readweave.functions.columns import forward_b, reverse_complement
@@ -88,13 +88,24 @@ def column_consensus(pile: DataFrame, reads: DataFrame, twidth: int = 100, chunk
         "aread", "tile", F.lit(None).cast("long").alias("ovl_id"), c("aread").alias("bread"), F.lit(0).alias("comp"), c("_l").alias("blen"), (c("tile") * twidth).alias("sb"), F.least((c("tile") + 1) * twidth, c("_l")).alias("eb")
     ), reads, chunk)
     votes = pile_pieces(pile, reads, chunk).withColumn("own", F.lit(0)).unionByName(mine.withColumn("own", F.lit(1))).withColumn("n", F.length("piece")).where("n > 0")
-    sizes = votes.groupBy("aread", "tile", "n").agg(F.count(F.lit(1)).alias("used"), F.max("own").alias("_o"))
-    best = sizes.groupBy("aread", "tile").agg(F.max_by(F.struct("n", "used"), F.struct("used", "_o", -c("n"))).alias("b")).select("aread", "tile", "b.n", "b.used")
-    letters = votes.join(best, ["aread", "tile", "n"]).select("aread", "tile", "used", "own", F.posexplode(F.split("piece", "")).alias("at", "letter"))
-    counts = letters.groupBy("aread", "tile", "used", "at", "letter").agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("own"))
-    columns = counts.groupBy("aread", "tile", "used", "at").agg(F.min(F.struct((-c("k")).alias("k"), (-c("own")).alias("own"), "letter")).alias("w"))
-    g = columns.groupBy("aread", "tile", "used").agg(F.array_sort(F.collect_list(F.struct("at", c("w.letter").alias("letter")))).alias("x"))
-    return g.select("aread", "tile", F.array_join(F.transform("x", lambda x: x["letter"]), "").alias("seq"), "used")
+    # No more segments than the pile holds for a tile, and A's own.
+    g = votes.groupBy("aread", "tile").agg(F.collect_list(F.struct("n", "own", F.split("piece", "").alias("s"))).alias("x"))
+    kinds = F.transform(F.array_distinct(F.transform("x", lambda y: y["n"])), lambda n: F.struct(
+        F.size(F.filter("x", lambda y: y["n"] == n)).alias("used"), F.exists("x", lambda y: (y["n"] == n) & (y["own"] == 1)).cast("int").alias("own"), (-n).alias("n")
+    ))
+    g = g.withColumn("k", F.array_max(kinds)).withColumn("x", F.filter("x", lambda y: y["n"] == -c("k.n")))
+
+    own = F.element_at(F.filter("x", lambda y: y["own"] == 1), 1)["s"]
+    # A column is a string with a letter of each segment, so that a letter is counted by what is left without it.
+    g = g.withColumn("_own", own).withColumn("_columns", F.transform(F.sequence(F.lit(1), (-c("k.n")).cast("int")), lambda i: F.struct(
+        F.array_join(F.transform("x", lambda y: F.element_at(y["s"], i)), "").alias("letters"), F.element_at("_own", i).alias("own")
+    )))
+
+    def winner(col: Column) -> Column:
+        votes = lambda t: F.length(F.replace(col["letters"], t, F.lit(""))) - F.length(col["letters"])
+        return F.array_min(F.transform(F.array_distinct(F.split(col["letters"], "")), lambda t: F.struct(votes(t).alias("k"), (~t.eqNullSafe(col["own"])).cast("int").alias("own"), t.alias("letter"))))["letter"]
+
+    return g.select("aread", "tile", F.array_join(F.transform("_columns", winner), "").alias("seq"), c("k.used").alias("used"))
 
 
 def assemble_corrected(tiles: DataFrame) -> DataFrame:

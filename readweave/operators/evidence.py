@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from readweave.functions.lineage import settled
+
 from .intervals import interval_join, merge_intervals, unique_intervals
 from .overlaps import discard, flagged, purge, with_ends
 from .reads import kmer_counts, kmers
@@ -122,6 +126,57 @@ def kmer_cutoffs(histogram: DataFrame, top_pct: int = 1) -> DataFrame:
     )
 
 
+def conserved(k: int, error: float) -> float:
+    """The chance that a k-mer comes through sequencing with ``error`` (a share of bases) as it is."""
+    right = 1 - error
+    return right ** (k + 1) + (right ** (k - 1) - right ** (2 * k - 1)) / k
+
+
+def kmer_model(histogram: DataFrame, k: int, error: float, coverage: float, genome_mb: float, window: int, top_pct: float = 1.0) -> DataFrame:
+    """One row: over and noise (counts), and what share of a genome's k-mers lie beyond each, by position (expected) and by window (load).
+
+    over: all counts above it, taken from the top, are the first to hold ``top_pct`` percent of the distinct k-mers. noise: the count that a k-mer of the
+    genome is expected to keep at ``coverage`` and ``error`` percent. The histogram (n, kmers) has at most 255 rows.
+    """
+    c = F.col
+    places = genome_mb * 1e6 * coverage * 0.5
+    noise = math.floor(max(1.0, genome_mb * 1e6 * 0.5 / 4**k) * coverage * conserved(k, error / 100))
+    w = Window.orderBy(F.desc("n"))
+    h = histogram.withColumn("_all", F.sum("kmers").over(Window.partitionBy()))
+    h = h.withColumn("_before", F.coalesce(F.sum("kmers").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    top = 100.0 * c("_before") < top_pct * c("_all")
+    out = h.agg(
+        F.coalesce(F.min(F.when(top, c("n"))) - 1, F.lit(0)).alias("over"), (F.coalesce(F.sum(F.when(top, c("n") * c("kmers"))), F.lit(0)) / F.lit(places)).alias("over_expected"),
+        F.lit(noise).alias("noise"), (F.coalesce(F.sum(F.when(c("n") <= noise, c("n") * c("kmers"))), F.lit(0)) / F.lit(places)).alias("noise_expected"),
+    )
+    return out.withColumn("over_load", c("over_expected") * (window - k + 1)).withColumn("noise_load", c("noise_expected") * (window - k + 1))
+
+
+def cluster_borders(events: DataFrame, density: float, min_events: int, max_dist: int) -> DataFrame:
+    """rid, beg, end_, n: events (rid, pos) in groups that are dense (more than ``density`` a base, or all at one place) and shorter than ``max_dist``.
+
+    What is not is cut at its widest gap (the first of equal ones), again and again; groups of fewer than ``min_events`` go. All groups of all
+    reads are cut in the same round, and lineage is cut with them.
+    """
+    c = F.col
+    number = F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
+    rows = settled(events.select("rid", "pos", number.alias("k"), F.lit(1).alias("g")))
+    out = None
+    while True:
+        size = c("_hi") - c("_lo")
+        s = rows.groupBy("rid", "g").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("_lo"), F.max("pos").alias("_hi")).where(c("n") >= min_events)
+        dense = ((size == 0) | (c("n") > density * size)) & (size < max_dist)
+        s = settled(s.withColumn("_ok", dense))
+        done = s.where("_ok").select("rid", c("_lo").alias("beg"), c("_hi").alias("end_"), "n")
+        out = done if out is None else out.unionByName(done)
+        w = Window.partitionBy("rid", "g").orderBy("k")
+        left = rows.join(s.where("not _ok").select("rid", "g"), ["rid", "g"]).withColumn("_gap", c("pos") - F.lag("pos").over(w))
+        cut = left.where("_gap is not null").groupBy("rid", "g").agg(F.max_by("k", F.struct("_gap", -c("k"))).alias("_at"))
+        rows = settled(left.join(cut, ["rid", "g"]).select("rid", "pos", "k", F.when(c("k") >= c("_at"), c("_at")).otherwise(c("g")).alias("g")))
+        if rows.isEmpty():
+            return out
+
+
 def kmer_windows(reads: DataFrame, k: int, noise: int, repeat: int, wnd: int = 500, gap: int = 0) -> DataFrame:
     """noise and repeat tracks: windows of k-mer starts in which more than half occur at most ``noise`` or at least ``repeat`` times."""
     km = kmers(reads, k).join(kmer_counts(reads, k), "kmer")

@@ -73,6 +73,35 @@ def unique_intervals(iv: DataFrame, reads: DataFrame, trim: DataFrame, least: in
     return marks.where(F.col("beg") - F.col("ubeg") > least).select("rid", F.col("ubeg").alias("beg"), F.col("beg").alias("end_"))
 
 
+def anchors(iv: DataFrame, reads: DataFrame, trim: DataFrame, dust: DataFrame, longest: int, window: int, least: int = 10) -> DataFrame:
+    """``unique_intervals`` without those of up to ``longest`` bases that are low-complexity or stand beside it, and without low-complexity bases.
+
+    A short interval goes if more than half of it is low-complexity; more than 15 % with a stretch over 100; a stretch over 20 in less than 100
+    bases; or if in 100, 200, ... up to ``window`` bases before or behind it more than 20 % are low-complexity with a stretch over 30. Then
+    repeats on both sides of it are one. An interval's part between low-complexity stretches stays, however short.
+    """
+    c = F.col
+    low = merge_intervals(dust, by=("rid",)).select("rid", c("beg").alias("_b"), c("end_").alias("_e"))
+    u = unique_intervals(iv, reads, trim, least)
+    steps = sorted({*range(min(100, window), window + 1, 100), window})
+    looks = [F.struct(F.lit(0).alias("at"), c("beg").alias("lb"), c("end_").alias("le"))]
+    for n in steps:
+        looks += [F.struct(F.lit(-n).alias("at"), F.greatest(c("beg") - n, F.lit(0)).alias("lb"), c("beg").alias("le")), F.struct(F.lit(n).alias("at"), c("end_").alias("lb"), F.least(c("end_") + n, "rlen").alias("le"))]
+    short = u.where(c("end_") - c("beg") <= longest).join(reads.select("rid", "rlen"), "rid").select("rid", "beg", "end_", F.inline(F.array(*looks))).where("lb < le")
+    met = interval_join(short, low, "rid", ("lb", "le"), ("_b", "_e")).groupBy("rid", "beg", "end_", "at").agg(F.sum("bp").alias("bp"), F.max("bp").alias("most"))
+    size = c("end_") - c("beg")
+    inside = (2 * c("bp") > size) | ((100 * c("bp") > 15 * size) & (c("most") > 100)) | ((size < 100) & (c("most") > 20))
+    # Behind an interval whole percents count.
+    beside = (c("most") > 30) & F.when(c("at") < 0, 100 * c("bp") > 20 * -c("at")).otherwise(F.floor(100 * c("bp") / c("at")) > 20)
+    bad = met.where(F.when(c("at") == 0, inside).otherwise(beside)).select("rid", "beg", "end_").distinct()
+    kept = u.join(bad, ["rid", "beg", "end_"], "left_anti")
+    hits = interval_join(kept, low, "rid", ("beg", "end_"), ("_b", "_e")).select("rid", "beg", "end_", F.greatest("beg", "_b").alias("_b"), F.least("end_", "_e").alias("_e"))
+    marks = hits.unionByName(kept.select("rid", "beg", "end_", c("end_").alias("_b"), c("end_").alias("_e")))
+    w = Window.partitionBy("rid", "beg", "end_").orderBy("_b", "_e")
+    out = marks.withColumn("_from", F.coalesce(F.lag("_e").over(w), c("beg")))
+    return out.where("_from < _b").select("rid", c("_from").alias("beg"), c("_b").alias("end_"))
+
+
 def unique_tip_trim(iv: DataFrame, reads: DataFrame, n: int = 500) -> DataFrame:
     """tb, te: from the first to the last stretch of ``n`` or more bases outside the intervals."""
     whole = reads.select("rid", F.lit(0).alias("tb"), F.col("rlen").alias("te"))

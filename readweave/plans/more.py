@@ -15,11 +15,12 @@ from readweave.operators import intervals as I
 from readweave.operators import modules as R
 from readweave.operators import patches as P
 from readweave.operators import paths as W
+from readweave.operators import reads as K
 from readweave.operators import trimming as T
 from readweave.sources.fixtures import Fixtures
 
-from .catalog import ENDS, REGISTRY, add, edges, union
-from .derived import LR, PILE, long_reads
+from .catalog import ENDS, REGISTRY, UNIQUE, add, edges, union
+from .derived import KH, LR, PILE, long_reads
 
 # Chimeras
 WALL_CHAINS = """ sc AS (SELECT aread, bread, comp, count(*) AS n, min(abpos) AS ab, max(aepos) AS ae, min(bbpos) AS bb, max(bepos) AS be, sum(aepos - abpos) AS len, any_value(btb) AS btb, any_value(bte) AS bte
@@ -268,3 +269,25 @@ def joined(v: Fixtures) -> DataFrame:
 
 REGISTRY.add("suppress_paths", path_rows(suppressed))
 REGISTRY.add("join_paths", path_rows(joined))
+
+# Anchors: unique stretches that no low-complexity breaks
+ANCHORS = UNIQUE.format("trim") + """, uq AS (SELECT rid, ubeg AS beg, uend AS end_ FROM u0 WHERE uend - ubeg > 10), dl AS ({union}),
+ lk AS (SELECT uq.rid, beg, end_, o, CASE WHEN o < 0 THEN greatest(beg + o, 0) WHEN o > 0 THEN end_ ELSE beg END AS lb, CASE WHEN o < 0 THEN beg WHEN o > 0 THEN least(end_ + o, rlen) ELSE end_ END AS le
+  FROM uq JOIN lens l ON l.rid = uq.rid, (SELECT unnest([0, -100, 100, -200, 200, -250, 250]) AS o) WHERE end_ - beg <= 600),
+ lh AS (SELECT lk.rid, lk.beg, lk.end_, o, sum(least(le, dl.end_) - greatest(lb, dl.beg)) AS bp, max(least(le, dl.end_) - greatest(lb, dl.beg)) AS m FROM lk JOIN dl ON dl.rid = lk.rid AND least(le, dl.end_) > greatest(lb, dl.beg) GROUP BY ALL),
+ lx AS (SELECT DISTINCT rid, beg, end_ FROM lh WHERE CASE WHEN o = 0 THEN 2 * bp > end_ - beg OR (100 * bp > 15 * (end_ - beg) AND m > 100) OR (end_ - beg < 100 AND m > 20) WHEN o < 0 THEN m > 30 AND 100 * bp > -20 * o ELSE m > 30 AND 100 * bp // o > 20 END),
+ lk2 AS (SELECT uq.* FROM uq ANTI JOIN lx USING (rid, beg, end_)),
+ lm AS (SELECT k.rid, k.beg, k.end_, greatest(k.beg, d.beg) AS b, least(k.end_, d.end_) AS e FROM lk2 k JOIN dl d ON d.rid = k.rid AND least(k.end_, d.end_) > greatest(k.beg, d.beg) UNION ALL SELECT rid, beg, end_, end_, end_ FROM lk2),
+ ln AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY rid, beg, end_ ORDER BY b, e), beg) AS f FROM lm)"""
+add("anchors", lambda v: I.anchors(v.iv.where("track = 'repeats'"), v.lens, v.trim, v.iv.where("track = 'dust'"), 600, 250), "rid beg end_", "", " rep AS (SELECT * FROM iv WHERE track = 'repeats'), dust AS (SELECT * FROM iv WHERE track = 'dust'),"
+    + ANCHORS.replace(union("iv", "rid"), union("rep", "rid")).replace("{union}", union("dust", "rid")) + ";; SELECT rid, f AS beg, b AS end_ FROM ln WHERE f < b", "iv trim")
+
+# The error model of k-mers
+MODEL = "places AS (SELECT 1.5::DOUBLE * 1e6 * 20 * 0.5 AS p), ns AS (SELECT CAST(floor(greatest(1.0, 1.5 * 1e6 * 0.5 / pow(4, 14)) * 20 * (pow(0.85, 15) + (pow(0.85, 13) - pow(0.85, 27)) / 14)) AS BIGINT) AS noise)"
+add("kmer_model", lambda v: V.kmer_model(K.kmer_histogram(v.reads, 14), 14, 15.0, 20, 1.5, 500).select("over", "noise", *(F.round(c, 9).alias(c) for c in ("over_expected", "noise_expected", "over_load", "noise_load"))), "over noise", "over_expected noise_expected over_load noise_load",
+    KH + ", " + MODEL + """, hb AS (SELECT *, coalesce(sum(kmers) OVER (ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bf, sum(kmers) OVER () AS al FROM hs);;
+ SELECT over, noise, round(a / p, 9) AS over_expected, round(b / p, 9) AS noise_expected, round(a / p * 487, 9) AS over_load, round(b / p * 487, 9) AS noise_load
+ FROM (SELECT min(CASE WHEN 100 * bf < al THEN n END) - 1 AS over, sum(CASE WHEN 100 * bf < al THEN n * kmers ELSE 0 END)::DOUBLE AS a, sum(CASE WHEN n <= noise THEN n * kmers ELSE 0 END)::DOUBLE AS b, any_value(noise) AS noise FROM hb, ns), places""", "reads")
+
+# Groups of overlap ends
+REGISTRY.add("cluster_borders", path_rows(lambda v: V.cluster_borders(v.stored().ovl.select(F.col("aread").alias("rid"), F.col("aepos").alias("pos")), 0.02, 3, 400)))

@@ -152,3 +152,26 @@ def test_chimera_walls(spark):
     got = {x.rid: (x.tb, x.te, x.chimeras) for x in chimera_walls(o, trim, spark.createDataFrame(iv, "track string, rid long, beg long, end_ long"), chains, border=4).collect()}
     assert got == {a: (max(lo, trims[a][1]), min(hi, trims[a][2]), n) for a, (lo, hi, n) in want.items()}
     assert len(want) > 5 and max(n for _, _, n in want.values()) > 1
+
+
+def borders(pos, density, least, most):
+    if len(pos) < least:
+        return []
+    size = pos[-1] - pos[0]
+    if (size == 0 or len(pos) > density * size) and size < most:
+        return [(pos[0], pos[-1], len(pos))]
+    if len(pos) < 2:
+        return []
+    gaps = [b - a for a, b in zip(pos, pos[1:])]
+    at = gaps.index(max(gaps)) + 1
+    return borders(pos[:at], density, least, most) + borders(pos[at:], density, least, most)
+
+
+def test_borders(spark):
+    from readweave.operators.evidence import cluster_borders
+
+    r = random.Random(2)
+    rows = [(a, p) for a in range(20) for p in sorted(min(9000, int(r.choice([1000, 1100, 4000, 7000]) + r.gauss(0, r.choice([5, 60, 600])))) for _ in range(r.choice([2, 10, 50])))]
+    want = [(a, *b) for a in range(20) for b in borders([p for i, p in rows if i == a], 0.03, 3, 300)]
+    got = cluster_borders(spark.createDataFrame(rows, "rid long, pos long"), 0.03, 3, 300).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 10

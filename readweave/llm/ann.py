@@ -1,16 +1,16 @@
 """Approximate nearest neighbours by inner product with a permutation index (operator 9).
 
 Pivots come from a bounded sample. Every vector is represented by the order of its ``length`` nearest pivots and posted once, in
-the list of its nearest centre (one of the sample) and its band of norms. A query visits the lists that are
-expected to hold its neighbours: how likely a vector of a list passes a score follows from the angles between query, centre
-and list, the list's largest norm, and how many vectors it holds. In a list the inverted file over pivots gives the footrule distance
-between the orders. As the measure is an inner product, a long vector may be farther by angle: each is ranked by how far its
-footrule nearness passes what a vector of its norm would need for the score. What falls too short is left out, and the
-rest is ranked anew by the exact inner product.
-
-The score that a neighbour needs is read off a bounded sample for each query, as are the expected footrule of an angle and its spread.
-All these are statements on averages; recall against brute force is measured in the tests. Equal vectors are one vector with their
-smallest identifiers, so copies crowd out nothing. Lists of more than BLOCK vectors are dealt into several tasks.
+the list of its nearest centre (one of the sample) and its band of norms. A query visits every list that can hold a
+vector with the score that a neighbour needs: that follows from the angle between query and centre, the widest angle and the largest norm of
+the list, and is a bound. In a list the inverted file over pivots gives the footrule distance between the orders. As the measure is an
+inner product, a long vector may be farther by angle: each is ranked by its norm times the largest cosine that its footrule nearness lets
+expect. What falls short of the score is left out, and the rest is ranked anew by the exact inner product.
+
+The needed score is read off a bounded sample for each query. What cosine a nearness lets expect is measured on pairs of the sample, near and
+far, and set so high that the sample's own neighbours by inner product are let through. That part is a statement on averages; recall against
+brute force is measured in the tests. Equal vectors are one vector with their smallest identifiers, so copies crowd out nothing. Lists of more
+than BLOCK vectors are dealt into several tasks, and so are more than ASKED queries.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-LIST, BLOCK, CENTRES = 2048, 8192, 2048
+LIST, BLOCK, CENTRES, ASKED = 2048, 8192, 2048, 16384
 #: Bands of norms are powers of two; beyond so many from length 1 all share the last band.
 BANDS = 31
 
@@ -59,20 +59,18 @@ class Block:
         """How far below its largest value the footrule distance to each vector lies (halved; larger is nearer)."""
         return self.length**2 - np.maximum(self.places[order], self.own).sum(0, dtype=self.places.dtype)
 
-    def candidates(self, order: np.ndarray, needed: np.ndarray, least: int) -> np.ndarray:
-        """Rows whose footrule nearness reaches ``needed``, or comes nearest to it if those are fewer than ``least``."""
-        margin = self.nearness(order) - needed
+    def candidates(self, order: np.ndarray, reach: np.ndarray, needed: float, least: int) -> np.ndarray:
+        """Rows that may have a product of ``needed`` with a query of length 1, or come nearest to it if those are fewer than ``least``.
+
+        ``reach``: the largest cosine to expect, by nearness.
+        """
+        margin = self.norm * reach[self.nearness(order)] - needed
         at = np.flatnonzero(margin >= 0)
         if len(at) < least:
             at = np.argpartition(-margin, least - 1)[:least] if least < len(margin) else np.arange(len(margin))
         return at
 
 
-def tail(z: np.ndarray) -> np.ndarray:
-    """Chance that a normal variable passes z (logistic approximation)."""
-    return 1 / (1 + np.exp(np.clip(1.5976 * z + 0.07056 * z**3, -700, 700)))
-
-
 @dataclass
 class Guide:
     """What a bounded sample tells, and the table of lists."""
@@ -81,38 +79,43 @@ class Guide:
     sample: np.ndarray
     centres: np.ndarray
     length: int
-    slope: float = 0.0
-    base: float = 0.0
-    spread: float = 0.0
-    turn: float = 1.0
+    reach: np.ndarray
     lists: pd.DataFrame | None = None
 
     @classmethod
-    def fit(cls, sample: np.ndarray, n: int, pivots: int, length: int) -> Guide:
+    def fit(cls, sample: np.ndarray, n: int, pivots: int, length: int, k: int, caught: float) -> Guide:
         """``sample``: different vectors in random order; ``n``: how many vectors there are."""
-        unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+        norm = np.linalg.norm(sample, axis=1)
+        unit = sample / norm[:, None]
         p = unit[: max(1, min(pivots, len(unit) // 2))]
         centres = unit[: max(1, min(CENTRES, len(unit) // 2, math.ceil(n / LIST)))]
-        out = cls(p, sample, centres, min(length, len(p)))
-        rest = unit[len(p) :]
-        if len(rest) < 64:
-            return out
-        asked, order, place = rest[:256], orders(rest, p, out.length), np.full((len(rest), len(p)), out.length)
-        np.put_along_axis(place, order, np.arange(out.length)[None], 1)
-        gain = np.stack([(out.length - np.maximum(place[:, o], np.arange(out.length))).sum(1) for o in order[: len(asked)]])
+        length = min(length, len(p))
+        out = cls(p, sample, centres, length, np.ones(length**2 + 1))
+        rest, size = unit[len(p) :], norm[len(p) :]
+        if len(rest) < 64 or caught >= 1:
+            return out  # everything is ranked exactly
+        asked, order, place = rest[:256], orders(rest, p, length), np.full((len(rest), len(p)), length)
+        np.put_along_axis(place, order, np.arange(length)[None], 1)
+        gain = np.stack([(length - np.maximum(place[:, o], np.arange(length))).sum(1) for o in order[: len(asked)]])
         cosine = asked @ rest.T
         off = ~np.eye(*cosine.shape, dtype=bool)
-        # Near pairs alone: the twentieth of each row with the largest cosines.
-        near = off & (cosine >= np.quantile(cosine, 0.95, axis=1, keepdims=True))
-        c, g = cosine[near], gain[near]
-        out.slope = max(0.0, float(np.cov(c, g)[0, 1] / max(c.var(), 1e-12)))
-        out.base = float(g.mean() - out.slope * c.mean())
-        out.spread = float((g - out.base - out.slope * c).std())
-        # How much of the angles is left once the angles to the centre are known: 1 / dimension, where directions are even.
-        own = centres[(rest @ centres.T).argmax(1)]
-        gamma, delta = asked @ own.T, (rest * own).sum(1)
-        left = (cosine - gamma * delta) ** 2 / np.maximum((1 - gamma**2) * (1 - delta**2), 1e-9)
-        out.turn = float(np.mean(left[off & (left < 4)]))
+        # Cosines to expect at a nearness: mean and spread of all pairs in each of some bins, be they near or far.
+        edges = np.unique(np.quantile(gain[off], np.linspace(0, 1, 65)[1:-1]))
+        edges = np.unique(np.concatenate([edges, np.quantile(gain[off & (gain > edges[-1])], np.linspace(0, 1, 17)[1:-1])])) if (off & (gain > edges[-1])).any() else edges
+        at = np.searchsorted(edges, gain, "right")
+        many = np.bincount(at[off], minlength=len(edges) + 1)
+        mean = np.bincount(at[off], cosine[off], len(edges) + 1) / np.maximum(many, 1)
+        spread = np.sqrt(np.bincount(at[off], (cosine - mean[at])[off] ** 2, len(edges) + 1) / np.maximum(many, 1)) + 1e-6
+        # How many spreads above the mean the sample's own neighbours by inner product are allowed, so that ``caught`` of them are found.
+        product = np.where(off, cosine * size, -np.inf)
+        worst = np.partition(product, -k, axis=1)[:, -k][:, None] if k < len(rest) - 1 else np.full((len(asked), 1), -np.inf)
+        near = off & (product >= worst)
+        short = ((worst / size - mean[at]) / spread[at])[near & (np.abs(worst) < np.inf)]
+        if not len(short):
+            return out
+        top = mean + max(0.0, float(np.quantile(short, caught))) * spread
+        top[many == 0] = -np.inf
+        out.reach = np.minimum(1, np.maximum.accumulate(top))[np.searchsorted(edges, np.arange(length**2 + 1), "right")]
         return out
 
     def post(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -130,24 +133,25 @@ class Guide:
         rank = math.ceil(1.5 * (k + 1) * held.shape[1] / max(1, int(self.lists["n"].sum()))) + 2
         return held[:, -min(held.shape[1], rank)], held[:, -min(held.shape[1], rank + 5)]
 
-    def visits(self, q: np.ndarray, score: np.ndarray, k: int, part: float) -> list[np.ndarray]:
-        """For each query the lists (row numbers of ``lists``) that hold ``part`` of the neighbours that are expected, and ``4 * (k + 1)`` vectors."""
+    def visits(self, q: np.ndarray, score: np.ndarray, k: int) -> list[np.ndarray]:
+        """For each query the lists (row numbers of ``lists``) that can hold a vector of that score, but ``4 * (k + 1)`` vectors at least.
+
+        No vector of a list lies farther from its centre than the one with the least cosine, and none is longer than the longest: what
+        follows for the product with a query is a bound, not an estimate.
+        """
         t, norm = self.lists, np.linalg.norm(q, axis=1)
-        n, delta = t["n"].to_numpy("f8"), t["delta"].to_numpy()
+        n = t["n"].to_numpy("f8")
         gamma = ((q / norm[:, None]) @ self.centres.T)[:, t["list"].to_numpy() // (2 * BANDS + 1)]
-        sd = np.sqrt(np.maximum(1 - gamma**2, 0) * np.maximum(1 - delta**2, 0) * self.turn + gamma**2 * t["vary"].to_numpy() + 1e-9)
-        expected = n * tail((score[:, None] / (norm[:, None] * t["norm"].to_numpy()) - gamma * delta) / sd)
+        apart = np.arccos(np.clip(gamma, -1, 1)) - np.arccos(np.clip(t["delta"].to_numpy(), -1, 1))
+        bound = np.cos(np.clip(apart - 1e-7, 0, np.pi)) * norm[:, None]
+        bound = bound * t["norm"].to_numpy()
         out = []
-        for e, order in zip(expected, np.argsort(-expected, axis=1), strict=True):
-            mass, rows = np.cumsum(e[order]), np.cumsum(n[order])
-            enough = (mass >= part * mass[-1]) & (rows >= min(rows[-1], 4 * (k + 1)))
+        for e, s, order in zip(bound, score, np.argsort(-bound, axis=1, kind="stable"), strict=True):
+            rows = np.cumsum(n[order])
+            enough = (np.append(e[order][1:], -np.inf) < s) & (rows >= min(rows[-1], 4 * (k + 1)))
             out.append(order[: int(np.argmax(enough)) + 1])
         return out
 
-    def needed(self, score: float, norms: np.ndarray, strict: float) -> np.ndarray:
-        """The footrule nearness below which a vector hardly reaches ``score`` (a product of norms stands in ``norms``)."""
-        return self.base + self.slope * (score / norms) - strict * self.spread
-
 
 def shares(sizes: np.ndarray, total: int) -> int:
     """The least number that, taken from each of ``sizes`` as far as they go, gives ``total`` or all there is."""
@@ -162,7 +166,7 @@ def keys(v: Column) -> list[Column]:
     return [F.xxhash64(v).alias("k1"), F.xxhash64(v, F.lit(1)).alias("k2")]
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512, length: int = 32, sample: int = 4096, part: float = 0.985, strict: float = 1.9) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512, length: int = 32, sample: int = 4096, caught: float = 0.99) -> DataFrame:
     """For each row whose vec_id is divisible by ``every``: its ``k`` nearest others by inner product.
 
     query_id, rank (from 1), vec_id, score (inner product of the original vectors in double precision), nearest first, ties to
@@ -171,8 +175,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
     identifier are the query; a query that is there several times is answered once. An empty table gives an empty table; further
     columns are not carried.
 
-    ``sample``: the vectors that fit the index, those with the least hash. ``part``: how much of the neighbours that are expected the
-    visited lists hold. ``strict``: how many standard deviations below its expected nearness a vector may fall.
+    ``sample``: the vectors that fit the index, those with the least hash. ``caught``: the share of the sample's own neighbours that the
+    footrule must let through (1: it stops nothing). Vectors of a list are dealt into blocks of BLOCK, queries into blocks of ASKED.
     """
     spark = vectors.sparkSession
     rows = usable(vectors)
@@ -186,7 +190,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
     distinct = checkpointed(distinct)
     n = distinct.count()
     held = distinct.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(sample).collect()
-    guide = Guide.fit(np.array([r.embedding for r in held]), n, pivots, length)
+    guide = Guide.fit(np.array([r.embedding for r in held]), n, pivots, length, k, caught)
     sent = spark.sparkContext.broadcast(guide)  # at most ``sample`` vectors
 
     def post(batches):
@@ -198,7 +202,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
 
     index = checkpointed(distinct.mapInPandas(post, "embedding array<double>, ids array<long>, list long, delta double, norm double, orders binary"))
     # At most CENTRES * (2 * BANDS + 1) rows.
-    lists = index.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm"), F.avg("delta").alias("delta"), F.var_pop("delta").alias("vary")).toPandas()
+    lists = index.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm"), F.min("delta").alias("delta")).toPandas()
     guide.lists = lists.assign(deal=np.ceil(lists["n"] / BLOCK).astype("i8")).sort_values("list", ignore_index=True)
     told = spark.sparkContext.broadcast(guide)
 
@@ -210,7 +214,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
             score, floor = g.score(q, k)
             deal, name, size = (g.lists[c].to_numpy() for c in ("deal", "list", "n"))
             order = orders(q / np.linalg.norm(q, axis=1, keepdims=True), g.pivots, g.length)
-            visits = g.visits(q, score, k, part)
+            visits = g.visits(q, score, k)
             at = np.concatenate(visits)
             few = np.repeat([shares(size[v] // deal[v], 2 * (k + 1)) for v in visits], list(map(len, visits)))
             i = np.repeat(np.repeat(np.arange(len(q)), list(map(len, visits))), deal[at])
@@ -219,9 +223,10 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
             yield pd.DataFrame({"k1": pdf["k1"].to_numpy()[i], "k2": pdf["k2"].to_numpy()[i], "q": raw[i], "order": own[i], "score": score[i], "floor": floor[i], "few": few, "list": name[at], "salt": salt})
 
     queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "embedding", *keys(F.col("embedding")))
-    asked = queries.dropDuplicates(["k1", "k2"]).select("k1", "k2", "embedding").mapInPandas(ask, "k1 long, k2 long, q binary, order binary, score double, floor double, few long, list long, salt long")
+    parts = max(1, -(-queries.count() // ASKED))
+    asked = queries.dropDuplicates(["k1", "k2"]).select("k1", "k2", "embedding").mapInPandas(ask, "k1 long, k2 long, q binary, order binary, score double, floor double, few long, list long, salt long").withColumn("part", F.pmod("k1", F.lit(parts)))
     dealt = F.broadcast(spark.createDataFrame(guide.lists[["list", "deal"]]))
-    stored = index.join(dealt, "list").select("embedding", "ids", "orders", "list", F.pmod(F.xxhash64("embedding"), F.col("deal")).alias("salt"))
+    stored = index.join(dealt, "list").select("embedding", "ids", "orders", "list", F.pmod(F.xxhash64("embedding"), F.col("deal")).alias("salt")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
     def search(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         k1, k2, vec_id, scores = ([np.zeros(0, t)] for t in ("i8", "i8", "i8", "f8"))
@@ -231,7 +236,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
             ids = stored["ids"].to_numpy()
             for a in asked.itertuples(index=False):
                 q = np.frombuffer(a.q)
-                at = block.candidates(np.frombuffer(a.order, "i4"), g.needed(a.score, block.norm * np.linalg.norm(q), strict), max(64, k + 1))
+                at = block.candidates(np.frombuffer(a.order, "i4"), g.reach, a.score / np.linalg.norm(q), max(64, k + 1))
                 score = (block.x[at] * q).sum(1)
                 if len(at) > a.few:  # what reaches the floor, and the few best anyway; no more than k + 1, and what equals the last of them
                     falling = np.sort(score)[::-1][: k + 1]
@@ -248,7 +253,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = 512,
                 scores.append(score)
         return pd.DataFrame({"k1": np.concatenate(k1), "k2": np.concatenate(k2), "vec_id": np.concatenate(vec_id), "score": np.concatenate(scores)})
 
-    found = stored.groupBy("list", "salt").cogroup(asked.groupBy("list", "salt")).applyInPandas(search, "k1 long, k2 long, vec_id long, score double")
+    found = stored.groupBy("list", "salt", "part").cogroup(asked.groupBy("list", "salt", "part")).applyInPandas(search, "k1 long, k2 long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.desc("score"), "vec_id"))
     best = found.withColumn("_r", rank).where(F.col("_r") <= k + 1).groupBy("k1", "k2").agg(F.collect_list(F.struct("vec_id", "score")).alias("best"))
     pairs = queries.select(F.col("vec_id").alias("query_id"), "k1", "k2").distinct().join(best, ["k1", "k2"]).select("query_id", F.inline("best")).where("vec_id != query_id")

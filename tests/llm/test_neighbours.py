@@ -27,14 +27,20 @@ def vectors(kind, n, d=48):
     if kind == "copies":
         x[::3] = x[5] + 0.05 * rng.standard_normal((len(x[::3]), d))
         x[1::7] = x[1]  # many equal vectors
+    if kind.startswith("long"):  # clusters that are long or short as a whole
+        return (rng.standard_normal((20, d)) * np.exp(float(kind[4:]) * rng.standard_normal(20))[:, None])[rng.integers(0, 20, n)] + 0.3 * x
+    if kind == "tails":
+        return rng.standard_t(2, (n, d))
+    if kind == "shifted":
+        return x + 1.5
     if kind != "clustered":
         x /= np.linalg.norm(x, axis=1, keepdims=True)
     return x * np.exp(rng.standard_normal(n))[:, None] if kind == "lognormal" else x
 
 
-@pytest.mark.parametrize("kind,n", [("unit", 12_000), ("lognormal", 12_000), ("clustered", 12_000), ("copies", 6_000)])
+@pytest.mark.parametrize("kind,n", [("unit", 12_000), ("lognormal", 12_000), ("clustered", 12_000), ("copies", 6_000), ("long0.7", 6_000), ("long1.5", 6_000), ("tails", 6_000), ("shifted", 6_000)])
 def test_recall_and_scores(spark, kind, n):
-    """Held against brute force at the shipped parameters: unit vectors, spread norms, clusters, a third in one knot with many copies."""
+    """Held against brute force at the shipped parameters: unit vectors, spread norms, clusters, a third in one knot with many copies, clusters of spread norms, heavy tails, a shifted mean."""
     x = vectors(kind, n)
     df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, score int").repartition(4)
     got = {}
@@ -67,13 +73,14 @@ def test_most_frequent_dimension_and_repeated_queries(spark):
 
 
 def test_lists_dealt_into_blocks(spark, monkeypatch):
-    """One list of many vectors goes to several tasks; nothing is lost."""
+    """One list of many vectors, and many queries, go to several tasks; nothing is lost."""
     from readweave.llm import ann
 
     monkeypatch.setattr(ann, "BLOCK", 100)
+    monkeypatch.setattr(ann, "ASKED", 7)
     x = vectors("unit", 900)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = nearest(df, part=1.0, strict=99.0)
+    got = nearest(df, caught=1.0)
     want = set()
     for q in range(0, 900, 20):
         score = x @ x[q]

@@ -7,7 +7,7 @@ of the shortest one back from each line. Every line of a run of ``min_words`` wo
 
 Fingerprints meet by hash, and each occurrence is paired with the earliest one alone, never with all: as the whole window is equal
 there, a repeat is found whatever surrounds the earliest place of its grams. A pair is
-extended line by line both ways; if the run has ``min_words`` words, its lines are deleted in the
+extended both ways, by halving over hashes of runs of lines; if the run has ``min_words`` words, its lines are deleted in the
 later place. The earliest place of every line always stays.
 """
 
@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .benchmark import SPREAD, Powers
 from .common import HOT, checkpointed, hot_join, map_packed, packed
 
 
@@ -75,28 +76,47 @@ def line_table(docs: DataFrame, min_words: int, gram_words: int) -> DataFrame:
     return docs.mapInArrow(run, "did long, uid long, lines array<long>, words array<int>, marks array<struct<h:long,pos:int>>")
 
 
-def repeated(own: np.ndarray, words: np.ndarray, theirs: np.ndarray, off: int, at: list[int], min_words: int) -> np.ndarray:
-    """Lines of a text that repeat another one: line i stands against line i + ``off``, and runs are extended both ways from each of ``at``."""
-    start = max(0, -off)
-    n = min(len(own) - start, len(theirs) - start - off)
-    stops = np.flatnonzero(own[start : start + n] != theirs[start + off : start + off + n])
-    out = np.zeros(len(own), bool)
-    for p in at:
-        k = np.searchsorted(stops, p - start)
-        lo = start + (stops[k - 1] + 1 if k else 0)
-        hi = start + (stops[k] if k < len(stops) else n)
-        if words[lo:hi].sum() >= min_words:
-            out[lo:hi] = True
-    return np.flatnonzero(out)
+def sums(hashes: np.ndarray) -> np.ndarray:
+    """Running sums of hashes times powers: from them follows a hash of any run of lines."""
+    up, _ = Powers.to(len(hashes) + 1)
+    return np.concatenate([np.zeros(1, "u8"), np.cumsum(hashes.view("u8") * SPREAD * up[1:])])
+
+
+def common_length(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, most: np.ndarray, ahead: bool) -> np.ndarray:
+    """How many lines agree from line i of one text and line j of another on (or back from before them), ``most`` at most: found by halving."""
+    _, down = Powers.to(max(len(a), len(b)))
+    low, high = np.zeros_like(most), most.copy()
+    while (low < high).any():
+        mid = (low + high + 1) // 2
+        x, y = (i, j) if ahead else (i - mid, j - mid)
+        same = (a[x + mid] - a[x]) * down[x] == (b[y + mid] - b[y]) * down[y]
+        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+    return low
+
+
+def repeated(own: np.ndarray, words: np.ndarray, theirs: np.ndarray, pos: np.ndarray, off: np.ndarray, min_words: int) -> np.ndarray:
+    """Lines of a text that repeat another one: line ``pos`` stands against line ``pos + off``, and runs are extended both ways from there.
+
+    Takes the logarithm of the lines for each such place, whatever the runs' lengths.
+    """
+    a, b, at = sums(own), sums(theirs), pos + off
+    hi = pos + common_length(a, pos, b, at, np.minimum(len(own) - pos, len(theirs) - at), True)
+    lo = pos - common_length(a, pos, b, at, np.minimum(pos, at), False)
+    total = np.concatenate([[0], np.cumsum(words)])
+    enough = total[hi] - total[lo] >= min_words
+    depth = np.bincount(lo[enough], minlength=len(own) + 1) - np.bincount(hi[enough], minlength=len(own) + 1)
+    return np.flatnonzero(np.cumsum(depth)[:-1] > 0)
 
 
 def repeated_lines(pairs: DataFrame, min_words: int) -> DataFrame:
-    """did, uid, gone (lines that go), a row for each pair of texts and shift between their lines."""
+    """did, uid, gone (lines that go), a row for each pair of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held = zip(*(b.column(c) for c in ("lines", "words", "theirs", "off", "at")), strict=True)
-            gone = [repeated(own.values.to_numpy(), words.values.to_numpy(), theirs.values.to_numpy(), off.as_py(), at.as_py(), min_words) for own, words, theirs, off, at in held]
+            gone = []
+            for own, words, theirs, at in zip(*(b.column(c) for c in ("lines", "words", "theirs", "at")), strict=True):
+                pos, off = (x.to_numpy().astype("i8") for x in at.values.flatten())
+                gone.append(repeated(own.values.to_numpy(), words.values.to_numpy(), theirs.values.to_numpy(), pos, off, min_words))
             yield pa.RecordBatch.from_arrays([b.column("did"), b.column("uid"), pa.array(gone, pa.list_(pa.int32()))], ["did", "uid", "gone"])
 
     return pairs.mapInArrow(run, "did long, uid long, gone array<int>")
@@ -123,8 +143,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, gram_words: int = 25, n_li
     first = marks.groupBy("h").agg(F.min(here).alias("o"), F.max(here).alias("last"), F.count(F.lit(1)).alias("n")).where("o != last").drop("last")
     first, total = checkpointed(first), marks.count()
     hits = hot_join(marks, first, "h", total).where(here != F.col("o"))
-    # One row for each pair of texts and shift between their lines.
-    shift = hits.groupBy("did", "uid", F.col("o.did").alias("odid"), F.col("o.uid").alias("ouid"), (F.col("o.pos") - F.col("pos")).alias("off")).agg(F.collect_set("pos").alias("at"))
+    # One row for each pair of texts, with all places that meet and the shift between their lines.
+    place = F.struct("pos", (F.col("o.pos") - F.col("pos")).alias("off"))
+    shift = hits.groupBy("did", "uid", F.col("o.did").alias("odid"), F.col("o.uid").alias("ouid")).agg(F.collect_set(place).alias("at"))
     shift = checkpointed(shift)
     # A text that many others repeat: fewer than HOT of them, two numbers each, are broadcast, and their rows salted.
     hot = shift.groupBy("odid", "ouid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * HOT > shift.count())

@@ -1,4 +1,5 @@
 import re
+import time
 import zlib
 
 import numpy as np
@@ -125,6 +126,27 @@ def test_lines_match_brute_force(spark):
     assert got == want
 
 
+def test_a_text_of_equal_lines(spark):
+    """20,000 equal lines of 60 words, and as many of two kinds in turn: the first stay, all others go, in a few seconds."""
+    line, other = " ".join(f"k{i}" for i in range(60)), " ".join(f"m{i}" for i in range(30))
+    texts = {1: "\n".join([line] * 20_000), 2: "\n".join([other, line] * 10_000), 3: "own words\n" + line}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    began = time.time()
+    got = {r.doc_id: r.text for r in dedup_lines(df).collect()}
+    assert time.time() - began < 120
+    small = brute_lines({1: "\n".join([line] * 9), 2: "\n".join([other, line] * 5), 3: texts[3]}, 50)
+    assert got == small
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_texts_that_repeat_themselves(spark, seed):
+    rng = np.random.default_rng(seed)
+    stock = [f"l{k} " + "w " * int(rng.integers(0, 40)) for k in range(3)]
+    texts = {d: "\n".join(stock[int(k)] for k in rng.integers(0, 3, int(rng.integers(1, 25)))) for d in range(25)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == brute_lines(texts, 50)
+
+
 def test_votes_match_brute_force():
     """Projection, blocked cosines, the k nearest and their weighted votes, against plain loops over all pairs."""
     rng = np.random.default_rng(11)

@@ -69,8 +69,26 @@ def map_packed(rows: DataFrame, run: Callable, kind: str) -> DataFrame:
 
 
 def mark_of(df: DataFrame) -> Column:
-    """64 bits that hang on all columns of a row that can be hashed (all but maps)."""
-    return F.xxhash64(*(F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()))
+    """64 bits that hang on all columns of a row; columns with maps, which have no hash, by what they look like as text and as JSON."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(quoted(f.name))
+        held = "map<" in f.dataType.simpleString()
+        parts += [c.cast("string"), F.to_json(F.struct(c), {"ignoreNullFields": "false"})] if held else [c]
+    return F.xxhash64(*parts)
+
+
+#: Rows that one row becomes in one task.
+SPREAD_ROWS = 8192
+
+
+def counted(df: DataFrame, n: str, name: str) -> DataFrame:
+    """Each row ``n`` times (a column), numbered from 1 in ``name``; a row that is wanted more than SPREAD_ROWS times is dealt over the tasks."""
+    few = df.where(F.col(n) <= SPREAD_ROWS).withColumn(name, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n).cast("long"))))
+    start = fresh(df, "_start")
+    many = df.where(F.col(n) > SPREAD_ROWS).withColumn(start, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1, F.lit(SPREAD_ROWS).cast("long"))))
+    many = many.repartition(start).withColumn(name, F.explode(F.sequence(F.col(start) + 1, F.least(F.col(n).cast("long"), F.col(start) + SPREAD_ROWS)))).drop(start)
+    return few.unionByName(many)
 
 
 def quoted(name: str) -> str:

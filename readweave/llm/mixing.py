@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mark_of, packed, slices
+from .common import checkpointed, counted, mark_of, packed, slices
 
 BLOCK = 8192
 EPS = 1e-9
@@ -68,9 +68,47 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float
     return by.select("source", "source_size", "n", target.cast("double").alias("target"))
 
 
+#: Units so many times as large as the mean of their block are decided first.
+LARGE = 4
+
+
+def large_first(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Decide the large units of a block, one after another, each against all others at once.
+
+    Among three units a large one hardly moves, and would be left for the landing. Here the direction is 1 for the unit, and for each other one its
+    variance times a line in its size, such that documents and words stay; the step is drawn as in the flight.
+    """
+    out, size = p.astype("f8").copy(), size.astype("f8")
+    open_ = (out > EPS) & (out < 1 - EPS)
+    if open_.sum() < 8:
+        return out
+    big = np.flatnonzero(open_ & (size > LARGE * size[open_].mean()))
+    for a in big[np.argsort(-size[big], kind="stable")]:
+        for _ in range(64):
+            if not EPS < out[a] < 1 - EPS:
+                break
+            w = out * (1 - out)
+            w[a] = 0
+            s0, s1, s2 = w.sum(), (w * size).sum(), (w * size * size).sum()
+            det = s0 * s2 - s1 * s1
+            if not s2 > 0:
+                break
+            if det > 1e-9 * s0 * s2:
+                u = -((s2 - s1 * size[a]) + (s0 * size[a] - s1) * size) / det * w
+            else:  # all others are of one size: the words alone stay
+                u = -size[a] / s2 * size * w
+            u[a] = 1.0
+            with np.errstate(divide="ignore", invalid="ignore"):
+                up = np.where(u > 0, (1 - out) / u, np.where(u < 0, -out / u, np.inf)).min()
+                down = np.where(u > 0, out / u, np.where(u < 0, (out - 1) / u, np.inf)).min()
+            out = out + (up if rng.random() * (up + down) < down else -down) * u
+            out[out < EPS], out[out > 1 - EPS] = 0.0, 1.0
+    return out
+
+
 def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Move the probabilities of one block until fewer than three lie between 0 and 1."""
-    out, live = p.astype("f8").copy(), []
+    out, live = large_first(p, size, rng), []
     draws, k = rng.random(len(p) + 3), 0
     for i in range(len(out)):
         if EPS < out[i] < 1 - EPS:
@@ -166,7 +204,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...], most: float, seed: int) ->
     """One row per row of ``docs``: doc_id, did, mark, copy (which of the rows that are equal in all columns), source, size, source_size, target, turns."""
     key = ["did", "mark", "copy"]
     alike = word_sizes(docs).groupBy("doc_id", "source", "size", "mark").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = alike.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+    sizes = counted(alike, "_n", "copy").drop("_n")
     sizes = checkpointed(sizes.withColumn("did", F.coalesce("doc_id", F.lit(NO_ID))))
     goal = targets(sizes, weights, most)
     joined = sizes.join(goal, sizes["source"].eqNullSafe(goal["source"])).drop(goal["source"])
@@ -185,4 +223,4 @@ def mix_rows(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float
     turns = mixed(docs, weights, most, seed).groupBy("did", "mark").agg(F.sum("turns").alias("turns")).where("turns > 0")
     rows = packed(docs, F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), mark_of(docs).alias("mark"))
     taken = rows.join(turns, ["did", "mark"]).dropDuplicates(["did", "mark"])
-    return taken.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("turns").cast("int")))).select("row.*")
+    return counted(taken, "turns", "turn").select("row.*")

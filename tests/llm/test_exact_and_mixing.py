@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from readweave.llm import exact
 from readweave.llm.common import shared_dir
 from readweave.llm.exact import exact_dedup
-from readweave.llm.mixing import fly, land, mix, targets
+from readweave.llm.mixing import fly, land, mix, mix_rows, targets
 
 ROWS = [(1, "a"), (2, "b"), (3, "a"), (4, None), (5, ""), (6, "b "), (7, "a"), (7, "a"), (None, "n"), (9, "long " * 9000), (8, "long " * 9000), (None, "b")]
 
@@ -119,3 +119,35 @@ def test_mix(spark):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mix(df.repartition(7)).collect()), key=str)
     assert mix(df.limit(0)).count() == 0
     assert {r.taken for r in mix(df.limit(3).withColumn("text", F.lit(" "))).collect()} == {0}
+
+
+def test_large_units_do_not_spoil_a_target():
+    """One text of a tenth of its source's words, and a few others far above the mean."""
+    rng = np.random.default_rng(3)
+    errors = []
+    for seed in range(20):
+        size = np.concatenate([rng.integers(20, 900, 400), [3000, 5000, 20_000]])
+        p = np.full(len(size), 0.37)
+        out = land(fly(p, size, np.random.default_rng(seed)), size)
+        assert set(out) <= {0.0, 1.0}
+        errors.append(abs(size @ out - size @ p) / (size @ p))
+        assert abs(out.sum() - p.sum()) <= 3
+    assert max(errors) < 0.01
+
+
+def test_large_units_keep_their_chance():
+    size = np.concatenate([np.full(200, 100), [4000]])
+    taken = [fly(np.full(201, 0.3), size, np.random.default_rng(seed))[-1] for seed in range(400)]
+    assert set(taken) <= {0.0, 1.0} and abs(np.mean(taken) - 0.3) < 0.08
+
+
+def test_rows_that_differ_in_a_map_and_many_equal_rows(spark, monkeypatch):
+    from readweave.llm import common
+
+    monkeypatch.setattr(common, "SPREAD_ROWS", 7)
+    rows = [(1, "a b c", "s", {"meta": "one"}), (1, "a b c", "s", {"meta": "two"}), (1, "a b c", "s", {"meta": None}), (1, "a b c", "s", None)] + [(2, "x y", "s", {"k": "v"})] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, m map<string,string>").repartition(3)
+    out = mix_rows(df, weights=(1,)).collect()
+    kinds = {str(r.m) for r in out if r.doc_id == 1}
+    assert len(kinds) == 4 and len(out) == 44
+    assert sum(r.turns for r in mix(df, weights=(1,)).collect()) == 44

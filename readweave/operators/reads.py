@@ -159,16 +159,18 @@ def mask_kmers(km: DataFrame, iv: DataFrame, k: int) -> DataFrame:
 def seed_pairs(reads: DataFrame, k: int, cap: int | DataFrame, both_strands: bool = False) -> DataFrame:
     """Pairs of reads a < b that share a k-mer below the cap: aread, bread, comp, apos, bpos; where comp is 1, bpos counts on the turned read.
 
-    k-mers are dealt by themselves once. Of each no more than ``cap`` places are held, which tells the frequent ones, so the groups
-    that pairs are made from are smaller than the cap. There is no join.
+    Of each k-mer no more than ``cap`` places are held (a number; of a one-row table, what it says): tasks cut before they send, so a k-mer that
+    a third of all places hold sends no more than the cap from each, and the groups that pairs are made from are smaller than it.
+    There is no join.
     """
+    if isinstance(cap, DataFrame):
+        row = cap.select("cap").first()
+        cap = int(row.cap) if row is not None and row.cap is not None else 0
     km = kmers(reads, k).withColumn("comp", F.lit(0))
     if both_strands:
         km = km.unionByName(kmers(reads.withColumn("seq", reverse_complement(F.col("seq"))), k).withColumn("comp", F.lit(1)))
-    own = Window.partitionBy("kmer", "comp")
-    km = km.repartition("kmer").withColumn("_r", F.row_number().over(own.orderBy("rid", "pos")))
-    if isinstance(cap, DataFrame):
-        km, cap = km.crossJoin(F.broadcast(cap.select(F.col("cap").alias("_cap")))), F.col("_cap")  # one row
+    own = Window.partitionBy("kmer", "comp") if both_strands else Window.partitionBy("kmer")
+    km = km.withColumn("_r", F.row_number().over(own.orderBy("rid", "pos")))
     few = km.where(F.col("_r") <= cap).withColumn("_n", F.max("_r").over(own)).where(F.col("_n") < cap)
     place = F.struct("rid", "pos", "comp")
     met = few.groupBy("kmer").agg(F.collect_list(F.when(F.col("comp") == 0, place)).alias("a"), F.collect_list(place).alias("b")).where(F.size("b") > 1)

@@ -17,12 +17,16 @@ from readweave.sources.fixtures import Fixtures, duck_views
 
 REGISTRY = Registry()
 
+#: Queries that read a derived table many times: it is computed once for them.
+STORED = {"missed_adapters", "missed_adapters_repeats", "neighborhood_of_dead_ends", "strand_edges", "dedup_strand_edges", "strand_components", "overhang_errors", "drop_parallel_live", "rerun_trim", "stitch", "stitch_aggressive"}
+
 
 def add(name: str, build: Callable[[Fixtures], DataFrame], ints: str, others: str, sql: str, views: str, recursive: bool = False) -> None:
     """Register a query; ``ints`` come out as longs on both sides. ``sql``: more WITH items and the final SELECT, after ``views``."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Fixtures(spark, sf_dir)).select(*(F.col(c).cast("long").alias(c) for c in ints.split()), *others.split())
+        v = Fixtures(spark, sf_dir)
+        return build(v.stored() if name in STORED else v).select(*(F.col(c).cast("long").alias(c) for c in ints.split()), *others.split())
 
     body, _, last = sql.rpartition(";;")
     columns = ", ".join([*(f"CAST({c} AS BIGINT) AS {c}" for c in ints.split()), *others.split()])

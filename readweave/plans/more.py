@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from readweave.functions.lineage import settled
 from readweave.operators import chains as C
 from readweave.operators import chimera as X
+from readweave.operators import classes as Y
 from readweave.operators import evidence as V
 from readweave.operators import intervals as I
 from readweave.operators import modules as R
@@ -291,3 +292,47 @@ add("kmer_model", lambda v: V.kmer_model(K.kmer_histogram(v.reads, 14), 14, 15.0
 
 # Groups of overlap ends
 REGISTRY.add("cluster_borders", path_rows(lambda v: V.cluster_borders(v.stored().ovl.select(F.col("aread").alias("rid"), F.col("aepos").alias("pos")), 0.02, 3, 400)))
+
+# Classes of contigs: each read of the overlaps stands for a contig
+TOURS = "SELECT rid AS cid, CASE WHEN rid % 5 = 0 THEN (rid * 7) % 50 + 1 ELSE -1 END AS end1, CASE WHEN rid % 10 = 0 THEN (rid * 7) % 50 + 1 WHEN rid % 7 = 0 THEN (rid * 3) % 50 + 1 ELSE -1 END AS end2 FROM {lens}"
+
+
+def related(v: Fixtures) -> DataFrame:
+    contigs = v.lens.select(F.col("rid").alias("cid"), F.col("rlen").alias("len"))
+    cr = v.ovl.where("aread % 4 = 0").select(F.col("aread").alias("cid"), F.col("bread").alias("rid"), F.col("abpos").alias("beg"), F.col("aepos").alias("end_"))
+    ranges = settled(V.shared_ranges(cr, contigs, 10))
+    shared = V.read_alternatives(ranges, V.shared_blocks(ranges), contigs)
+    chained = C.contig_relations(pair_chains(v.ovl.where("diffs % 3 = 0")), 200)
+    return settled(Y.all_relations(chained, shared, v.spark.sql(TOURS, lens=v.lens)))
+
+
+def classified(v: Fixtures, resolve: bool) -> DataFrame:
+    v = v.stored()
+    n = v.ovl.groupBy(F.col("aread").alias("cid")).agg(F.count_distinct("bread").alias("reads"))
+    contigs = v.lens.select(F.col("rid").alias("cid"), F.col("rlen").alias("len"))
+    rep = V.repeat_bases(contigs, v.iv).select("cid", F.col("bp").alias("rep"))
+    return Y.contig_classes(contigs.join(n, "cid", "left").join(rep, "cid").fillna(0, ["reads"]), related(v), 6000, 27, 45, resolve)
+
+
+RELATED = """ cr AS (SELECT aread AS cid, bread AS rid, min(abpos) AS beg, max(aepos) AS end_ FROM ovl WHERE aread % 4 = 0 GROUP BY ALL), cl AS (SELECT rid AS cid, rlen AS len FROM lens),
+ rs AS (SELECT a.rid, a.cid AS c1, b.cid AS c2, b.beg AS b2, b.end_ AS e2 FROM (SELECT * FROM cr JOIN cl USING (cid)) a JOIN (SELECT * FROM cr JOIN cl USING (cid)) b ON a.rid = b.rid AND (a.len > b.len OR (a.len = b.len AND a.cid < b.cid))),
+ sp AS (SELECT c1, c2, count(*) AS shared, any_value(n2) AS n2 FROM rs JOIN (SELECT cid, count(*) AS n2 FROM cr GROUP BY cid) z ON z.cid = c2 GROUP BY ALL HAVING 100 * count(*) > 10 * any_value(n2)),
+ bn AS (SELECT DISTINCT c1, c2, unnest(range(CAST(b2 // 100 AS BIGINT), CAST(e2 // 100 + 1 AS BIGINT))) AS bin FROM rs JOIN sp USING (c1, c2)),
+ bk AS (SELECT c1, c2, max(bin) * 100 + 99 - min(bin) * 100 AS cov FROM (SELECT *, bin - row_number() OVER (PARTITION BY c1, c2 ORDER BY bin) AS g FROM bn) GROUP BY c1, c2, g),
+ ra AS (SELECT c2 AS cid, c1 AS other, 'reads' AS kind FROM sp JOIN (SELECT c1, c2, sum(cov) AS covered FROM bk GROUP BY ALL) USING (c1, c2) JOIN cl ON cl.cid = c2 WHERE 100 * shared > 50 * n2 OR 100 * covered >= 50 * len),
+ ch AS (SELECT aread, bread, sum(aepos - abpos) AS cov, min(abpos) AS ab, max(aepos) AS ae, any_value(alen) AS alen FROM ovl WHERE aread <> bread AND diffs % 3 = 0 GROUP BY aread, bread, comp),
+ cc AS (SELECT aread AS cid, bread AS other, CASE WHEN 2 * cov >= alen THEN 'contained' WHEN cov >= 600 AND ab >= 100000 AND alen - ae >= 100000 THEN 'bridge' WHEN 10 * cov >= 4 * alen THEN 'repeat' END AS kind FROM ch),
+ tr AS (SELECT cid, greatest(end1, end2) AS other, CASE WHEN end1 = end2 AND end1 <> -1 THEN 'bubble' WHEN (end1 = -1) <> (end2 = -1) THEN 'spur' END AS kind FROM ({tours})),
+ ow AS (SELECT * FROM cc WHERE kind IS NOT NULL UNION ALL SELECT * FROM ra UNION ALL SELECT * FROM tr WHERE kind IS NOT NULL AND cid <> other),
+ rl AS (SELECT * FROM ow UNION SELECT other, cid, CASE WHEN kind = 'bridge' THEN kind ELSE 'has_' || kind END FROM ow WHERE kind <> 'spur'),
+ al AS (SELECT DISTINCT cid, other FROM rl WHERE kind IN ('contained', 'repeat', 'reads', 'bubble')),
+ mi AS ({union}), pb AS (SELECT rid AS cid, track, sum(least(rlen, end_) - beg) AS bp FROM lens JOIN mi USING (rid) WHERE beg < rlen GROUP BY ALL), rb AS (SELECT cid, max(bp) AS rep FROM pb GROUP BY cid),
+ cx AS (SELECT l.rid AS cid, rlen AS len, coalesce(rep, 0) AS rep, coalesce(reads, 0) AS reads, coalesce(na, 0) AS alternatives, coalesce(nb, 0) AS bridges, coalesce(ns, 0) AS spurs FROM lens l LEFT JOIN rb ON rb.cid = l.rid LEFT JOIN (SELECT aread, count(DISTINCT bread) AS reads FROM ovl GROUP BY 1) o ON o.aread = l.rid
+  LEFT JOIN (SELECT cid, count(*) AS na FROM al GROUP BY 1) a ON a.cid = l.rid LEFT JOIN (SELECT cid, count(DISTINCT CASE WHEN kind = 'bridge' THEN other END) AS nb, count(DISTINCT CASE WHEN kind = 'spur' THEN other END) AS ns FROM rl GROUP BY 1) b ON b.cid = l.rid),
+ cz AS (SELECT *, CASE WHEN alternatives = 1 THEN 'ALT' WHEN alternatives > 1 THEN 'DISCARD' WHEN len > 6000 OR (reads > 27 AND 100 * rep < 45 * len) THEN 'PRIM' ELSE 'DISCARD' END AS class FROM cx),
+ cy AS (SELECT *, CASE WHEN alternatives > 1 THEN 'MULTI' WHEN class = 'DISCARD' THEN concat_ws(',', CASE WHEN reads <= 27 THEN 'CREADS' END, CASE WHEN len <= 6000 THEN 'LEN' END, CASE WHEN 100 * rep >= 45 * len THEN 'REPEAT' END) ELSE '' END AS reason FROM cz),
+ pa AS (SELECT al.cid, bool_and(coalesce(class = 'PRIM', false)) AS p FROM al LEFT JOIN cz ON cz.cid = al.other GROUP BY 1)"""
+RELATED = RELATED.replace("{tours}", TOURS.replace("{lens}", "lens")).replace("{union}", union("iv"))
+add("all_relations", lambda v: related(v.stored()), "cid other", "kind", RELATED + ";; SELECT * FROM rl", "ovl iv lens")
+add("contig_classes", lambda v: classified(v, False), "cid alternatives bridges spurs", "class reason", RELATED + ";; SELECT * FROM cy", "ovl iv lens")
+add("contig_classes_resolved", lambda v: classified(v, True), "cid alternatives bridges spurs", "class reason", RELATED + ";; SELECT cid, alternatives, bridges, spurs, CASE WHEN alternatives > 1 AND p THEN 'ALT' ELSE class END AS class, CASE WHEN alternatives > 1 AND p THEN '' ELSE reason END AS reason FROM cy LEFT JOIN pa USING (cid)", "ovl iv lens")

@@ -7,7 +7,7 @@ import pytest
 
 from readweave.llm.lines import dedup_lines, line_hashes, winnow
 from readweave.llm.quality import byte_pairs, fit_space, judge_quality
-from readweave.llm.urls import RULES, filter_urls, fit, labelled_urls
+from readweave.llm.urls import RULES, filter_urls, fit, labelled_names, labelled_urls
 
 URLS = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/1", "http://x.org", "http://x.org/", "https://example.org/en/12?x", "https://sub.example.org/en/2", "http://com/fr/", "http://a.com/de/#f", "http://notorg/", "http://a.com:80/fr/", "http://é.COM/de/É", "x://y://z.com/fr/", "http://www.cheap-pills.example.com/en/450", "https://blog.theren.example.net/en/455", "http://q.net?a/b", "http://l.com/" + "p" * 5000]
 
@@ -49,6 +49,20 @@ def test_url_model_on_held_out_sites(spark):
     assert sum((r.p_block >= 0.5) == (r.truth == 1) for r in found) >= 18
 
 
+def test_url_model_on_names_held_out_before_training(spark):
+    learn, rest = labelled_urls(spark, "learn"), labelled_urls(spark, "held_out")
+    assert learn.count() + rest.count() == labelled_urls(spark).count() and rest.count() > 80
+    found = fit(learn)(rest).collect()
+    assert np.mean([(r.p_block >= 0.5) == (r.label == 1) for r in found]) >= 0.6
+
+
+def test_no_name_of_the_supplied_pages(spark):
+    """The table was not made from the pages that it judges."""
+    hosts = {r[0] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").selectExpr("regexp_extract(url, '://([^/?#]*)', 1)").distinct().collect()}
+    labels = {x for h in hosts for x in h.split(".")}
+    assert not labels & {name for name, _, _ in labelled_names()}
+
+
 def test_urls_run_no_python(spark):
     plan = filter_urls(spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string"), labelled_urls(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -95,10 +95,10 @@ def column_consensus(pile: DataFrame, reads: DataFrame, twidth: int = 100, chunk
     ))
     g = g.withColumn("k", F.array_max(kinds)).withColumn("x", F.filter("x", lambda y: y["n"] == -c("k.n")))
 
-    own = F.element_at(F.filter("x", lambda y: y["own"] == 1), 1)["s"]
+    own = F.try_element_at(F.filter("x", lambda y: y["own"] == 1), F.lit(1))["s"]
     # A column is a string with a letter of each segment, so that a letter is counted by what is left without it.
     g = g.withColumn("_own", own).withColumn("_columns", F.transform(F.sequence(F.lit(1), (-c("k.n")).cast("int")), lambda i: F.struct(
-        F.array_join(F.transform("x", lambda y: F.element_at(y["s"], i)), "").alias("letters"), F.element_at("_own", i).alias("own")
+        F.array_join(F.transform("x", lambda y: F.element_at(y["s"], i)), "").alias("letters"), F.try_element_at(F.col("_own"), i).alias("own")
     )))
 
     def winner(col: Column) -> Column:

@@ -175,3 +175,14 @@ def test_borders(spark):
     want = [(a, *b) for a in range(20) for b in borders([p for i, p in rows if i == a], 0.03, 3, 300)]
     got = cluster_borders(spark.createDataFrame(rows, "rid long, pos long"), 0.03, 3, 300).collect()
     assert sorted(map(tuple, got)) == sorted(want) and len(want) > 10
+
+
+def test_consensus_without_its_own_segment(spark):
+    """Most segments have a length that A's own has not: its letters have no say, and nothing breaks."""
+    from readweave.operators.patches import column_consensus
+
+    reads = [(1, "acgtacgtac"), (2, "aacctt"), (3, "aacgtt"), (4, "aaccta")]
+    pile = [(1, 0, 10 + b, b, 0, 6, 0, 6) for b in (2, 3, 4)]
+    p = spark.createDataFrame(pile, "aread long, tile long, ovl_id long, bread long, comp int, blen long, sb long, eb long")
+    got = column_consensus(p, spark.createDataFrame(reads, "rid long, seq string"), twidth=10, chunk=4).collect()
+    assert [(r.aread, r.tile, r.seq, r.used) for r in got] == [(1, 0, "aacctt", 3)]

@@ -41,6 +41,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles with a Jaccard similarity of 0.8 or more).
 
+    SimHash classes come first, each link decided by the exact similarity; bands find what lies further apart.
     Texts without words are copies of each other; rows without an identifier stay; rows that repeat one are documents of their own; all
     columns are kept.
     """

@@ -30,6 +30,12 @@ BLOCK = 1024
 U = np.uint64
 
 
+def majority(raw: bytes) -> int:
+    """The bits that are set in over half of the 64-bit hashes in ``raw`` (big-endian, one after another); 0 without hashes."""
+    bits = np.unpackbits(np.frombuffer(raw, "u1").reshape(-1, 8), axis=1)
+    return int.from_bytes(np.packbits(2 * bits.sum(0, dtype="i8") > len(bits)).tobytes(), "big")
+
+
 def fingerprint(text: bytes, shingle: int) -> int:
     """SimHash of whole-text word shingles, repeats included; 0 without words."""
     words = text.lower().split()  # bytes: A-Z alone are lowered, ASCII white space alone parts
@@ -39,10 +45,7 @@ def fingerprint(text: bytes, shingle: int) -> int:
         grams = [b" ".join(words)]
     else:
         grams = map(b" ".join, zip(*(itertools.islice(words, i, None) for i in range(shingle)), strict=False))
-    raw = b"".join([xxhash.xxh64_digest(g, 42) for g in grams])
-    bits = np.unpackbits(np.frombuffer(raw, "u1").reshape(-1, 8), axis=1)
-    set_ = bits.sum(0, dtype="i8")
-    return int.from_bytes(np.packbits(2 * set_ > len(bits)).tobytes(), "big")
+    return majority(b"".join([xxhash.xxh64_digest(g, 42) for g in grams]))
 
 
 def with_key(docs: DataFrame, key: Callable[[bytes], int]) -> DataFrame:
@@ -283,10 +286,10 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def classes(marked: DataFrame, most: int) -> DataFrame:
+def classes(marked: DataFrame, most: int, parts: int = PARTS) -> DataFrame:
     """fp, first (its least doc_id), root (a fingerprint that stands for the component), one row for each fingerprint of ``marked`` (doc_id, fp)."""
     fps = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    tree = components(links(fps, plan(fps, most), most))
+    tree = components(links(fps, plan(fps, most, parts), most))
     return fps.join(tree, fps["fp"] == tree["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 

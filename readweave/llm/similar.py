@@ -1,12 +1,17 @@
-"""Near-duplicate documents by the Jaccard similarity of their word shingles (the pipeline's stage, not operator 10).
+"""Near-duplicate documents by SimHash and the Jaccard similarity of their word shingles (the pipeline's stage).
 
-MinHash bands only find candidates; every link is decided by the exact similarity of both sets of shingles (64-bit hashes of
-them). ``BANDS`` bands of ``ROWS`` values miss a pair of similarity 0.8 with a chance of (1 - 0.8**6)**48, less than one in two million.
+Documents with equal sets of shingles are one node. Its SimHash votes over the set (64-bit hashes, each shingle once), and operator 10's
+search by the generalised pigeonhole principle puts fingerprints that differ in at most ``MOST`` bits into one class. Every link inside a class is
+decided by the exact similarity of both sets.
 
-Documents with equal sets are one node. In each bucket every node is verified against the bucket's least one, which takes as many
+A similarity of 0.8 lies up to some 20 bits apart, which no threshold covers at a price that grows well, so an exact way follows for the rest: MinHash
+bands bring together what SimHash has left apart, and the same exact similarity decides. ``BANDS`` bands of ``ROWS`` values miss a pair of
+similarity 0.8 with a chance of (1 - 0.8**6)**48, less than one in two million.
+
+Classes and bands alike are buckets. In each, every node is verified against the bucket's least one, which takes as many
 pairs as the bucket has nodes. Buckets whose nodes are still in several components are then compared further:
 the bucket's largest component with the others and the others with each other, dealt into blocks, every two of which meet
-in one task. Pairs inside one component are never compared again.
+in one task. Pairs inside one component are never compared again, nor by bands what SimHash has joined.
 """
 
 from __future__ import annotations
@@ -21,8 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed
-from .simhash import components, keep_first
+from .simhash import classes, components, keep_first, majority
 
+#: Bits that fingerprints of a class may differ in, and the parts that they are searched by.
+MOST, PARTS = 5, 3
 BANDS, ROWS, BLOCK = 48, 6, 512
 _random = np.random.default_rng(20)
 TIMES = _random.integers(0, 1 << 32, BANDS * ROWS, "u4") | np.uint32(1)
@@ -53,19 +60,21 @@ def bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, shingle: int) -> DataFrame:
-    """sid (which set of shingles), first (its least doc_id), bands."""
+    """sid (which set of shingles), first (its least doc_id), fp (its SimHash), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sid, found = [], []
+            sid, fp, found = [], [], []
             for t in b.column("text"):
                 h = shingles((t.as_py() or "").encode(), shingle)
                 sid.append(set_hash(h))
+                fp.append(majority(h.astype(">u8").tobytes()))
                 found.append(bands(h))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(sid, "u8").view("i8")), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "sid", "bands"])
+            marks = [pa.array(np.array(x, "u8").view("i8")) for x in (sid, fp)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *marks, pa.array(found, pa.list_(pa.int64()))], ["doc_id", "sid", "fp", "bands"])
 
-    marked = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sid long, bands array<long>")
-    return marked.groupBy("sid").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    marked = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sid long, fp long, bands array<long>")
+    return marked.groupBy("sid").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -129,22 +138,37 @@ def further(met: DataFrame, tree: DataFrame, grams: DataFrame, least: float, blo
     return m.unionByName(r).unionByName(rr).join(grams, "sid").groupBy(*key).applyInPandas(run, "u long, v long").distinct()
 
 
-def similar_components(docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """sid, first, root: of each different set of shingles its hash, its least doc_id, and the set that stands for its component."""
-    found = checkpointed(nodes(docs, shingle))
-    posted = found.select("sid", F.explode("bands").alias("v"))
+def company(posted: DataFrame) -> DataFrame:
+    """v, sid, n, least: of each bucket of two or more nodes (``posted``: sid, v) its nodes, how many they are, and the least of them."""
     shared = posted.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("least")).where("n > 1")
-    met = checkpointed(posted.join(shared, "v"))
-    pairs = checkpointed(met.where("sid != least").select(F.col("least").alias("u"), F.col("sid").alias("v")).distinct())
-    wanted = found.join(met.select("sid").distinct(), "sid", "left_semi").select("sid", "first")
-    grams = checkpointed(sets_of(docs, wanted, shingle))
+    return checkpointed(posted.join(shared, "v"))
+
+
+def joined(met: DataFrame, tree: DataFrame, grams: DataFrame, least: float) -> DataFrame:
+    """``tree`` (node, root) with the links of at least ``least`` between nodes that share a bucket of ``met``."""
+    pairs = met.where("sid != least").select(F.col("least").alias("u"), F.col("sid").alias("v")).distinct()
+    for end in ("u", "v"):
+        pairs = pairs.join(tree.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    pairs = checkpointed(pairs.where("coalesce(u_root, u) != coalesce(v_root, v)").select("u", "v"))
     a, b = grams.select(F.col("sid").alias("u"), F.col("grams").alias("a")), grams.select(F.col("sid").alias("v"), F.col("grams").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     links = pairs.join(a, "u").join(b, "v").withColumn("both", both).where(F.col("both") >= least * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
-    links = checkpointed(links)
-    tree = components(links)
-    more = further(met.where("n > 2").select("v", "sid"), tree, grams, least)
-    tree = components(tree.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    with_links = lambda more: components(tree.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    tree = with_links(links)
+    return with_links(further(met.where("n > 2").select("v", "sid"), tree, grams, least))
+
+
+def similar_components(docs: DataFrame, shingle: int, least: float, most: int = MOST) -> DataFrame:
+    """sid, first, root: of each different set of shingles its hash, its least doc_id, and the set that stands for its component."""
+    found = checkpointed(nodes(docs, shingle))
+    classed = classes(found.select(F.col("first").alias("doc_id"), "fp"), most, PARTS).select("fp", F.col("root").alias("v"))
+    near = company(found.select("sid", "fp").join(classed, "fp").select("sid", "v"))
+    rest = company(found.select("sid", F.explode("bands").alias("v")))
+    wanted = found.join(near.select("sid").unionByName(rest.select("sid")).distinct(), "sid", "left_semi").select("sid", "first")
+    grams = checkpointed(sets_of(docs, wanted, shingle))
+    tree = docs.sparkSession.createDataFrame([], "node long, root long")
+    for met in (near, rest):
+        tree = joined(met, tree, grams, least)
     return found.select("sid", "first").join(tree.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
 

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import xxhash
 
 import corpus_pipeline
 from readweave.llm import similar
@@ -65,3 +66,19 @@ def test_buckets_whose_least_node_links_nothing(spark):
         parent = {k: min(x, y) if p in (x, y) else p for k, p in parent.items()}
     if jaccard(rows[0][1], rows[1][1]) >= 0.8:
         assert sorted(set(parent.values())) == brute_kept(rows)
+
+
+def test_simhash_links_without_bands(spark, monkeypatch):
+    """Links of 0.8 inside SimHash classes need no MinHash band."""
+    rows = [(i, t or "") for i, t in texts()]
+
+    def vote(g):
+        h = [xxhash.xxh64_intdigest(" ".join(x)) for x in g]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    classes = brute_components([i for i, _ in rows], [vote(grams(t)) for _, t in rows], similar.MOST)
+    want = sorted(i for c in set(classes.values()) for i in brute_kept([r for r in rows if classes[r[0]] == c]))
+    monkeypatch.setattr(similar, "bands", lambda h: np.array([similar.set_hash(h)], "u8").view("i8"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in corpus_pipeline.near(spark, df, "").collect())
+    assert got == want and len(brute_kept(rows)) < len(want) < len(rows) - 60

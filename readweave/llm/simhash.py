@@ -7,8 +7,9 @@ estimated candidates and probes, from counts over all fingerprints.
 
 Two part values that differ in at most t bits become equal when up to t set bits of either are cleared, so each fingerprint is
 posted under its part value and those variants, and candidates meet by equality. Only different
-fingerprints are searched; documents with the same one share its class. A large bucket is dealt into blocks, every two of
-which meet in one task, and a task returns a spanning forest of the links it verified, never all pairs. Components
+fingerprints are searched; documents with the same one share its class. A large bucket is posted again under parts of the bits that its
+fingerprints don't share yet, by the same principle, so that rows don't grow with the square of a bucket. What stays above ``BLOCK`` is dealt into
+blocks, every two of which meet in one task, and a task returns a spanning forest of the links it verified, never all pairs. Components
 come from star contractions over those forests.
 """
 
@@ -27,6 +28,10 @@ from .common import checkpointed, inside, map_packed, packed
 
 PARTS = 2
 BLOCK = 1024
+#: Larger buckets are posted again; a fingerprint of any other meets ``MANY / BLOCK`` blocks at most.
+MANY = 16 * BLOCK
+#: Fingerprints for one task, edges for one task of a contraction, and how many edges there may be at most for a join that sends one side to every task.
+PRINTS, EDGES, FEW = 1 << 13, 1 << 16, 1 << 18
 U = np.uint64
 
 
@@ -180,18 +185,37 @@ def variants(fp: np.ndarray, mask: int, t: int) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(rows), np.concatenate(out)
 
 
-def post(fps: DataFrame, parts: list[tuple[int, int]]) -> DataFrame:
-    """part, v, fp: each fingerprint under every value that it is looked up by."""
+def post(rows: DataFrame, parts: dict[int, list[tuple[int, int, int]]]) -> DataFrame:
+    """part, v, fp: each fingerprint of ``rows`` (part, v, fp) under every value that it is looked up by.
+
+    ``parts``: for each part of ``rows`` the (number, mask, threshold) of those that follow it; their bits are added to ``v``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column("fp").to_numpy().view("u8")
-            for i, (mask, t) in enumerate(parts):
-                if t >= 0:
-                    rows, v = variants(fp, mask, t)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), i), pa.int32()), pa.array(v.view("i8"), pa.int64()), pa.array(fp[rows].view("i8"), pa.int64())], ["part", "v", "fp"])
-
-    return fps.select("fp").mapInArrow(run, "part int, v long, fp long")
+            part, v, fp = (b.column(n).to_numpy() for n in ("part", "v", "fp"))
+            for before in np.unique(part).tolist():
+                at = np.flatnonzero(part == before)
+                for number, mask, t in parts[before]:
+                    if t >= 0:
+                        rows, value = variants(fp[at].view("u8"), mask, t)
+                        value = value.view("i8") | v[at[rows]]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), number), pa.int32()), pa.array(value, pa.int64()), pa.array(fp[at[rows]], pa.int64())], ["part", "v", "fp"])
+
+    return rows.select("part", "v", "fp").mapInArrow(run, "part int, v long, fp long")
+
+
+def deeper(used: dict[int, int], most: int) -> tuple[dict[int, list[tuple[int, int, int]]], dict[int, int]]:
+    """The two parts that follow each of ``used`` (part: mask of the bits it stands for), halves of the other bits, for `post`, and ``used`` of those."""
+    parts, following = {}, {}
+    for part, mask in used.items():
+        bits = [b for b in range(64) if not mask >> b & 1]
+        if len(bits) < 8:
+            return {}, {}
+        halves = (sum(1 << b for b in bits[: len(bits) // 2]), most // 2), (sum(1 << b for b in bits[len(bits) // 2 :]), most - 1 - most // 2)
+        parts[part] = [(2 * part + i, own, t) for i, (own, t) in enumerate(halves)]
+        following |= {number: mask | own for number, own, _ in parts[part]}
+    return parts, following
 
 
 def forest(fp: np.ndarray, starts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,17 +247,37 @@ def forest(fp: np.ndarray, starts: np.ndarray, most: int) -> tuple[np.ndarray, n
     return fp[kept], fp[label[kept]]
 
 
-def links(fps: DataFrame, parts: list[tuple[int, int]], most: int) -> DataFrame:
+def buckets(fps: DataFrame, parts: list[tuple[int, int]], most: int, many: int = MANY) -> DataFrame:
+    """part, v, fp, n: the fingerprints that share a value with others, n in all; values that more than ``many`` share give way to longer ones."""
+
+    def shared(posted: DataFrame) -> tuple[DataFrame, int]:
+        counts = posted.groupBy("part", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = checkpointed(posted.join(counts, ["part", "v"]))
+        r = met.agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("most")).first()
+        return met.coalesce(max(1, -(-r.rows // EDGES))), r.most or 0
+
+    first = [(len(parts) + i, mask, t) for i, (mask, t) in enumerate(parts)]
+    met, largest = shared(post(fps.select(F.lit(0).alias("part"), F.lit(0).cast("long").alias("v"), "fp"), {0: first}))
+    used, done = {number: mask for number, mask, _ in first}, []
+    while True:
+        following, used = deeper(used, most)
+        if not following or largest <= many:
+            break
+        done.append(met.where(F.col("n") <= many))
+        met, largest = shared(post(met.where(F.col("n") > many), following))
+    for other in done:
+        met = met.unionByName(other)
+    return met
+
+
+def links(fps: DataFrame, parts: list[tuple[int, int]], most: int, many: int = MANY) -> DataFrame:
     """u, v: verified links, enough of them to connect all that is linked."""
-    posted = post(fps, parts)
-    counts = posted.groupBy("part", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = posted.join(counts, ["part", "v"])
+    met = buckets(fps, parts, most, many)
+    whole = met.where(F.col("n") <= BLOCK).select("part", "v", F.lit(0).alias("x"), F.lit(0).alias("y"), "fp")
     deal = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), deal).cast("int")
-    met = met.withColumn("k", deal).withColumn("x", own)
-    with_all = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
-    met = met.withColumn("y", with_all).where("k = 1 or x != y")
-    met = met.select("part", "v", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "fp")
+    dealt = met.where(F.col("n") > BLOCK).withColumn("k", deal).withColumn("x", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
+    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).where("x != y")
+    met = whole.unionByName(dealt.select("part", "v", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "fp"))
     key = ["part", "v", "x", "y"]
     sorted_ = met.repartition(*key).sortWithinPartitions(*key, "fp")
 
@@ -262,7 +306,10 @@ def links(fps: DataFrame, parts: list[tuple[int, int]], most: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: the least node of each component, by large-star and small-star contractions."""
+    """node, root: the least node of each component, by large-star and small-star contractions.
+
+    Tasks follow the number of edges, not the session's number of partitions: a task takes ``EDGES`` of them.
+    """
     edges = checkpointed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
 
     def mark(e: DataFrame) -> tuple:
@@ -271,14 +318,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     state = mark(edges)
     while state[0]:
+        tasks = -(-state[0] // EDGES)
+        side = (lambda d, n=tasks: F.broadcast(d.coalesce(n))) if state[0] <= FEW else (lambda d: d)
+        edges = edges.coalesce(tasks)
         # Large star: every larger neighbour goes to the least neighbour, or to the node itself.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = both.where("v > u").join(side(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").coalesce(tasks).distinct().coalesce(tasks)
         # Small star: smaller neighbours and the node itself go to the least of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        down = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        following = checkpointed(down.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        down = large.join(side(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        following = checkpointed(down.unionByName(least.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct().coalesce(tasks))
         before, state = state, mark(following)
         edges = following
         if state == before:
@@ -289,6 +339,7 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(marked: DataFrame, most: int, parts: int = PARTS) -> DataFrame:
     """fp, first (its least doc_id), root (a fingerprint that stands for the component), one row for each fingerprint of ``marked`` (doc_id, fp)."""
     fps = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    fps = fps.coalesce(max(1, -(-fps.count() // PRINTS)))
     tree = components(links(fps, plan(fps, most, parts), most))
     return fps.join(tree, fps["fp"] == tree["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 

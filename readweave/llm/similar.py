@@ -1,17 +1,17 @@
 """Near-duplicate documents by SimHash and the Jaccard similarity of their word shingles (the pipeline's stage).
 
 Documents with equal sets of shingles are one node. Its SimHash votes over the set (64-bit hashes, each shingle once), and operator 10's
-search by the generalised pigeonhole principle puts fingerprints that differ in at most ``MOST`` bits into one class. Every link inside a class is
-decided by the exact similarity of both sets.
+search by the generalised pigeonhole principle, as wide as there, puts fingerprints that differ in at most ``MOST`` bits into one class. Every link
+inside a class is decided by the exact similarity of both sets.
 
-A similarity of 0.8 lies up to some 20 bits apart, which no threshold covers at a price that grows well, so an exact way follows for the rest: MinHash
-bands bring together what SimHash has left apart, and the same exact similarity decides. ``BANDS`` bands of ``ROWS`` values miss a pair of
-similarity 0.8 with a chance of (1 - 0.8**6)**48, less than one in two million.
+A similarity of 0.8 lies up to some 20 bits apart, which no threshold covers at a price that grows well, so there is an exact way for the rest: MinHash
+bands bring together what SimHash leaves apart, and the same exact similarity decides. ``BANDS`` bands of ``ROWS`` values miss a pair of
+similarity 0.8 with a chance of (1 - 0.8**6)**48, less than one in two million. How wide SimHash searches thus changes no result.
 
 Classes and bands alike are buckets. In each, every node is verified against the bucket's least one, which takes as many
-pairs as the bucket has nodes. Buckets whose nodes are still in several components are then compared further:
+pairs as the bucket has nodes; a pair of several buckets is verified once. Buckets whose nodes are still in several components are then compared further:
 the bucket's largest component with the others and the others with each other, dealt into blocks, every two of which meet
-in one task. Pairs inside one component are never compared again, nor by bands what SimHash has joined.
+in one task. Pairs inside one component are never compared again.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 from .simhash import classes, components, keep_first, majority
 
-#: Bits that fingerprints of a class may differ in, and the parts that they are searched by.
-MOST, PARTS = 5, 3
+#: Bits that fingerprints of a class may differ in, and the parts that they are searched by: operator 10's own. Parts must be so long that few
+#: fingerprints share a value by chance, or the rows that meet grow with the square of the table.
+MOST, PARTS = 3, 2
 BANDS, ROWS, BLOCK = 48, 6, 512
 _random = np.random.default_rng(20)
 TIMES = _random.integers(0, 1 << 32, BANDS * ROWS, "u4") | np.uint32(1)
@@ -91,13 +92,13 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return made.join(wanted.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
 
 
-def block_links(sid: np.ndarray, root: np.ndarray, grams: list[np.ndarray], least: float) -> list[tuple[int, int]]:
-    """Links of at least ``least`` between nodes of different roots; one that joins what earlier ones have joined is left out."""
+def block_links(sid: np.ndarray, root: np.ndarray, grams: list[np.ndarray], least: float, rest: np.ndarray) -> list[tuple[int, int]]:
+    """Links of at least ``least`` between nodes of different roots, one of them in ``rest``; one that joins what earlier ones have joined is left out."""
     size = np.array([len(g) for g in grams])
     flat = np.unique(np.concatenate(grams), return_inverse=True)[1]
     start = np.cumsum(size) - size
     label, out = np.unique(root, return_inverse=True)[1], []
-    for i in range(len(sid)):
+    for i in np.flatnonzero(rest):
         other = label != label[i]
         if not size[i] or not other.any():
             continue
@@ -125,14 +126,14 @@ def further(met: DataFrame, tree: DataFrame, grams: DataFrame, least: float, blo
     km, kr = (F.ceil(x / block).cast("int") for x in (F.col("c"), F.col("n") - F.col("c")))
     d = d.select("v", "sid", "root", "rest", km.alias("km"), kr.alias("kr")).withColumn("own", F.pmod(F.xxhash64("sid"), F.when(F.col("rest"), F.col("kr")).otherwise(F.col("km"))).cast("int"))
     upto = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1)).alias("y")
-    columns = ["v", "sid", "root", "own", "y"]
+    columns = ["v", "sid", "root", "rest", "own"]
     key = ["v", "kind", "x", "y"]
-    m = d.where("not rest").select(*columns[:4], upto("kr")).select("v", "sid", "root", F.lit(0).alias("kind"), F.col("own").alias("x"), "y")
-    r = d.where("rest").select(*columns[:4], upto("km")).select("v", "sid", "root", F.lit(0).alias("kind"), F.col("y").alias("x"), F.col("own").alias("y"))
-    rr = d.where("rest").select(*columns[:4], upto("kr")).select("v", "sid", "root", F.lit(1).alias("kind"), F.least("own", "y").alias("x"), F.greatest("own", "y").alias("y"))
+    m = d.where("not rest").select(*columns, upto("kr")).select("v", "sid", "root", "rest", F.lit(0).alias("kind"), F.col("own").alias("x"), "y")
+    r = d.where("rest").select(*columns, upto("km")).select("v", "sid", "root", "rest", F.lit(0).alias("kind"), F.col("y").alias("x"), F.col("own").alias("y"))
+    rr = d.where("rest").select(*columns, upto("kr")).select("v", "sid", "root", "rest", F.lit(1).alias("kind"), F.least("own", "y").alias("x"), F.greatest("own", "y").alias("y"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        held = block_links(pdf["sid"].to_numpy(), pdf["root"].to_numpy(), [np.asarray(g, "i8") for g in pdf["grams"]], least)
+        held = block_links(pdf["sid"].to_numpy(), pdf["root"].to_numpy(), [np.asarray(g, "i8") for g in pdf["grams"]], least, pdf["rest"].to_numpy())
         return pd.DataFrame(held, columns=["u", "v"], dtype="int64")
 
     return m.unionByName(r).unionByName(rr).join(grams, "sid").groupBy(*key).applyInPandas(run, "u long, v long").distinct()
@@ -144,31 +145,26 @@ def company(posted: DataFrame) -> DataFrame:
     return checkpointed(posted.join(shared, "v"))
 
 
-def joined(met: DataFrame, tree: DataFrame, grams: DataFrame, least: float) -> DataFrame:
-    """``tree`` (node, root) with the links of at least ``least`` between nodes that share a bucket of ``met``."""
+def joined(met: DataFrame, grams: DataFrame, least: float) -> DataFrame:
+    """node, root: the components of links of at least ``least`` between nodes that share a bucket of ``met``."""
     pairs = met.where("sid != least").select(F.col("least").alias("u"), F.col("sid").alias("v")).distinct()
-    for end in ("u", "v"):
-        pairs = pairs.join(tree.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
-    pairs = checkpointed(pairs.where("coalesce(u_root, u) != coalesce(v_root, v)").select("u", "v"))
     a, b = grams.select(F.col("sid").alias("u"), F.col("grams").alias("a")), grams.select(F.col("sid").alias("v"), F.col("grams").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     links = pairs.join(a, "u").join(b, "v").withColumn("both", both).where(F.col("both") >= least * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
-    with_links = lambda more: components(tree.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
-    tree = with_links(links)
-    return with_links(further(met.where("n > 2").select("v", "sid"), tree, grams, least))
+    tree = components(links)
+    more = checkpointed(further(met.where("n > 2").select("v", "sid"), tree, grams, least))
+    return tree if more.isEmpty() else components(tree.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
 
 def similar_components(docs: DataFrame, shingle: int, least: float, most: int = MOST) -> DataFrame:
     """sid, first, root: of each different set of shingles its hash, its least doc_id, and the set that stands for its component."""
     found = checkpointed(nodes(docs, shingle))
     classed = classes(found.select(F.col("first").alias("doc_id"), "fp"), most, PARTS).select("fp", F.col("root").alias("v"))
-    near = company(found.select("sid", "fp").join(classed, "fp").select("sid", "v"))
-    rest = company(found.select("sid", F.explode("bands").alias("v")))
-    wanted = found.join(near.select("sid").unionByName(rest.select("sid")).distinct(), "sid", "left_semi").select("sid", "first")
+    near = found.select("sid", "fp").join(classed, "fp").select("sid", "v")
+    met = company(near.unionByName(found.select("sid", F.explode("bands").alias("v"))))
+    wanted = found.join(met.select("sid").distinct(), "sid", "left_semi").select("sid", "first")
     grams = checkpointed(sets_of(docs, wanted, shingle))
-    tree = docs.sparkSession.createDataFrame([], "node long, root long")
-    for met in (near, rest):
-        tree = joined(met, tree, grams, least)
+    tree = joined(met, grams, least)
     return found.select("sid", "first").join(tree.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
 

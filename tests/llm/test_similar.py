@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 import corpus_pipeline
-from readweave.llm import similar
+from readweave.llm import simhash, similar
 
 from .test_neighbours import WORD, brute_components, brute_fingerprint
 
@@ -82,3 +82,56 @@ def test_simhash_links_without_bands(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(r.doc_id for r in corpus_pipeline.near(spark, df, "").collect())
     assert got == want and len(brute_kept(rows)) < len(want) < len(rows) - 60
+
+
+def tasks_of(spark, name, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        out = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    told = sc.statusTracker()
+    stages = {i for job in told.getJobIdsForGroup(name) for i in told.getJobInfo(job).stageIds}
+    return out, sum(s.numCompletedTasks for s in map(told.getStageInfo, stages) if s)
+
+
+def test_rows_that_meet_grow_with_the_table(spark):
+    """Fingerprints without links meet hardly any other, however many there are."""
+    fp = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 100_000, "u8")).view("i8")
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(fp.tolist())], "first long, fp long").repartition(4)
+    met = simhash.buckets(df, simhash.plan(df, similar.MOST, similar.PARTS), similar.MOST)
+    assert met.count() < len(fp) / 10
+
+
+def test_large_buckets_are_posted_again(spark):
+    """Buckets above the bound give way to longer values, and no link is lost."""
+    rng = np.random.default_rng(8)
+    base, fp = 0x0F1E2D3C4B5A6978, {0x0F1E2D3C4B5A6978}
+    while len(fp) < 1200:
+        fp.add(base ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 9), replace=False)))
+    ids = np.array(sorted(fp), "u8").view("i8").tolist()
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(ids)], "first long, fp long")
+    parts = [((1 << 32) - 1, 1), ((1 << 64) - (1 << 32), 1)]
+    whole, short = (simhash.buckets(df, parts, 3, many).groupBy("part", "v").count().agg({"count": "max"}).first()[0] for many in (1 << 30, 40))
+    assert short < whole / 2
+    want = brute_components(list(range(len(ids))), np.array(ids, "i8").view("u8").tolist(), 3)
+    roots = {r.node: r.root for r in simhash.components(simhash.links(df, parts, 3, 40)).collect()}
+    groups = {}
+    for i, f in enumerate(ids):
+        groups.setdefault(roots.get(f, f), []).append(i)
+    assert {i: min(v) for v in groups.values() for i in v} == want
+
+
+def test_contractions_of_few_edges_take_few_tasks(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(50)], "u long, v long")
+        tree, tasks = tasks_of(spark, "few edges", lambda: simhash.components(edges).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r.node: r.root for r in tree} == dict.fromkeys(range(1, 51), 0)
+    assert tasks < 400

@@ -36,3 +36,32 @@ def test_segments_meet_their_overlap(spark):
     assert lifted == [(1, 8, 1010, 1131, 160, 290)] * 2 + [(2, 9, 95, 135, 160, 200)] * 2 + [(2, 9, 175, 245, 50, 120)]
     q = sorted(map(tuple, overlaps.segment_quality(o, t, spark.createDataFrame([(7, 350), (8, 0), (5, 100)], "rid long, rlen long"), segmin=1).collect()))
     assert q == [(5, 0, 0), (7, 0, 1), (7, 1, 2), (7, 2, 0), (7, 3, 0)]
+
+
+def test_weak_tiles_stay_by_their_read(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = REGISTRY.queries["weak_tiles"](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not any("Exchange" in line and ("tile#" in line or "_bin#" in line and "_a#" in line) for line in plan)
+
+
+def test_letters_are_sent_once(spark):
+    """To their A-read: votes, the choice and the read's assembly take place there."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = REGISTRY.queries["assemble_corrected"](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at = next(i for i, line in enumerate(plan) if "SortMergeJoin [bread" in line)
+    assert ["aread#" in line for line in plan[:at] if "Exchange" in line] == [True]
+
+
+def test_letters_of_turned_reads(spark):
+    """Reads with other letters than ASCII, and segments that go beyond the read."""
+    reads = spark.createDataFrame([(2, "aacgt" * 4), (3, "é" + "ccgta" * 3)], "rid long, seq string")
+    rows = [(1, 0, 1, 2, 0, 3, 8, 1), (1, 0, 2, 2, 0, 3, 8, 2), (1, 1, 1, 2, 1, 3, 8, 1), (1, 2, 1, 3, 0, 0, 4, 1), (1, 3, 1, 3, 1, 11, 16, 1), (1, 4, 1, 2, 1, 17, 30, 1)]
+    pile = spark.createDataFrame(rows, "aread long, tile long, ovl_id long, bread long, comp int, sb long, eb long, k int")
+    got = {r.tile: (r.seq, r.used) for r in patches.tile_consensus(pile, reads).collect()}
+    assert got == {0: ("gtaac", 2), 1: ("ttacg", 1), 2: ("éccg", 1), 3: ("acggé", 1), 4: ("gtt", 1)}

@@ -65,3 +65,29 @@ def test_letters_of_turned_reads(spark):
     pile = spark.createDataFrame(rows, "aread long, tile long, ovl_id long, bread long, comp int, sb long, eb long, k int")
     got = {r.tile: (r.seq, r.used) for r in patches.tile_consensus(pile, reads).collect()}
     assert got == {0: ("gtaac", 2), 1: ("ttacg", 1), 2: ("éccg", 1), 3: ("acggé", 1), 4: ("gtt", 1)}
+
+
+def test_votes_by_columns_against_loops(spark, monkeypatch):
+    """Lengths and letters that are equally frequent, letters beyond ASCII, and tiles that go over batches."""
+    import random
+
+    from readweave.operators import letters
+
+    r = random.Random(4)
+    rows = [(a, t, "".join(r.choice("acé" if a == 3 else "ac") for _ in range(r.choice([3, 4, 5]))), int(k == 0)) for a in (1, 2, 3) for t in range(20) for k in range(r.choice([1, 2, 3, 6, 9]))]
+
+    def one(votes):
+        size = min({len(p) for p, _ in votes}, key=lambda n: (-sum(len(p) == n for p, _ in votes), -max(o for p, o in votes if len(p) == n), n))
+        of = [(p, o) for p, o in votes if len(p) == size]
+        mine = next((p for p, o in of if o), None)
+        pick = lambda i: min({p[i] for p, _ in of}, key=lambda x: (-sum(p[i] == x for p, _ in of), mine is None or mine[i] != x, x))
+        return "".join(map(pick, range(size))), len(of)
+
+    want = {(a, t): one([(p, o) for b, u, p, o in rows if (b, u) == (a, t)]) for a, t, _, _ in rows}
+    import pyarrow as pa
+
+    cut = lambda n: [pa.RecordBatch.from_pylist([dict(zip(("aread", "tile", "piece", "own"), x, strict=True)) for x in rows[i : i + n]]) for i in range(0, len(rows), n)]
+    for most, n in ((1 << 16, 1000), (5, 3), (1, 1)):
+        monkeypatch.setattr(letters, "VOTES", most)
+        got = [x for b in letters.vote_columns(iter(cut(n))) for x in b.to_pylist()]
+        assert {(x["aread"], x["tile"]): (x["seq"], x["used"]) for x in got} == want and len(got) == len(want)

@@ -24,3 +24,17 @@ def test_few_letters_at_once(monkeypatch):
 def test_parts_are_small():
     """Some 100 bytes a place, two tasks beside the 1800 MB of an executor of 3000."""
     assert 2 * 100 * reads.PART < 600_000_000 and 2 * 100 * letters.PLACES_AT_ONCE < 1_200_000_000
+
+
+def test_neighbours_go_to_the_same_part():
+    """A stretch that two reads share meets in few parts; every place goes to one part, that of its k-mer."""
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(list("acgt"), 3000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([0, 0]), pa.array([text, text]), pa.array([0, 1], pa.int32())], ["rid", "_c", "_s", "strand"])
+    sent = [r for b in letters.send_places(14, 4000, 5, 1 << 15, together=True)([batch]) for r in b.to_pylist()]
+    part = {}
+    for r in sent:
+        for x in np.frombuffer(r["code"], "<u4").tolist():
+            assert part.setdefault(x, r["part"]) == r["part"]
+    follow = letters.kmer_codes(pa.array([text]), 14)[0].tolist()
+    assert set(follow) == set(part) and sum(part[x] != part[y] for x, y in zip(follow, follow[1:])) < len(follow) / 2
